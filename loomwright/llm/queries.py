@@ -11,6 +11,7 @@ from loomwright.llm.common import table
 from loomwright.llm.exact_dedup import exact_dedup
 from loomwright.llm.mixing import mix_sources
 from loomwright.llm.piece_bpe import encode_pieces
+from loomwright.llm import secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +29,74 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *map(count, secrets.BASE),
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.array_sort(F.concat("base", "entropy"))).alias("spans"),
+    )
+
+
+def _sql_matches(name: str, pattern: str, keep: str = "true", groups: str = "") -> str:
+    """CTEs for the matches of a pattern with their places, from what lies between them."""
+    quoted = pattern.replace("'", "''")
+    return rf"""
+{name}_m AS (
+    SELECT doc_id, unnest(regexp_extract_all(text, '{quoted}')) AS match, {f"unnest(regexp_extract_all(text, '{quoted}', 2)) AS value," if groups else ""}
+        unnest(list_slice(string_split_regex(text, '{quoted}'), 1, len(regexp_extract_all(text, '{quoted}')))) AS gap,
+        generate_subscripts(regexp_extract_all(text, '{quoted}'), 1) AS i
+    FROM t WHERE regexp_matches(text, '{quoted}')
+), {name} AS (
+    SELECT * FROM (
+        SELECT *, (sum(length(gap) + length(match)) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT AS stop FROM {name}_m
+    ) WHERE {keep}
+)"""
+
+
+_LIMITS = " ".join(f"WHEN regexp_matches(match, '{c.pattern}') THEN {secrets.most(c.bits)}" for c in secrets.CLASSES)
+_KINDS = " ".join(f"WHEN regexp_matches(match, '{c.pattern}') THEN {3 + i}" for i, c in enumerate(secrets.CLASSES))
+_WEIGHTS = ", ".join(str(secrets.weight(c)) for c in range(secrets.WINDOW + 1))
+
+# The windows are counted afresh here, not step by step.
+SQL["op3_secrets"] = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{_sql_matches("a", secrets.ASSIGN, "length(value) >= 6", "2")},
+{_sql_matches("k", secrets.ACCESS)},
+{_sql_matches("h", secrets.HEX)},
+{_sql_matches("c", secrets.CANDIDATE)},
+base AS (
+    SELECT doc_id, 0 AS rank, 'assign' AS kind, stop - length(match) AS start, stop FROM a
+    UNION ALL SELECT doc_id, 1, 'access', stop - length(match), stop FROM k
+    UNION ALL SELECT doc_id, 2, 'hex', stop - length(match), stop FROM h
+), candidates AS (
+    SELECT doc_id, match, stop - length(match) AS start, CASE {_LIMITS} END AS most, CASE {_KINDS} END AS rank FROM c
+    WHERE NOT regexp_matches(match, '{"|".join(f"(?:{p})" for p in secrets.ALLOW)}')
+        AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.start < c.stop AND b.stop > c.stop - length(c.match))
+), windows AS (
+    SELECT doc_id, start, rank, most, i, unnest(string_split(substr(match, i + 1, {secrets.WINDOW}), '')) AS ch
+    FROM (SELECT *, unnest(range(0, length(match) - {secrets.WINDOW} + 1)) AS i FROM candidates)
+), hot AS (
+    SELECT doc_id, start, rank, i FROM (SELECT doc_id, start, rank, most, i, ch, count(*) AS n FROM windows GROUP BY ALL)
+    GROUP BY doc_id, start, rank, most, i HAVING sum([{_WEIGHTS}][n + 1]) <= most
+), entropy AS (
+    SELECT doc_id, rank, ['entropy_hex', 'entropy_alnum', 'entropy_base64'][rank - 2] AS kind, start + min(i) AS start, start + max(i) + {secrets.WINDOW} AS stop
+    FROM hot GROUP BY doc_id, rank, hot.start
+), b AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS s FROM base GROUP BY doc_id
+), e AS (
+    SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank, stop) AS s
+    FROM (SELECT * FROM base UNION ALL BY NAME SELECT * FROM entropy) GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.s, '')) AS base_sha256, coalesce(e.s, '') AS spans
+FROM t LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
+"""
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
