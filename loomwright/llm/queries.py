@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomwright.llm.common import table
 from loomwright.llm.exact_dedup import exact_dedup
 from loomwright.llm.mixing import mix_sources
+from loomwright.llm.near_dedup import near_dedup
 from loomwright.llm.piece_bpe import encode_pieces
 from loomwright.llm import secrets
 
@@ -97,6 +98,32 @@ FROM t LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 """
 
 
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
+SQL["op6_near_dedup"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM sets
+    UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+)
+SELECT doc_id, any_value(len(s))::BIGINT AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM sets JOIN reached USING (doc_id) GROUP BY doc_id
+"""
+
+
 @query
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
