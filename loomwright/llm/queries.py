@@ -14,6 +14,7 @@ from loomwright.llm.media_jpeg import store_texts
 from loomwright.llm.mixing import mix_sources
 from loomwright.llm.near_dedup import near_dedup
 from loomwright.llm.piece_bpe import encode_pieces
+from loomwright.llm.toxicity import fit_toxicity, score_toxicity
 from loomwright.llm import secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +144,12 @@ FROM t LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 """
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
