@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomwright.llm.chat import format_segments, read_back
 from loomwright.llm.common import table
 from loomwright.llm.exact_dedup import exact_dedup
+from loomwright.llm.html_text import main_text
 from loomwright.llm.media_jpeg import store_texts
 from loomwright.llm.mixing import mix_sources
 from loomwright.llm.near_dedup import near_dedup
@@ -144,6 +145,12 @@ FROM t LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 """
 
 
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_cut", "n_shared")
+
+
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

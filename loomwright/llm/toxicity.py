@@ -267,7 +267,7 @@ def _terms(sample: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
     for w, n in words.items():
         for k in fit.stems:
             own[w[:k]] = max(own[w[:k]], n)
-    stems = {s: n for s, n in stems.items() if own[s] < 0.6 * n}
+    stems = {s: n for s, n in stems.items() if own[s] < 0.6 * n and n >= 3 * least}
     longer = {s for s, n in stems.items() if any(t != s and t.startswith(s) and m >= 0.9 * n for t, m in stems.items())}
     stems = {s: n for s, n in stems.items() if s not in longer}
     kept = [s for s in stems if not any(t != s and s.startswith(t) for t in stems)]
