@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm.chat import format_segments, read_back
-from loomwright.llm.common import table
+from loomwright.llm.common import shared_dir, table
 from loomwright.llm.exact_dedup import exact_dedup
 from loomwright.llm.html_text import main_text
 from loomwright.llm.media_jpeg import store_texts
 from loomwright.llm.mixing import mix_sources
 from loomwright.llm.near_dedup import near_dedup
 from loomwright.llm.piece_bpe import encode_pieces
+from loomwright.llm.token_files import count_tokens, write_token_files
 from loomwright.llm.toxicity import fit_toxicity, score_toxicity
 from loomwright.llm import secrets
 
@@ -250,6 +252,15 @@ SELECT doc_id, domain, lang, source, n_tokens, least(epochs + (upto <= rest)::BI
 """
 
 
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return count_tokens(spark, folder).select("doc_id", "n_tokens", "closed")
+
+
 @query
 def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
