@@ -138,3 +138,10 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_
     return ended.select(
         F.col("id").alias(id_col), *LEVELS, "n_tokens", F.least(F.col("epochs") + (F.col("upto") <= F.col("rest")).cast("long"), F.lit(mix.max_epochs)).alias("copies")
     )
+
+
+def apply_mix(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` as often as the mixture uses them, with their columns; rows of one id go by its largest number."""
+    used = mix_sources(docs, mix, id_col, text_col).where("copies > 0").groupBy(F.col(id_col).alias("used__")).agg(F.max("copies").cast("int").alias("copies__"))
+    joined = docs.join(used, docs[id_col].eqNullSafe(used["used__"]))
+    return joined.withColumn("copies__", F.explode(F.sequence(F.lit(1), F.col("copies__")))).select(docs.columns)

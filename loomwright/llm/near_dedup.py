@@ -237,3 +237,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return told.join(named, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
     )
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: NearDedup = NearDedup()) -> DataFrame:
+    """The rows of ``docs`` whose id names its component, whole and unchanged."""
+    kept = near_dedup(docs, id_col, text_col, p).where("kept").select(F.col(id_col).alias("kept__")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["kept__"]), "left_semi")

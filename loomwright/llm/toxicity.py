@@ -332,3 +332,16 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 
     scored = rows.mapInArrow(work, f"id {kind}, score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, whole and unchanged, without an exchange."""
+    text_at = docs.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = model.matcher()
+        for batch in batches:
+            texts = as_text(batch.column(text_at))
+            yield batch.filter(pa.array([matcher.score(t.as_py()) < 0.5 for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)
