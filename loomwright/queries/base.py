@@ -52,7 +52,7 @@ VIEWS = {
     "b_fba": "SELECT sku, shop, sum(qty % 7)::BIGINT AS sellable, sum(line % 3)::BIGINT AS in_transit FROM b_lines WHERE flag = 'A' GROUP BY ALL",
     "b_local": "SELECT sku, shop, sum(qty % 5)::BIGINT AS available, sum(line % 2)::BIGINT AS pending FROM b_lines WHERE flag = 'R' GROUP BY ALL",
     "b_pricing": "SELECT spu, fabric, max(CASE WHEN size % 10 <> 0 THEN size * 2 END) AS usage, max(part_id % 20 + 100) AS loss FROM b_products GROUP BY ALL",
-    "b_custom": "SELECT fabric, fabric[1:2] AS code, length(fabric)::BIGINT AS roll FROM (SELECT DISTINCT fabric FROM b_products) WHERE length(fabric) <= 6",
+    "b_custom": "SELECT fabric, fabric[1:2] AS code, length(fabric)::BIGINT AS roll FROM (SELECT DISTINCT fabric FROM b_products) WHERE length(fabric) >= 6",
     "b_owners": """SELECT sku, spu, shop, CASE WHEN supplier_id % 4 = 0 THEN '' ELSE 'own' || (supplier_id % 9) END AS owner, line % 2 AS deleted,
             order_id * 1000 + line * 100 + supplier_id % 100 AS ordinal FROM b_lines WHERE shop <> '无'""",
     "b_freight": """SELECT 'N' || n_nationkey || CASE WHEN n_regionkey = 1 THEN '-US' ELSE '-EU' END AS shop, 'own' || (s_suppkey % 9) AS owner, make_date(2000, (s_suppkey % 12 + 1)::INT, 1) AS month,

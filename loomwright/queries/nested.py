@@ -1 +1,122 @@
-"""."""
+"""Scans of databases, pages and landed records."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomwright.functions.codes import shop_name
+from loomwright.queries.base import query
+from loomwright.sinks.files import fresh_path
+from loomwright.sources import business as b
+from loomwright.sources import paged, stores
+from loomwright.sources.business import table
+
+
+
+def _scan(spark: SparkSession, slices: str, total: int, page: int) -> DataFrame:
+    return paged.read_paged(spark, "id long, slice string, record string", fetch="loomwright.sources.paged:demo_page", slices=slices, total=total, page=page)
+
+
+@query("SELECT o_orderkey AS order_id, o_orderstatus AS status FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'")
+def src_01_table_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").where("o_orderdate >= timestamp_ntz'2001-01-01 00:00:00'").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
+
+
+@query("SELECT i AS id, 'S' || (i % 7) || '-RED-' || (i % 5) AS sku, i % 11 AS qty FROM range(0, 25000) t(i)")
+def src_03_paged_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _scan(spark, "", 25_000, 500)
+    return rows.select("id", F.from_json("record", "sku string, qty long").alias("r")).select("id", "r.sku", "r.qty")
+
+
+@query("SELECT i AS id, s AS slice FROM range(0, 3200) t(i), (VALUES ('0'), ('1')) x(s)")
+def src_05_two_passes(spark: SparkSession, folder: str) -> DataFrame:
+    """A slice for each value of a flag; each is a partition of its own."""
+    return _scan(spark, "0,1", 3200, 800).select("id", "slice")
+
+
+@query("SELECT s AS day, count(*) AS n FROM range(0, 1500) t(i), (VALUES ('2000-06-01'), ('2000-06-02'), ('2000-06-03')) x(s) WHERE i % 7 <> 3 GROUP BY s")
+def src_06_days_with_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _scan(spark, "2000-06-01,2000-06-02,2000-06-03", 1500, 1000)
+    kept = rows.where(~F.get_json_object("record", "$.sku").startswith("S3-"))
+    return kept.groupBy(F.col("slice").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT DISTINCT customer_id, CASE WHEN regexp_matches(shop, '^RR[-_]') THEN 'RR-EU' ELSE shop END AS shop FROM b_shops WHERE shop <> '无'")
+def src_10_shop_dimension(spark: SparkSession, folder: str) -> DataFrame:
+    return b.shops(spark, folder).where("shop <> '无'").select("customer_id", shop_name(F.col("shop")).alias("shop")).distinct()
+
+
+@query("SELECT part_id, (part_id * 3) % 101 AS weight FROM b_products WHERE weight = 0")
+def src_12_batched_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    keys = b.products(spark, folder).where("weight = 0").select("part_id")
+    return paged.batched_lookup(keys, "part_id", "loomwright.sources.paged:demo_details", "part_id long, weight long")
+
+
+@query("SELECT event_id, event_type FROM events")
+def src_13_cursor_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Events landed as pages of up to 500 records, and read back."""
+    path = fresh_path(spark, "pages")
+    rows = table(spark, folder, "events").select("event_id", "event_type", F.floor(F.col("event_id") / 500).alias("page"))
+    pages = rows.groupBy("page").agg(F.collect_list(F.struct("event_id", "event_type")).alias("items"))  # at most 500 records
+    pages.select("items", F.col("page").cast("string").alias("page_token")).write.json(path)
+    return paged.read_cursor_pages(spark, path, "struct<event_id:bigint,event_type:string>")
+
+
+@query("SELECT count(*) AS n FROM range(0, 3000) t(i)")
+def src_15_complete_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return paged.complete(_scan(spark, "", 3000, 1000), 3000).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 0::BIGINT AS n_missing_table, 1::BIGINT AS n_missing_columns")
+def src_16_missing_table(spark: SparkSession, folder: str) -> DataFrame:
+    none = stores.table_or_empty(spark, "no_such_table", "sku string, qty long")
+    lacks = stores.missing_columns(table(spark, folder, "region"), ["r_name", "r_comment"])
+    return none.agg(F.count(F.lit(1)).alias("n_missing_table")).select("n_missing_table", F.lit(len(lacks)).cast("bigint").alias("n_missing_columns"))
+
+
+@query("SELECT n_name AS name, code FROM nation JOIN (VALUES (0, 'A'), (1, 'B'), (2, 'C')) c(k, code) ON k = n_regionkey")
+def src_17_constants(spark: SparkSession, folder: str) -> DataFrame:
+    codes = spark.createDataFrame([(0, "A"), (1, "B"), (2, "C")], "k int, code string")
+    return table(spark, folder, "nation").join(F.broadcast(codes), F.col("k") == F.col("n_regionkey")).select(F.col("n_name").alias("name"), "code")
+
+
+@query("SELECT event_id, event_type || ':' || CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS label FROM events")
+def ingest_json_props(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON texts as variants, typed on reading."""
+    k = F.try_variant_get(F.parse_json("props"), "$.k", "bigint")
+    return table(spark, folder, "events").select("event_id", F.concat_ws(":", "event_type", k.cast("string")).alias("label"))
+
+
+@query("SELECT i AS id, 'created' AS slice FROM range(0, 900) t(i) UNION SELECT i, 'updated' FROM range(0, 900) t(i)")
+def src_04_time_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Records made or changed in a range: two slices."""
+    return _scan(spark, "created,updated", 900, 100).select("id", "slice")
+
+
+@query("SELECT 'S' || (i % 7) || '-RED-' || (i % 5) AS sku, sum(i % 11)::BIGINT AS qty FROM range(0, 4000) t(i) GROUP BY ALL")
+def src_07_stock_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _scan(spark, "", 4000, 1000).select(F.from_json("record", "sku string, qty long").alias("r")).select("r.*")
+    return rows.groupBy("sku").agg(F.sum("qty").alias("qty"))
+
+
+@query("SELECT CASE WHEN i % 2 = 0 THEN 'north' ELSE '无' END AS warehouse, count(*) AS n FROM range(0, 2000) t(i) GROUP BY 1")
+def src_08_stock_with_warehouses(spark: SparkSession, folder: str) -> DataFrame:
+    warehouses = spark.createDataFrame([(0, "north")], "w long, warehouse string")
+    rows = _scan(spark, "", 2000, 500).withColumn("w", F.col("id") % 2).join(F.broadcast(warehouses), "w", "left")
+    return rows.groupBy(F.coalesce("warehouse", F.lit("无")).alias("warehouse")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT s AS month, sum(i % 11)::BIGINT AS qty FROM range(0, 700) t(i), (VALUES (DATE '2000-04-01'), (DATE '2000-05-01')) x(s) GROUP BY s")
+def src_09_months(spark: SparkSession, folder: str) -> DataFrame:
+    """A slice for each month; pages until the total is reached."""
+    rows = _scan(spark, "2000-04-01,2000-05-01", 700, 300)
+    qty = F.from_json("record", "qty long")["qty"]
+    return rows.groupBy(F.col("slice").cast("date").alias("month")).agg(F.sum(qty).alias("qty"))
+
+
+@query("SELECT s AS shop, i AS shipment, i * 10 + b AS box FROM range(0, 120) t(i), (VALUES ('N1'), ('N2')) x(s), range(0, 3) y(b)")
+def src_11_shipments_and_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    """Shipments of every shop, and the boxes of every shipment."""
+    shipments = _scan(spark, "N1,N2", 120, 50).select(F.col("slice").alias("shop"), F.col("id").alias("shipment"))
+    return shipments.select("shop", "shipment", F.explode(F.array(*(F.col("shipment") * 10 + k for k in range(3)))).alias("box"))

@@ -1 +1,152 @@
-"""."""
+"""Sinks: what tables hold after writing."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from loomwright.functions.codes import spu_of
+from loomwright.operators import ranking, reshape
+from loomwright.queries.base import query
+from loomwright.sinks import merge
+from loomwright.sinks.files import fresh_path, replace_folder, write_files
+from loomwright.sources import business as b
+from loomwright.sources.business import table
+
+CUT = dt.date(2000, 6, 1)
+
+
+def _old_new(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """A table of sales by product and month, and newer rows for some of its keys and for others."""
+    sales = b.monthly_sales(spark, folder).groupBy("sku", "month").agg(F.sum("qty").alias("qty"), F.max("shop").alias("shop"))
+    old = sales.where(F.month("month") != 7)
+    new = sales.where((F.col("month") >= F.lit(CUT)) & (F.month("month") % 2 == 1)).select("sku", "month", (F.col("qty") + 1000).alias("qty"), F.lit("new").alias("shop"))
+    return old, new
+
+
+_BASE = """WITH s AS (SELECT sku, month, sum(qty)::BIGINT AS qty, max(shop) AS shop FROM b_sales GROUP BY ALL), old AS (SELECT * FROM s WHERE month(month) <> 7),
+new AS (SELECT sku, month, qty + 1000 AS qty, 'new' AS shop FROM s WHERE month >= DATE '2000-06-01' AND month(month) % 2 = 1)"""
+
+
+@query("SELECT sku, shop, month, qty FROM b_sales WHERE month >= DATE '2000-06-01'")
+def snk_01_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Written twice to one folder; the second write replaces the first."""
+    path, sales = fresh_path(spark, "refresh"), b.monthly_sales(spark, folder).select("sku", "shop", "month", "qty")
+    replace_folder(sales.where(F.col("month") < F.lit(CUT)), path)
+    replace_folder(sales.where(F.col("month") >= F.lit(CUT)), path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT spu, sum(qty)::BIGINT AS qty FROM b_planned GROUP BY spu")
+def snk_02_truncate_insert(spark: SparkSession, folder: str) -> DataFrame:
+    path, rows = fresh_path(spark, "truncate"), b.planned_orders(spark, folder).groupBy("spu").agg(F.sum("qty").alias("qty"))
+    rows.limit(1).write.mode("overwrite").parquet(path)
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(f"{_BASE} SELECT * FROM old WHERE month < DATE '2000-06-01' UNION ALL SELECT * FROM new")
+def snk_03_range_replace(spark: SparkSession, folder: str) -> DataFrame:
+    old, new = _old_new(spark, folder)
+    return merge.replace_range(old, new, F.col("month") >= F.lit(CUT))
+
+
+@query(f"{_BASE} SELECT * FROM old WHERE month NOT IN (SELECT month FROM new) UNION ALL SELECT * FROM new")
+def snk_04_slice_replace(spark: SparkSession, folder: str) -> DataFrame:
+    old, new = _old_new(spark, folder)
+    return merge.replace_slices(old, new, ["month"])
+
+
+@query(f"{_BASE} SELECT * FROM old ANTI JOIN new USING (sku, month) UNION ALL SELECT * FROM new")
+def snk_05_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    old, new = _old_new(spark, folder)
+    return merge.upsert(old, new, ["sku", "month"])
+
+
+@query(f"{_BASE} SELECT sku, month, coalesce(new.qty, old.qty) AS qty, coalesce(old.shop, new.shop) AS shop FROM old FULL JOIN new USING (sku, month)")
+def snk_05_upsert_some_columns(spark: SparkSession, folder: str) -> DataFrame:
+    old, new = _old_new(spark, folder)
+    return merge.upsert(old, new, ["sku", "month"], keep=["shop"])
+
+
+@query(f"{_BASE} SELECT * FROM old UNION ALL SELECT * FROM new ANTI JOIN old USING (sku, month)")
+def snk_06_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
+    old, new = _old_new(spark, folder)
+    return merge.insert_ignore(old, new, ["sku", "month"], "qty")
+
+
+@query(f"{_BASE} SELECT * FROM old WHERE sku NOT IN (SELECT sku FROM new) UNION ALL SELECT * FROM new")
+def snk_07_delete_insert(spark: SparkSession, folder: str) -> DataFrame:
+    old, new = _old_new(spark, folder)
+    return merge.delete_then_insert(old, new, "sku")
+
+
+@query("SELECT part_id, sku, CASE WHEN weight = 0 THEN size + 1 ELSE weight END AS weight FROM b_products")
+def snk_08_update_columns(spark: SparkSession, folder: str) -> DataFrame:
+    p = b.products(spark, folder)
+    found = p.where("weight = 0").select("part_id", (F.col("size") + 1).alias("weight"))
+    return merge.update_columns(p.select("part_id", "sku", "weight"), found, "part_id")
+
+
+@query("SELECT part_id AS id, sku, NULL::VARCHAR AS note FROM b_products")
+def snk_09_schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    wanted = StructType([StructField("id", LongType()), StructField("sku", StringType()), StructField("note", StringType())])
+    return merge.check_schema(merge.evolve(b.products(spark, folder), wanted, {"part_id": "id"}, extra="drop"), wanted)
+
+
+@query("SELECT sku, shop, available, pending, CASE WHEN available > 20 THEN 'many' ELSE 'few' END AS view FROM b_local WHERE shop = 'N1-US'")
+def snk_10_guarded_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows for a target that takes 20,000 at most, in its columns."""
+    rows = b.local_stock(spark, folder).where("shop = 'N1-US'").select("sku", "shop", "available", "pending", F.when(F.col("available") > 20, "many").otherwise("few").alias("view"))
+    return merge.guarded_size(rows)
+
+
+@query("SELECT owner, count(DISTINCT sku) AS products FROM b_owners WHERE owner <> '' GROUP BY owner")
+def snk_11_owner_views(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each owner's view."""
+    return b.owners(spark, folder).where("owner <> ''").groupBy("owner").agg(F.countDistinct("sku").alias("products"))
+
+
+@query("SELECT part_id, sku, ((row_number() OVER (PARTITION BY fabric ORDER BY part_id) - 1) // 100)::INT AS file, fabric FROM b_products")
+def snk_12_chunked_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "chunks")
+    write_files(ranking.chunked(b.products(spark, folder).select("part_id", "sku", "fabric"), ["fabric"], ["part_id"], 100, "file"), path, "file")
+    return spark.read.parquet(path)
+
+
+@query("SELECT spu, sum(qty)::BIGINT AS qty FROM b_planned GROUP BY spu UNION ALL SELECT 'total', sum(qty)::BIGINT FROM b_planned")
+def snk_13_total_row(spark: SparkSession, folder: str) -> DataFrame:
+    return reshape.with_total_row(b.planned_orders(spark, folder).groupBy("spu").agg(F.sum("qty").alias("qty")), "spu", "total", ["qty"])
+
+
+@query("SELECT shop, sum(qty)::BIGINT AS qty, '| ' || shop || ' | ' || sum(qty)::BIGINT || ' |' AS line FROM b_planned GROUP BY shop")
+def snk_14_card_data(spark: SparkSession, folder: str) -> DataFrame:
+    rows = b.planned_orders(spark, folder).groupBy("shop").agg(F.sum("qty").alias("qty"))
+    return rows.select("shop", "qty", F.concat(F.lit("| "), "shop", F.lit(" | "), F.col("qty").cast("string"), F.lit(" |")).alias("line"))
+
+
+@query("SELECT order_id, line, sku FROM b_lines WHERE qty = 50")
+def snk_15_json_dump(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "dump")
+    b.lines(spark, folder).where("qty = 50").select("order_id", "line", "sku").write.json(path)
+    return spark.read.schema("order_id long, line long, sku string").json(path)
+
+
+@query("SELECT shop, (n // 15)::BIGINT AS order_no, count(*) AS items FROM (SELECT shop, row_number() OVER (PARTITION BY shop ORDER BY sku) - 1 AS n FROM (SELECT DISTINCT shop, sku FROM b_planned)) GROUP BY ALL")
+def snk_16_order_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """At most 15 products an order."""
+    rows = ranking.chunked(b.planned_orders(spark, folder).select("shop", "sku").distinct(), ["shop"], ["sku"], 15, "order_no")
+    payload = rows.groupBy("shop", "order_no").agg(F.collect_list("sku").alias("skus"))
+    return payload.select("shop", "order_no", F.size("skus").cast("bigint").alias("items"))
+
+
+@query("SELECT spu, count(*) AS n FROM b_products GROUP BY spu")
+def snk_18_atomic_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder that is read and replaced in one step."""
+    path = fresh_path(spark, "atomic")
+    replace_folder(b.products(spark, folder).select("part_id", "sku"), path)
+    replace_folder(spark.read.parquet(path).groupBy(spu_of(F.col("sku")).alias("spu")).agg(F.count(F.lit(1)).alias("n")), path)
+    return spark.read.parquet(path)

@@ -119,7 +119,7 @@ def fabric_pricing(spark: SparkSession, folder: str) -> DataFrame:
 
 def custom_fabrics(spark: SparkSession, folder: str) -> DataFrame:
     """fabric, code, roll (metres on one): the fabrics made to order."""
-    f = products(spark, folder).select("fabric").distinct().where(F.length("fabric") <= 6)
+    f = products(spark, folder).select("fabric").distinct().where(F.length("fabric") >= 6)
     return f.select("fabric", F.substring("fabric", 1, 2).alias("code"), F.length("fabric").cast("bigint").alias("roll"))
 
 
