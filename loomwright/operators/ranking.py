@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loomwright.sinks.files import written
+
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], take: Sequence[str]) -> DataFrame:
     """For each key the columns ``take`` of the row that comes first by ``order``.
@@ -42,5 +44,19 @@ def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], size: int, name: str = "chunk") -> DataFrame:
-    """Rows dealt out in order to chunks of ``size`` within each key, from 0."""
-    return numbered(df, keys, order, "number__").withColumn(name, F.floor((F.col("number__") - 1) / size)).drop("number__")
+    """Rows dealt out in order to chunks of ``size`` within each key, from 0.
+
+    Rows are range-partitioned by key and order, and numbered within a
+    partition; a key that spans partitions goes on from the rows that those
+    before hold.  So no key's rows are in one task, however many it has.
+    """
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    by = [*map(F.col, keys), *order]
+    placed = written(df.repartitionByRange(*by).withColumn("part__", F.spark_partition_id()), "numbered")
+    sizes = placed.groupBy(*keys, "part__").agg(F.count(F.lit(1)).alias("n__"))
+    before = F.sum("n__").over(Window.partitionBy(*keys).orderBy("part__").rowsBetween(Window.unboundedPreceding, -1))  # a row for each partition
+    starts = sizes.select(*(F.col(k).alias(f"{k}__") for k in keys), F.col("part__").alias("of__"), F.coalesce(before, F.lit(0)).alias("start__"))
+    within = F.row_number().over(Window.partitionBy(*keys, "part__").orderBy(*order))
+    same = [placed[k].eqNullSafe(starts[f"{k}__"]) for k in keys] + [placed["part__"] == starts["of__"]]
+    joined = placed.withColumn("row__", within).join(starts, same)
+    return joined.withColumn(name, F.floor((F.col("start__") + F.col("row__") - 1) / size)).select(*df.columns, name)

@@ -25,6 +25,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written once to the shared folder and read back: later steps don't compute it again."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def replace_folder(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Write beside ``path``, then swap: readers see the old files or the new, and ``df`` may read ``path`` itself."""
     spark = df.sparkSession

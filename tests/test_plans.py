@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from loomwright.operators import lookup, reshape
+from loomwright.operators import lookup, ranking, reshape
 from loomwright.plans import fees, forecast, inventory, procurement
 from loomwright.sources import business
 
@@ -166,3 +166,12 @@ def test_orders_have_bounded_size(spark, limit):
     rows = spark.createDataFrame([("s", f"m{i}", "fee", i + 1) for i in range(7)], "shop string, msku string, fee string, amount long")
     sizes = [len(r["items"]) for r in fees.fee_orders(rows, limit).collect()]
     assert sum(sizes) == 7 and max(sizes) <= limit
+
+
+def test_chunks_go_on_over_partitions(spark):
+    rows = spark.range(1000).select((F.col("id") % 2).alias("k"), (F.col("id") * 37 % 1000).alias("o")).withColumn("k", F.when(F.col("k") == 1, 1))
+    found = ranking.chunked(rows, ["k"], ["o"], 30).collect()
+    assert len(found) == 1000
+    for k in (None, 1):
+        mine = sorted((r["o"], r["chunk"]) for r in found if r["k"] == k)
+        assert [c for _, c in mine] == [i // 30 for i in range(500)]
