@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,25 +22,22 @@ def primary_fabric(pricing: DataFrame) -> DataFrame:
     return first_wins(pricing, ["spu"], [-F.coalesce("usage", F.lit(0).cast("bigint")), "fabric"], ["fabric"])
 
 
-def suggestions(forecasts: DataFrame, stock: DataFrame, pricing: DataFrame, custom: DataFrame, factories: DataFrame, planned: DataFrame) -> DataFrame:
+def suggestions(forecasts: DataFrame, stock: DataFrame, pricing: DataFrame, custom: DataFrame, factories: DataFrame, planned: DataFrame, first: dt.date) -> DataFrame:
     """spu, shop, factory, fabric_type, cover, suggested, planned_total, stock, pending, total.
 
     The suggestion is what all forecast months need beyond stock and arrivals;
-    the months covered only limit the planned total.  Stock without a shop
-    counts for every shop.
+    the months covered (from ``first`` on) only limit the planned total.  Stock
+    without a shop counts for every shop.
     """
-    month_no = forecasts.select("month").distinct()
-    by_month = forecasts.groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
-    total = by_month.groupBy("spu", "shop").agg(F.sum("qty").alias("total"))
+    total = forecasts.groupBy("spu", "shop").agg(F.sum("qty").alias("total"))
     kind = primary_fabric(pricing).join(custom.select("fabric", F.lit(True).alias("custom")), "fabric", "left").select("spu", F.coalesce("custom", F.lit(False)).alias("custom"))
     rows = total.join(kind, "spu", "left").na.fill(False, ["custom"])
     rows = rows.withColumn("cover", F.when(F.col("custom"), COVER_CUSTOM).otherwise(COVER_STOCK).cast("bigint"))
     rows = wildcard_additive(rows, stock, "spu", "shop", ["stock", "pending"])
     rows = rows.join(factories, ["spu", "shop"], "left").withColumn("factory", F.coalesce("factory", F.lit("")))
-    first = month_no.agg(F.min("month").alias("first"))
-    plan = planned.groupBy("spu", "shop", "month").agg(F.sum("qty").alias("planned")).crossJoin(F.broadcast(first))  # one row
-    plan = plan.withColumn("ordinal", F.months_between("month", "first").cast("int")).where("ordinal >= 0")
-    ahead = plan.groupBy("spu", "shop").agg(*(F.sum(F.when(F.col("ordinal") < n, F.col("planned"))).alias(f"p{n}") for n in (COVER_STOCK, COVER_CUSTOM)))
+    ordinal = F.months_between("month", F.lit(first)).cast("int")
+    plan = planned.where(F.col("month") >= F.lit(first)).withColumn("ordinal", ordinal)
+    ahead = plan.groupBy("spu", "shop").agg(*(F.sum(F.when(F.col("ordinal") < n, F.col("qty"))).alias(f"p{n}") for n in (COVER_STOCK, COVER_CUSTOM)))
     rows = rows.join(ahead, ["spu", "shop"], "left")
     chosen = F.when(F.col("custom"), F.col(f"p{COVER_CUSTOM}")).otherwise(F.col(f"p{COVER_STOCK}"))
     return rows.select(
@@ -55,13 +54,11 @@ def suggestions(forecasts: DataFrame, stock: DataFrame, pricing: DataFrame, cust
     )
 
 
-def monthly_suggestions(forecasts: DataFrame, suggested: DataFrame) -> DataFrame:
-    """spu, shop, month, suggested, share: the suggestion over months, earlier ones first."""
+def monthly_suggestions(forecasts: DataFrame, suggested: DataFrame, first: dt.date) -> DataFrame:
+    """spu, shop, month, suggested, share: the suggestion over months, earlier ones (from ``first`` on) first."""
     by_month = forecasts.groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
-    months = by_month.select("month").distinct()
-    first = months.agg(F.min("month").alias("first"))
-    rows = by_month.join(suggested.select("spu", "shop", "suggested"), ["spu", "shop"]).crossJoin(F.broadcast(first))  # one row
-    place = F.months_between("month", "first").cast("int")
+    rows = by_month.join(suggested.select("spu", "shop", "suggested"), ["spu", "shop"])
+    place = F.months_between("month", F.lit(first)).cast("int")
     decay = F.coalesce(F.get(F.array(*[F.lit(d) for d in DECAY]), place), F.lit(5)).cast("bigint")
     rows = rows.withColumn("weight", F.col("qty") * decay)
     return allocate(rows, ["spu", "shop"], "month", "suggested", "weight", "share").select("spu", "shop", "month", "suggested", "share")

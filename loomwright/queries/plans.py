@@ -16,6 +16,7 @@ from loomwright.sources import business as b
 from loomwright.sources.business import AS_OF, table
 
 P = forecast.Forecast()
+FIRST = forecast.shifted(AS_OF, 0)
 _LAGS = sorted({1, 2, 3, 13, 14, 15, 12, 11, 10, 9})
 _DAY = lambda k: f"DATE '{forecast.shifted(AS_OF, -k)}'"
 _W = ", ".join(f"coalesce(sum(qty) FILTER (month = {_DAY(k)}), 0)::BIGINT AS s_{k}" for k in _LAGS)
@@ -136,7 +137,7 @@ def _style_stock(spark: SparkSession, folder: str) -> DataFrame:
 def _suggestions(spark: SparkSession, folder: str) -> DataFrame:
     latest = F.max_by("supplier_id", F.struct("ordered", "order_id", "line", "supplier_id")).cast("string")
     factory = b.purchases(spark, folder).where("status <> 'F'").groupBy("spu", "shop").agg(latest.alias("factory"))
-    return procurement.suggestions(_forecast(spark, folder), _style_stock(spark, folder), b.fabric_pricing(spark, folder), b.custom_fabrics(spark, folder), factory, _ahead(spark, folder))
+    return procurement.suggestions(_forecast(spark, folder), _style_stock(spark, folder), b.fabric_pricing(spark, folder), b.custom_fabrics(spark, folder), factory, _ahead(spark, folder), FIRST)
 
 
 SUGGESTED = f"""{FORECAST},
@@ -162,7 +163,7 @@ def cmp_07_suggestions(spark: SparkSession, folder: str) -> DataFrame:
 s AS (SELECT *, CASE WHEN sum(w) OVER g > 0 THEN round_even((suggested::DECIMAL(18,0) * w) / (sum(w) OVER g), 0) ELSE 0 END AS share FROM m WINDOW g AS (PARTITION BY spu, shop))
 SELECT spu, shop, month, suggested, CASE WHEN month = DATE '2000-09-01' THEN greatest(0, suggested - sum(share) OVER (PARTITION BY spu, shop ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) ELSE share END::BIGINT AS share FROM s""")
 def cmp_07_monthly_suggestions(spark: SparkSession, folder: str) -> DataFrame:
-    return procurement.monthly_suggestions(_forecast(spark, folder), _suggestions(spark, folder))
+    return procurement.monthly_suggestions(_forecast(spark, folder), _suggestions(spark, folder), FIRST)
 
 
 @query(f"WITH {SUGGESTED} SELECT fabric, count(DISTINCT spu) AS styles, sum(suggested)::BIGINT AS suggested, arg_max(coalesce(usage, 0), (spu, shop)) AS usage, (sum(suggested)::BIGINT * arg_max(coalesce(usage, 0), (spu, shop)))::DOUBLE / 100 AS metres FROM g_rows JOIN b_pricing USING (spu) WHERE fabric_type = 'custom' AND suggested > 0 GROUP BY fabric")
