@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.llm.common import WHITE, text_of
+from loomwright.llm.common import WHITE, text_of, written
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,6 +41,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .withColumn("group_size", F.when(F.col("n") == 1, F.col("group_size")).otherwise(F.raise_error("unequal texts share both hashes").cast("long")))
         .drop("n")
     )
+    # Read back, the classes share no stage with their aggregation, so a large group's
+    # side of the join can be split (and its class repeated) at run time.
+    named = written(named, "classes")
     return rows.drop("norm").join(named, ["h128", "text_sha256"]).select(
         F.col("id").alias(id_col), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
