@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loomwright.functions.numbers import clamp, ratio
 
@@ -34,6 +35,11 @@ def shifted(day: dt.date, months: int) -> dt.date:
     return dt.date(n // 12, n % 12 + 1, 1)
 
 
+def span(as_of: dt.date) -> tuple[dt.date, dt.date]:
+    """The days (from, to before) whose sales a forecast reads."""
+    return shifted(as_of, -15), shifted(as_of, 0)
+
+
 def series(sales: DataFrame, as_of: dt.date, p: Forecast) -> DataFrame:
     """shop, sku, spu and one column for each month that a forecast reads: s_1 is last month, s_13 a year before it.
 
@@ -81,8 +87,8 @@ def forecast(sales: DataFrame, as_of: dt.date, p: Forecast = Forecast()) -> Data
     through to recent growth even for old products.
     """
     known = series(sales, as_of, p).withColumn("trend", trend_factor(p))
-    styles = known.groupBy("shop", "spu").agg(F.floor(F.avg("trend") + 0.5).alias("style_trend"))
-    known = known.join(styles, ["shop", "spu"])
+    style = Window.partitionBy("shop", "spu")  # the products of one style in one shop
+    known = known.withColumn("style_trend", F.floor(F.avg("trend").over(style) + 0.5))
     steps = []
     for step in range(p.months):
         year_ago = F.col(f"s_{12 - step}")

@@ -51,17 +51,17 @@ f_rows AS ({" UNION ALL ".join(_step(s) for s in range(P.months))})"""
 
 
 def _forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return forecast.forecast(b.monthly_sales(spark, folder), AS_OF)
+    return forecast.forecast(b.monthly_sales(spark, folder, *forecast.span(AS_OF)), AS_OF)
 
 
 @query(f"WITH {FORECAST} SELECT shop, sku, trend FROM f_trend")
 def cmp_02_trend_factor(spark: SparkSession, folder: str) -> DataFrame:
-    return forecast.series(b.monthly_sales(spark, folder), AS_OF, P).select("shop", "sku", forecast.trend_factor(P).alias("trend"))
+    return forecast.series(b.monthly_sales(spark, folder, *forecast.span(AS_OF)), AS_OF, P).select("shop", "sku", forecast.trend_factor(P).alias("trend"))
 
 
 @query(f"WITH {FORECAST} SELECT shop, sku, (CASE WHEN s_1 + s_2 + s_3 < 5 THEN 0 WHEN growth > 0.05::DOUBLE THEN floor({_damped(1)}) ELSE floor((s_1 + s_2 + s_3) / 3.0::DOUBLE) END)::BIGINT AS qty FROM f_trend")
 def cmp_03_recent_growth(spark: SparkSession, folder: str) -> DataFrame:
-    return forecast.series(b.monthly_sales(spark, folder), AS_OF, P).select("shop", "sku", forecast.recent_growth(1, P)[0].alias("qty"))
+    return forecast.series(b.monthly_sales(spark, folder, *forecast.span(AS_OF)), AS_OF, P).select("shop", "sku", forecast.recent_growth(1, P)[0].alias("qty"))
 
 
 @query(f"WITH {FORECAST} SELECT shop, sku, spu, month, qty, method, trend FROM f_rows")
@@ -198,7 +198,7 @@ def cmp_08_fabric_demand(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _profit_records(spark: SparkSession, folder: str) -> DataFrame:
-    rows = b.lines(spark, folder).where((F.col("shipped") >= F.lit(dt.date(2000, 1, 1))) & (F.col("shipped") < F.lit(dt.date(2001, 1, 1))))
+    rows = b.lines(spark, folder, dt.date(2000, 1, 1), dt.date(2001, 1, 1))
     return rows.select(
         F.concat_ws("-", "order_id", "line", "part_id", "supplier_id").alias("id"), "sku", "shop", F.concat(F.lit("own"), (F.col("supplier_id") % 9).cast("string")).alias("owner"), dates.month_of(F.col("shipped")).alias("month"),
         "cost", F.col("tax").alias("freight_cost"), F.col("qty").alias("sold"), (F.col("line") % 2).alias("reshipped"), (F.col("line") % 3).alias("returned"), "discount", "tax", "cents",
@@ -232,7 +232,7 @@ _FEES = {"discount": "promotion", "tax": "duty", "promo2": "vine", "promo3": "la
 
 
 def _fees(spark: SparkSession, folder: str) -> DataFrame:
-    rows = b.lines(spark, folder).where((F.col("shipped") >= F.lit(dt.date(2000, 5, 1))) & (F.col("shipped") < F.lit(dt.date(2000, 6, 1))))
+    rows = b.lines(spark, folder, dt.date(2000, 5, 1), dt.date(2000, 6, 1))
     rows = rows.select("shop", F.concat(F.lit("LA"), "sku").alias("msku"), "discount", "tax", (F.col("line") % 3).alias("promo2"), (F.col("qty") % 4).alias("promo3"))
     return fees.expanded_fees(rows, _FEES, 40)
 
@@ -282,7 +282,7 @@ SELECT q.shop, q.sku, f0, f1, coalesce(e.available, 0) + coalesce(w.available, 0
 def cmp_14_sales_sheet(spark: SparkSession, folder: str) -> DataFrame:
     from loomwright.operators.lookup import wildcard_additive
 
-    sales = b.monthly_sales(spark, folder)
+    sales = b.monthly_sales(spark, folder, *forecast.span(AS_OF))
     wide = forecast.forecast(sales, AS_OF).withColumn("label", F.when(F.col("month") == F.lit(dt.date(2000, 6, 1)), "f0").when(F.col("month") == F.lit(dt.date(2000, 7, 1)), "f1"))
     wide = reshape.pivot_months(wide, ["shop", "sku", "spu"], "label", ["f0", "f1"], "qty")
     sells = forecast.series(sales, AS_OF, P).groupBy("shop", "spu").agg(F.sum(F.col("s_1") + F.col("s_2") + F.col("s_3")).alias("recent")).where("recent > 0")

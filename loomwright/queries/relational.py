@@ -80,8 +80,7 @@ def flt_11_style_sells(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT shop, sku, sum(qty)::BIGINT AS recent FROM b_sales WHERE month IN (DATE '2000-05-01', DATE '2000-04-01', DATE '2000-03-01') GROUP BY shop, sku HAVING sum(qty) > 0")
 def flt_12_recent_sales(spark: SparkSession, folder: str) -> DataFrame:
-    months = [dt.date(2000, m, 1) for m in (5, 4, 3)]
-    return b.monthly_sales(spark, folder).where(F.col("month").isin(months)).groupBy("shop", "sku").agg(F.sum("qty").alias("recent")).where("recent > 0")
+    return b.monthly_sales(spark, folder, dt.date(2000, 3, 1), dt.date(2000, 6, 1)).groupBy("shop", "sku").agg(F.sum("qty").alias("recent")).where("recent > 0")
 
 
 @query("SELECT CASE WHEN shop = '无' THEN 'no shop' WHEN qty < 5 THEN 'too few' WHEN discount = 0 THEN 'no discount' ELSE 'ok' END AS reason, count(*) AS n FROM b_lines GROUP BY 1")
@@ -178,7 +177,7 @@ _RECORDS = """(SELECT order_id, line, part_id, sku, shop, 'own' || (supplier_id
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
-    rows = b.lines(spark, folder).where((F.col("shipped") >= F.lit(dt.date(2000, 1, 1))) & (F.col("shipped") < F.lit(dt.date(2001, 1, 1))))
+    rows = b.lines(spark, folder, dt.date(2000, 1, 1), dt.date(2001, 1, 1))
     return rows.select("order_id", "line", "part_id", "sku", "shop", F.concat(F.lit("own"), (F.col("supplier_id") % 9).cast("string")).alias("owner"), dates.month_of(F.col("shipped")).alias("month"))
 
 
@@ -407,7 +406,7 @@ def agg_06_by_expression(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT shop, sku, sum(cents)::BIGINT AS cents, sum(qty)::BIGINT AS qty, sum(discount)::BIGINT AS discount, sum(tax)::BIGINT AS tax FROM b_lines WHERE shipped >= DATE '2000-05-01' AND shipped < DATE '2000-06-01' GROUP BY ALL")
 def agg_07_four_sums(spark: SparkSession, folder: str) -> DataFrame:
-    rows = b.lines(spark, folder).where((F.col("shipped") >= F.lit(dt.date(2000, 5, 1))) & (F.col("shipped") < F.lit(dt.date(2000, 6, 1))))
+    rows = b.lines(spark, folder, dt.date(2000, 5, 1), dt.date(2000, 6, 1))
     return rows.groupBy("shop", "sku").agg(*(F.sum(c).alias(c) for c in ("cents", "qty", "discount", "tax")))
 
 
@@ -504,7 +503,7 @@ def agg_24_row_sum(spark: SparkSession, folder: str) -> DataFrame:
 def agg_25_weighted_mean(spark: SparkSession, folder: str) -> DataFrame:
     """Weights of the months that are there, renormalised."""
     w = F.when(F.col("month") == F.lit(dt.date(2000, 5, 1)), 6).when(F.col("month") == F.lit(dt.date(2000, 4, 1)), 3).otherwise(1)
-    rows = b.monthly_sales(spark, folder).where(F.col("month").between(F.lit(dt.date(2000, 3, 1)), F.lit(dt.date(2000, 5, 1)))).withColumn("w", w)
+    rows = b.monthly_sales(spark, folder, dt.date(2000, 3, 1), dt.date(2000, 6, 1)).withColumn("w", w)
     return rows.groupBy("shop", "sku").agg(numbers.ratio(F.sum(F.col("w") * F.col("qty")), F.sum("w")).alias("mean"))
 
 

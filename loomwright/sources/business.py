@@ -59,9 +59,14 @@ def shops(spark: SparkSession, folder: str) -> DataFrame:
     return customer.select(F.col("c_custkey").alias("customer_id"), F.when(F.col("c_custkey") % 11 == 0, F.lit(NONE)).otherwise(code).alias("shop"))
 
 
-def lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines with their product and shop."""
-    item = table(spark, folder, "lineitem").select(
+def lines(spark: SparkSession, folder: str, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """Order lines with their product and shop; shipped from ``since`` to before ``until``, which the scan sees."""
+    item = table(spark, folder, "lineitem")
+    if since:
+        item = item.where(F.col("l_shipdate") >= F.lit(dt.datetime(since.year, since.month, since.day)))
+    if until:
+        item = item.where(F.col("l_shipdate") < F.lit(dt.datetime(until.year, until.month, until.day)))
+    item = item.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("part_id"),
         F.col("l_suppkey").alias("supplier_id"),
@@ -80,9 +85,9 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     return item.join(order, "order_id").join(shops(spark, folder), "customer_id").join(products(spark, folder), "part_id")
 
 
-def monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
+def monthly_sales(spark: SparkSession, folder: str, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
     """shop, sku, spu, month, qty: by month of shipping, shops and codes present."""
-    sold = lines(spark, folder).where(F.col("shop") != NONE)
+    sold = lines(spark, folder, since, until).where(F.col("shop") != NONE)
     return sold.groupBy("shop", "sku", "spu", month_of(F.col("shipped")).alias("month")).agg(F.sum("qty").alias("qty"))
 
 
