@@ -65,6 +65,15 @@ def fabric_demand(planned: DataFrame, forecasts: DataFrame, pricing: DataFrame,
     )
 
 
+def product_demand(planned: DataFrame, pricing: DataFrame, custom: DataFrame) -> DataFrame:
+    """sku, fabric, month, fabric_colour, planned_qty, metres: the older report, by product, for fabrics made to order."""
+    made = planned.groupBy("sku", "month").agg(F.sum("qty").alias("planned_qty")).where("planned_qty <> 0")
+    made = made.withColumn("spu", spu_of(F.col("sku"))).withColumn("colour", F.upper(colour_of(F.col("sku"), 3))).where("colour <> ''")
+    used = made.join(usage_with_average(pricing), "spu").join(custom.where("code <> ''").select("fabric", "code"), "fabric")
+    metres = F.floor(F.col("planned_qty") * F.col("per_piece") / 10_000 + 0.5) / 100
+    return used.select("sku", "fabric", "month", F.concat_ws("-", "code", "colour").alias("fabric_colour"), "planned_qty", metres.alias("metres"))
+
+
 def latest_pricing(records: DataFrame) -> DataFrame:
     """Records with repeated fabric columns as rows; of each style all rows of its latest time."""
     from loomwright.operators.ranking import latest_with_ties

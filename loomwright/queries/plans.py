@@ -317,6 +317,13 @@ def cmp_18_fabric_prices(spark: SparkSession, folder: str) -> DataFrame:
     return fabric.latest_pricing(records)
 
 
+@query(f"""WITH k AS (SELECT sku, month, sum(qty)::BIGINT AS planned_qty FROM b_planned WHERE month BETWEEN DATE '2000-06-01' AND DATE '2000-09-01' GROUP BY ALL HAVING sum(qty) <> 0), mn AS (SELECT fabric, (sum(usage)::BIGINT * 1000) // count(*) AS m FROM b_pricing WHERE usage > 0 GROUP BY fabric),
+u AS (SELECT p.spu, p.fabric, ((CASE WHEN coalesce(usage, 0) = 0 THEN coalesce(m, 0) ELSE usage * 1000 END) * (CASE WHEN coalesce(loss, 0) = 0 THEN 100 ELSE loss END) / 10)::BIGINT AS per_piece FROM b_pricing p LEFT JOIN mn USING (fabric))
+SELECT sku, fabric, month, code || '-' || c AS fabric_colour, planned_qty, floor(planned_qty * per_piece / 10000.0::DOUBLE + 0.5) / 100.0::DOUBLE AS metres FROM (SELECT *, {spu("sku")} AS spu, upper({colour("sku", 3)}) AS c FROM k) JOIN u USING (spu) JOIN b_custom USING (fabric) WHERE c <> ''""")
+def cmp_19_product_demand(spark: SparkSession, folder: str) -> DataFrame:
+    return fabric.product_demand(_ahead(spark, folder), b.fabric_pricing(spark, folder), b.custom_fabrics(spark, folder))
+
+
 @query("SELECT sku, shop, available, pending, coalesce(name, '') AS name FROM b_local LEFT JOIN (SELECT sku, arg_min(name, part_id) AS name FROM b_products GROUP BY sku) USING (sku) WHERE available <> 0 OR pending <> 0")
 def cmp_20_inventory_sheet(spark: SparkSession, folder: str) -> DataFrame:
     return inventory.inventory_sheet(b.local_stock(spark, folder), b.products(spark, folder))
