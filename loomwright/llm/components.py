@@ -22,11 +22,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     )
     found = left.select(F.col("a").alias("id")).union(left.select("b")).distinct().withColumn("component", F.col("id"))
     while not left.isEmpty():
-        up = left.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("p"))
+        up = written(left.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("p")), "pointers")
         for _ in range(2):
+            # Many pointers may lead to one hub; as both sides are read back, that side can be split.
             above = up.select(F.col("v").alias("w"), F.col("p").alias("q"))
-            up = up.join(above, up["p"] == above["w"], "left").select("v", F.coalesce("q", "p").alias("p"))
-        up = written(up, "pointers")
+            up = written(up.join(above, up["p"] == above["w"], "left").select("v", F.coalesce("q", "p").alias("p")), "pointers")
         to = lambda df, c: df.join(up, df[c] == up["v"], "left").withColumn(c, F.coalesce("p", c)).drop("v", "p")
         found = written(to(found, "component"), "components")
         moved = to(to(left, "a"), "b").where(F.col("a") != F.col("b"))

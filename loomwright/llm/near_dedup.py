@@ -232,7 +232,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grouped = _groups(written(members, "candidates"), p)
     links = connected_components(_verified(docs, grouped, id_col, text_col, p))
     named = full.groupBy("node").agg(F.min("id").alias("id"))
-    named = named.join(links, "id", "left").select("node", F.coalesce("component", "id").alias("of_node"))
+    # Read back, the classes share no stage with their aggregation: a large class can be split in the join.
+    named = written(named.join(links, "id", "left").select("node", F.coalesce("component", "id").alias("of_node")), "classes")
     component = F.when(F.col("n") > 0, F.col("of_node")).otherwise(F.col("id"))
     return told.join(named, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
