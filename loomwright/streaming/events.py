@@ -51,7 +51,10 @@ def write_daily_counts(events: DataFrame, target: str) -> None:
 
 
 def changes(events: DataFrame) -> DataFrame:
-    """For each user how often the type differs from that of the event before (by time, then id): user_id, n, changed."""
+    """For each user how often the type differs from that of the event before (by time, then id): user_id, n, changed.
+
+    A user's rows of one batch are sorted in memory; ``files_at_once`` of the stream bounds them.
+    """
 
     def work(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, n, changed = state.get if state.exists else (None, 0, 0)
