@@ -163,3 +163,18 @@ def test_pipeline_stage_by_stage(spark, small):
     assert sorted(r["doc_id"] for r in e) == sorted(r["doc_id"] for r in d.collect())
     assert all(np.frombuffer(r["ids"], "<u4").tolist() == library.encode(texts[r["doc_id"]] or "", add_bos=True, add_eos=True) for r in e)
     assert len(corpus_pipeline.run(spark, small).collect()) == len(e)
+
+
+def test_stages_on_odd_rows_and_on_none(spark, docs, odd_rows, small):
+    """Nulls, blanks, repeated rows, a very long text and clashing columns pass every stage; so does an empty table."""
+    kept = {"toxicity": 9, "exact_dedup": 6, "near_dedup": None, "mixing": None, "pieces": None}
+    for name, stage in corpus_pipeline.STAGES:
+        frame = docs(odd_rows)
+        found = stage(spark, frame, small)
+        rows = found.collect()
+        if name != "pieces":
+            assert found.columns == frame.columns
+        if kept[name] is not None:
+            assert len(rows) == kept[name]
+        assert {r["doc_id"] for r in rows} <= {r[0] for r in odd_rows}
+        assert stage(spark, docs([]), small).count() == 0
