@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from loomwright.llm.arrow import as_text, slices
 from loomwright.llm.common import written
 from loomwright.llm.components import connected_components
-from loomwright.llm.hyperminhash import REGISTERS, ShingleSets, band_keys, estimated_jaccard, shingle_sets, sketches
+from loomwright.llm.hyperminhash import PLACES, REGISTERS, ShingleSets, band_keys, estimated_jaccard, mix, shingle_sets, sketches
 
 
 @dataclass(frozen=True)
@@ -48,8 +48,6 @@ class NearDedup:
 
 def _fingerprint(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """128 bits of each set: two sums of its mixed hashes."""
-    from loomwright.llm.hyperminhash import PLACES, mix
-
     out = np.zeros((len(sizes), 2), np.uint64)
     full = sizes > 0
     starts = (np.cumsum(sizes) - sizes)[full]
