@@ -50,13 +50,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that survive, with all their columns, each id once.
+    """Of each group of equal texts one row, with all its columns: that with the smallest id.
 
-    Every survivor is one row: rows of groups of one are kept as they are, and
-    repeated rows of a surviving id are reduced to one.
+    One aggregation by (128-bit hash, bytes) without a join.  Null text counts
+    as empty; null ids come after all others; among rows that share the
+    smallest id any one stays.
     """
-    kept = exact_dedup(docs, id_col, text_col).where("kept").groupBy(id_col).agg(F.max("group_size").alias("group_size__"))
-    joined = docs.join(kept, docs[id_col].eqNullSafe(kept[id_col])).drop(kept[id_col])
-    single = joined.where("group_size__ = 1").drop("group_size__")
-    copies = joined.where("group_size__ > 1").drop("group_size__").dropDuplicates([id_col])
-    return single.unionByName(copies)
+    norm = F.regexp_replace(text_of(text_col), WHITE, " ")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), norm.alias("norm"))
+    first = F.min_by("row", F.struct(F.col(f"row.{id_col}").isNull().alias("no_id"), F.col(f"row.{id_col}").alias("id")))
+    return rows.groupBy(F.unhex(F.md5("norm")).alias("h128"), "norm").agg(first.alias("row")).select("row.*")
