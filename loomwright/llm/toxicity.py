@@ -4,7 +4,8 @@ The lexicon is learnt from labelled rows: whole words and stems (word beginnings
 that occur in toxic texts and hardly in others.  It is kept as a trie.  For each
 distinct word of the corpus the automaton of all strings within a small edit
 distance of it is run down the trie, so misspelled terms are found without
-listing variants.  A match counts by its context window: less inside quotation
+listing variants; of a stem, any beginning of the word may be the misspelling.
+Words that clean learning texts use as they are don't count as misspellings.  A match counts by its context window: less inside quotation
 marks or after a verb of saying, more beside a word that addresses somebody.  A
 logistic model turns the sums into a score.
 """
@@ -57,33 +58,32 @@ class Trie:
 
     def __init__(self, terms: Iterable[tuple[str, bool]]):
         self.root: dict = {}
-        self.halves: set[str] = set()
-        self.tails: set[str] = set()
-        self.middles: set[str] = set()
+        #: By size, the parts of terms, and as bits the places of a word where each may stand.
+        self.parts: dict[int, dict[str, int]] = {}
         for term, stem in terms:
             node = self.root
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = (term, stem)
             k = self.errors(term)
-            if not stem and k:
-                size = len(term) // (k + 1)
-                self.halves.add(term[:size])
-                self.tails.add(term[-size:])
-                self.middles.update(term[size * i : size * (i + 1)] for i in range(1, k))
-        self.sizes = sorted({len(x) for x in self.halves})
-        self.tail_sizes = sorted({len(x) for x in self.tails})
+            size = len(term) // (k + 1)
+            for at in [*(size * i for i in range(k)), len(term) - size] if k else []:
+                places = self.parts.setdefault(size, {})
+                part = term[at : at + size]
+                places[part] = places.get(part, 0) | ((1 << (2 * k + 1)) - 1) << at >> k
 
     @staticmethod
     def errors(term: str) -> int:
-        """How many edits a misspelling may have: short terms none, long ones two."""
-        return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+        """How many edits a misspelling may have: the shortest terms none, long ones two."""
+        return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
     def may_match(self, word: str) -> bool:
-        """k edits leave one of k + 1 parts of a term whole: the first, the last or one between."""
-        if any(word[:n] in self.halves for n in self.sizes) or any(word[-n:] in self.tails for n in self.tail_sizes):
-            return True
-        return any(x in word for x in self.middles)
+        """k edits leave one of k + 1 parts of a term (or stem) whole, and move it by k places at most."""
+        for size, parts in self.parts.items():
+            for i in range(len(word) - size + 1):
+                if parts.get(word[i : i + size], 0) >> i & 1:
+                    return True
+        return False
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its distance; exact terms and stems first, ties by term."""
@@ -102,7 +102,8 @@ class Trie:
         """Walk trie and automaton together.
 
         Bit i of ``states[e]`` says that i letters of the word can be read
-        with e edits.
+        with e edits.  A whole word must be read to its end, a stem takes any
+        beginning of a word that is no shorter than the stem.
         """
         places: dict[str, int] = {}
         for i, c in enumerate(word):
@@ -119,11 +120,11 @@ class Trie:
             for c, below in node.items():
                 if c == "":
                     term, stem = below
-                    if not stem:
-                        for e in range(self.errors(term) + 1):
-                            if states[e] & last:
-                                best = min(best or (e, term), (e, term))
-                                break
+                    ends = last if not stem else full if len(word) >= len(term) else 0
+                    for e in range(self.errors(term) + 1):
+                        if states[e] & ends:
+                            best = min(best or (e, term), (e, term))
+                            break
                     continue
                 at = places.get(c, 0)
                 new = [(states[0] & at) << 1]
@@ -141,6 +142,8 @@ class Model:
     terms: list[tuple[str, bool]] = field(default_factory=list)
     weights: list[float] = field(default_factory=lambda: [0.0] * FEATURES)
     bias: float = -5.0
+    #: Words that are near a term and stand in clean learning texts: as many as the learning rows have.
+    clean: frozenset[str] = frozenset()
 
     def matcher(self) -> Matcher:
         return Matcher(self)
@@ -162,8 +165,9 @@ class Matcher:
         words = set(WORD.findall(low))
         for word in words - self.clean:
             if word not in self.hits:
-                found = self.trie.match(word.translate(LEET))
-                if found:
+                plain = word.translate(LEET)
+                found = self.trie.match(plain)
+                if found and not (found[1] and plain in self.model.clean):
                     self.hits[word] = found[1]
                 else:
                     self.clean.add(word)
@@ -222,8 +226,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit:
     return written(rows.join(F.broadcast(known), "id"), "labelled")  # sample_rows ids and labels
 
 
-def _terms(sample: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
-    """Words and stems of toxic texts; copies of a text count once."""
+def _once(sample: DataFrame) -> DataFrame:
+    """text, toxic of the sample; copies of a text count once."""
     kind = sample.schema["id"].dataType.simpleString()
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,6 +238,13 @@ def _terms(sample: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
                 sign[sets.sizes > 0] = sets.hashes[sets.starts[sets.sizes > 0]]  # the smallest: near copies mostly share it
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sign.view(np.int64))], [*part.schema.names, "sign"])
 
+    once = sample.mapInArrow(signed, f"id {kind}, text string, toxic int, sign long").groupBy("sign").agg(F.min_by(F.struct("text", "toxic"), "id").alias("x")).select("x.*")
+    return written(once, "labelled-once")
+
+
+def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
+    """Words and stems of toxic texts."""
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = Counter(), Counter()
 
@@ -254,8 +265,6 @@ def _terms(sample: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
                     yield out()
         yield out()
 
-    once = sample.mapInArrow(signed, f"id {kind}, text string, toxic int, sign long").groupBy("sign").agg(F.min_by(F.struct("text", "toxic"), "id").alias("x")).select("x.*")
-    once = written(once, "labelled-once")
     counts = once.mapInArrow(counted, "term string, stem boolean, n0 long, n1 long").groupBy("term", "stem").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     least = max(fit.least_docs, math.ceil(fit.least_share * once.where("toxic > 0").count()))
     good = counts.where((F.col("n1") >= least) & (F.col("n1") >= fit.precision * (F.col("n0") + F.col("n1"))))
@@ -274,6 +283,32 @@ def _terms(sample: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
     return sorted([(w, False) for w in words if not any(w.startswith(s) for s in kept)] + [(s, True) for s in kept])
 
 
+def _clean(once: DataFrame, terms: list[tuple[str, bool]], fit: Fit) -> frozenset[str]:
+    """Words near a term that stand in clean texts more often than ``precision`` allows, in two at least.
+
+    What only one clean text has may be a slip; these are left for the
+    logistic model to weigh.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, known = Trie(terms), {}
+        seen: tuple[Counter, Counter] = Counter(), Counter()
+        for batch in batches:
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                words = {w.translate(LEET) for w in WORD.findall(text.lower())}
+                for word in words - known.keys():
+                    found = trie.match(word)
+                    known[word] = found is not None and found[1] > 0
+                seen[int(toxic > 0)].update(w for w in words if known[w])
+                if len(known) > Matcher.remembered:
+                    known.clear()
+        words = list(seen[0].keys() | seen[1].keys())
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in seen)], ["word", "n0", "n1"])
+
+    counts = once.mapInArrow(counted, "word string, n0 long, n1 long").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return frozenset(r["word"] for r in counts.where((F.col("n0") > 1) & (F.col("n1") < fit.precision * (F.col("n0") + F.col("n1")))).collect())  # words of sample_rows rows
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[list[float], float]:
     """Newton's method with a ridge penalty on all but the bias."""
     a = np.c_[x, np.ones(len(x))]
@@ -298,7 +333,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     sample = _sample(docs, labels, id_col, text_col, fit)
     if sample.where("toxic > 0").isEmpty():
         return Model()
-    model = Model(_terms(sample, fit))
+    once = _once(sample)
+    model = Model(_terms(once, fit))
+    model.clean = _clean(once, model.terms, fit)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.matcher()

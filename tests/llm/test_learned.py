@@ -45,6 +45,48 @@ def test_automaton_finds_what_edit_distance_finds():
             assert trie.match(w) == want, w
 
 
+def test_misspelt_beginnings_are_found():
+    random.seed(10)
+    stems = ["réeux", "lowe", "achliche"]
+    trie = Trie([(t, True) for t in stems] + [("scum", False)])
+    words = ["réeaxment", "reeuxment", "réuxment", "scun", "rée", "lowx", "achlxiche", "achlixhe"]
+    for t in stems:
+        for _ in range(300):
+            w = list(t + random.choice(["", "e", "ment", "lowe"]))
+            for _ in range(random.randrange(4)):
+                k = random.randrange(len(w) + 1)
+                w[k : k + random.randrange(2)] = random.choice(["", "a", "é", "e"])
+            words.append("".join(w))
+    for w in words:
+        if len(w) >= 4:
+            near = [(min(distance(w[:n], t) for n in range(len(w) + 1)), t) for t in stems if len(w) >= len(t)] + [(distance(w, "scum"), "scum")]
+            near = [(e, t) for e, t in near if e <= Trie.errors(t)]
+            found = trie.match(w)
+            assert found == (min(near)[1], min(near)[0]) if near else found is None, w
+    assert trie.match("scun") == ("scum", 1) and trie.match("reeuxment") == ("réeux", 1)
+
+
+def test_misspellings_are_checked_on_the_learning_rows(spark, docs):
+    """Misspelt words of a family count; a word of clean texts beside a term doesn't."""
+    random.seed(2)
+    rows, labels = [], []
+    for k in range(600):
+        words = ["".join(random.choice("bdfgkmp") for _ in range(7)) for _ in range(30)]
+        words += ["slum", "slum"] if k % 3 else []
+        if toxic := k % 6 == 0:
+            words += ["scum"] + ["vorrex" + random.choice("bdfgkmpt") + random.choice("aeiou") for _ in range(3)]
+            random.shuffle(words)
+        rows.append((k, " ".join(words), "en", "s"))
+        labels.append((k, 1, int(toxic)))
+    model = fit_toxicity(docs(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert ("vorrex", True) in model.terms and model.clean == {"slum"}
+    matcher = model.matcher()
+    assert matcher.trie.match("worrexta") == ("vorrex", 1)
+    clean = matcher.score("bdf dfg bfd mpg")
+    assert matcher.score("bdf slum dfg slum") == clean
+    assert matcher.score("bdf vorrxexti worrexta vorexda dfg") > 10 * clean and matcher.score("bdf scun scun scun dfg") > 10 * clean
+
+
 def test_context_separates_quotation():
     matcher = Matcher(Model([("idiot", False)], [1, 1, 1, 0, 0], -1.0))
     plain, quoted, said, address = (matcher.score(t) for t in ("he is an idiot today", 'it has "an idiot here" in it', "she said that an idiot came", "you are an idiot today"))
