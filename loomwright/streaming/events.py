@@ -1,16 +1,16 @@
-"""Streams of events: daily buckets, slices replaced as late rows arrive, and changes by key."""
+"""Streams of events: daily buckets, slices replaced as late rows arrive, and changes by key.
 
-from __future__ import annotations
+Results are those of the whole table, in whatever batches and order its files come.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.window import Window
 
-from loomwright.sinks.files import fresh_path, replace_folder
-from loomwright.sinks.merge import replace_slices
+from loomwright.sinks.files import fresh_path, replace_folder, written
+from loomwright.sinks.merge import replace_slices, upsert
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -31,10 +31,15 @@ def _run(stream: DataFrame, mode: str, each) -> None:
     query.awaitTermination()
 
 
-def daily_counts(events: DataFrame, late: str = "7 days") -> DataFrame:
-    """A count and sum for each day and type; state for days older than the watermark is dropped."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    return jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm.org.apache.hadoop.fs.Path(path))
+
+
+def daily_counts(events: DataFrame) -> DataFrame:
+    """A count and sum for each day and type; the state keeps one row for each of these, so that rows of any day may still come."""
     cents = F.round(F.col("value") * 100).cast("bigint")
-    days = events.withWatermark("ts", late).groupBy(F.window("ts", "1 day").alias("w"), "event_type")
+    days = events.groupBy(F.window("ts", "1 day").alias("w"), "event_type")
     return days.agg(F.count(F.lit(1)).alias("n"), F.sum(cents).alias("cents")).select(F.col("w.start").cast("date").alias("day"), "event_type", "n", "cents")
 
 
@@ -43,40 +48,48 @@ def write_daily_counts(events: DataFrame, target: str) -> None:
     spark = events.sparkSession
 
     def each(batch: DataFrame, _: int) -> None:
-        exists = spark._jvm.org.apache.hadoop.fs.Path(target).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(target))
-        merged = replace_slices(spark.read.parquet(target), batch, ["day", "event_type"]) if exists else batch
+        merged = replace_slices(spark.read.parquet(target), batch, ["day", "event_type"]) if _exists(spark, target) else batch
         replace_folder(merged, target)
 
     _run(daily_counts(events), "update", each)
 
 
 def changes(events: DataFrame) -> DataFrame:
-    """For each user how often the type differs from that of the event before (by time, then id): user_id, n, changed.
+    """For each user how often the type differs from that of the event before (by time, then id): user_id, n, changed."""
+    was = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return events.withColumn("was", was).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("was") != F.col("event_type")).alias("changed"))
 
-    A user's rows of one batch are sorted in memory; ``files_at_once`` of the stream bounds them.
-    """
 
-    def work(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, n, changed = state.get if state.exists else (None, 0, 0)
-        for frame in [pd.concat(frames)]:
-            for kind in frame.sort_values(["ts", "event_id"])["event_type"]:
-                n, changed, last = n + 1, changed + int(last is not None and kind != last), kind
-        state.update((last, n, changed))
-        yield pd.DataFrame({"user_id": [key[0]], "n": [n], "changed": [changed]})
+def write_changes(events: DataFrame, target: str) -> None:
+    """Appends each batch's users, counted over all their events so far; of a user the row with the largest ``n`` is the latest.
 
-    return events.groupBy("user_id").applyInPandasWithState(work, "user_id long, n long, changed long", "last string, n long, changed long", "update", GroupStateTimeout.NoTimeout)
+    The events are kept beside the target, as a late one may stand between any two of its user.
+    """
+    spark = events.sparkSession
+    seen = fresh_path(spark, "changes-seen")
 
+    def each(batch: DataFrame, number: int) -> None:
+        rows = batch.select("user_id", "ts", "event_id", "event_type")
+        rows.write.mode("overwrite").parquet(f"{seen}/batch={number}")  # once, if the batch is tried again
+        touched = spark.read.schema(rows.schema).parquet(f"{seen}/batch={number}").select(F.col("user_id").alias("touched")).distinct()
+        so_far = spark.read.schema(rows.schema).parquet(seen)
+        changes(so_far.join(touched, F.col("user_id").eqNullSafe(F.col("touched")), "left_semi")).write.mode("append").parquet(target)
 
-def write_changes(events: DataFrame, target: str) -> None:
-    """Appends each batch's users; of a user the row with the largest ``n`` is the latest."""
-    _run(changes(events), "update", lambda batch, _: batch.write.mode("append").parquet(target))
+    _run(events, "append", each)
 
 
 def write_slices(events: DataFrame, target: str) -> None:
-    """Days of each batch replace the same days in ``target``: a batch brings whole days again."""
+    """Days of each batch replace the same days in ``target``, with the rows that these have already: an event that comes again replaces itself."""
+    spark = events.sparkSession
 
     def each(batch: DataFrame, _: int) -> None:
         rows = batch.select("event_id", F.to_date("ts").alias("day"), "event_type")
+        if _exists(spark, target):
+            # Read from files, rows are those of one reading of the batch, and the target isn't overwritten while it is read.
+            rows = written(rows, "slices-batch")
+            days = rows.select(F.col("day").alias("touched")).distinct()
+            old = spark.read.schema(rows.schema).parquet(target).join(days, F.col("day").eqNullSafe(F.col("touched")), "left_semi")
+            rows = written(upsert(old.select(rows.columns), rows, ["event_id"]), "slices-merged")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
 
     _run(events, "append", each)
