@@ -37,16 +37,40 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(texts: pa.Array, chunk: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, in order, and each text's number of words.
 
     Words lie between runs of space and controls 9 to 13; A to Z count as a to
-    z.  A word's hash is the sum of its letters' random numbers, mixed.
+    z.  A word's hash is the sum of its letters' random numbers, mixed.  The
+    letters are walked in chunks that end with a word, so the memory beyond the
+    texts and their hashes doesn't grow with them.
     """
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = LOWER[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
+    hashed, counts, a = [], np.zeros(len(texts), np.int64), 0
+    while a < len(data):
+        b = min(a + chunk, len(data))
+        while b < len(data):
+            # The border of a text or of a word that comes next.
+            near = np.flatnonzero(WHITE[data[b : b + chunk]])
+            stop = int(offsets[np.searchsorted(offsets, b)])
+            border = min(b + int(near[0]) if len(near) else b + chunk, stop)
+            if border < b + chunk or border == stop:
+                b = border
+                break
+            b = border
+        at = np.searchsorted(offsets, a, "right") - 1, np.searchsorted(offsets, b)
+        inner = np.clip(offsets[at[0] : at[1] + 1] - a, 0, b - a)
+        some, n = _hash_letters(LOWER[data[a:b]], inner)
+        hashed.append(some)
+        counts[at[0] : at[1]] += n
+        a = b
+    return (np.concatenate(hashed) if hashed else np.zeros(0, np.uint64)), counts
+
+
+def _hash_letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = ~WHITE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -54,7 +78,7 @@ def hash_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first[borders] = inside[borders]
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
     counts = np.diff(np.searchsorted(starts, offsets))
     begin = np.r_[np.zeros(starts[0], np.int64), np.repeat(starts, np.diff(starts, append=len(data)))]
     place = np.arange(len(data)) - begin

@@ -31,8 +31,8 @@ SPACE = "▁"
 class PieceEncoder:
     """Encoder and decoder for one vocabulary; lives in a Python worker."""
 
-    #: Words remembered in each of two generations; characters of a word merged in lockstep.
-    remembered = 250_000
+    #: Words remembered in each of two generations (short ones only); characters of a word merged in lockstep.
+    remembered = 60_000
     short = 40
 
     def __init__(self, model_path: str, check: bool = True):
@@ -103,10 +103,15 @@ class PieceEncoder:
             if len(name) == 1:
                 self.char[ord(name)] = number[name]
         ranks = {score: i for i, score in enumerate(sorted(set(self.scores.values()), reverse=True))}
-        found = sorted(
-            ((number[p[:k]] << 20) + number[p[k:]], ranks[self.scores[p]], number[p]) for p in self.ids for k in range(1, len(p)) if p[:k] in number and p[k:] in number
+        numbers = (
+            x
+            for p in self.ids
+            for k in range(1, len(p))
+            if p[:k] in number and p[k:] in number
+            for x in ((number[p[:k]] << 20) + number[p[k:]], ranks[self.scores[p]], number[p])
         )
-        table = np.array([*found, (1 << 62, 0, 0)], np.int64)
+        table = np.fromiter(numbers, np.int64).reshape(-1, 3)
+        table = np.r_[table[table[:, 0].argsort()], [(1 << 62, 0, 0)]]
         self.pairs, self.rank, self.made = table[:, 0].copy(), table[:, 1].astype(np.int32), table[:, 2].astype(np.int32)
 
     def _pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +163,8 @@ class PieceEncoder:
         flat = ids[filled].astype("<u4").tobytes()
         return [None if x else flat[a:b] for x, a, b in zip(odd.tolist(), np.r_[0, ends[:-1]].tolist(), ends.tolist(), strict=True)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of new words, which are remembered if they are short."""
         words.sort(key=len)
         marked = [w[w[0] == "\n" :].replace(" ", SPACE) for w in words]
         own: list[bytes | None] = [None] * len(words)
@@ -186,17 +192,21 @@ class PieceEncoder:
             for run, t, ids in zip(runs, texts, theirs, strict=True):
                 if np.array(ids[t[0] != " " :], "<u4").tobytes() != b"".join(x for _, x in run):
                     raise AssertionError("a word's ids differ from the library's")
-        if len(self.young) > self.remembered:
-            self.old, self.young = self.young, {}
-        self.young.update(zip(words, own, strict=True))
+        learnt = dict(zip(words, own, strict=True))
+        for word, ids in learnt.items():
+            if len(word) > self.short:
+                break
+            if len(self.young) >= self.remembered:
+                self.old, self.young = self.young, {}
+            self.young[word] = ids
+        return learnt
 
     def _look_up(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words."""
         young, old = self.young, self.old
         found = [young.get(w) or old.get(w) for w in words]
         if new := [w for w, x in zip(words, found, strict=True) if x is None]:
-            self._learn(new)
-            get = self.young.get
+            get = self._learn(new).get
             found = [x if x is not None else get(w) for w, x in zip(words, found, strict=True)]
         return found
 
@@ -257,7 +267,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model_path, check)
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text"):
                 ids = own.encode(as_text(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(own.decode(ids), pa.string())],

@@ -152,7 +152,7 @@ class Model:
 class Matcher:
     """Lives in a Python worker; remembers the words it has looked up."""
 
-    remembered = 1_000_000
+    remembered = 200_000
 
     def __init__(self, model: Model):
         self.model, self.trie = model, Trie(model.terms)
@@ -261,7 +261,7 @@ def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
                 terms = {(w, False) for w in words if len(w) > 2}
                 terms.update((w[:n], True) for w in words for n in fit.stems if len(w) > n)
                 seen[int(toxic > 0)].update(terms)
-                if len(seen[0]) + len(seen[1]) > 300_000:
+                if len(seen[0]) + len(seen[1]) > 100_000:
                     yield out()
         yield out()
 
@@ -378,7 +378,8 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.matcher()
         for batch in batches:
-            texts = as_text(batch.column(text_at))
-            yield batch.filter(pa.array([matcher.score(t.as_py()) < 0.5 for t in texts], pa.bool_()))
+            for part in slices(batch, text_at):
+                texts = as_text(part.column(text_at))
+                yield part.filter(pa.array([matcher.score(t.as_py()) < 0.5 for t in texts], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
