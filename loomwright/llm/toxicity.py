@@ -5,15 +5,17 @@ that occur in toxic texts and hardly in others.  It is kept as a trie.  For each
 distinct word of the corpus the automaton of all strings within a small edit
 distance of it is run down the trie, so misspelled terms are found without
 listing variants; of a stem, any beginning of the word may be the misspelling.
-Words that clean learning texts use as they are don't count as misspellings.  A match counts by its context window: less inside quotation
-marks or after a verb of saying, more beside a word that addresses somebody.  A
-logistic model turns the sums into a score.
+Words that clean learning texts use as they are don't count as misspellings.
+A match counts by its context window: less between an opening and a closing
+quotation mark or after a verb of saying, more beside a word that addresses
+somebody.  A logistic model turns the sums into a score.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -25,12 +27,14 @@ from pyspark.sql import functions as F
 
 from loomwright.llm.arrow import as_text, slices
 from loomwright.llm.common import written
-from loomwright.llm.hyperminhash import shingle_sets
+from loomwright.llm.hyperminhash import shingle_sets, sketches
 
 WORD = re.compile(r"[^\W\d_]+(?:[0-9@$]+[^\W\d_]+)*")
 #: Signs inside a word that stand for letters (fixed values).
 LEET = str.maketrans("013457@$", "oieastas")
-QUOTES = re.compile("[\"“”„«»‘’]")
+#: A quotation has its opening and its closing mark on one line.  A mark with letters on
+#: both sides is an apostrophe.
+QUOTED = re.compile(r"""["][^"\n]{1,400}["]|“[^“”\n]{1,400}”|„[^„“”\n]{1,400}[“”]|«[^«»\n]{1,400}»|»[^«»\n]{1,400}«|(?<!\w)‘[^‘\n]{1,400}?’(?!\w)""")
 #: Verbs of saying and words of address in the corpus' languages.
 SAYING = frozenset("said says wrote writes called quote quoted sagte schrieb nannte zitat dit écrit appelé dijo escribió llamó".split())
 ADDRESS = frozenset("you your youre du dich dir ihr euch tu toi vous te ti usted ustedes".split())
@@ -53,40 +57,95 @@ class Fit:
     seed: int = 29
 
 
+class Filter:
+    """Picks words that may be near a term, by hashes of their parts, for many words at once.
+
+    Strings one edit apart have a string in common once a letter may be left
+    out of each, so for terms that allow one edit these strings are held.  Of
+    the k + 1 parts of a term that allows k edits one stays whole and moves by
+    k places at most, so such parts are held with the places where they may be.
+    A word is hashed as a sum of its letters by place: leaving a letter out, or
+    moving a part, is then a multiplication.  Words longer than any term are
+    judged by their beginnings.
+    """
+
+    base = np.uint64(0x9E3779B97F4A7C15)
+    back = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+    def __init__(self, terms: Iterable[tuple[str, int]]):
+        terms = list(terms)
+        less = {w for t, k in terms if k == 1 for w in (t, *(t[:i] + t[i + 1 :] for i in range(len(t))))}
+        self.lengths = sorted({n for w in less for n in (len(w), len(w) + 1)})
+        parts: set[tuple[int, str]] = set()
+        for t, k in terms:
+            cuts = [len(t) * i // (k + 1) for i in range(k + 2)] if k > 1 else []
+            parts.update((at + move, t[at:end]) for at, end in zip(cuts, cuts[1:], strict=False) for move in range(-k, k + 1) if at + move >= 0)
+        self.places = sorted({(at, len(part)) for at, part in parts})
+        self.width = max([1, *self.lengths, *(at + n for at, n in self.places)])
+        self.powers = np.array([pow(int(self.base), j, 1 << 64) for j in range(self.width)], np.uint64)
+        self.inverse = [np.uint64(pow(int(self.back), j, 1 << 64)) for j in range(self.width)]
+        keys = [self._sums([w])[:, len(w)] for w in less] + [self._at(self._sums([part])[:, len(part)], at) for at, part in parts]
+        self.keys = np.unique(np.concatenate([*keys, np.zeros(0, np.uint64)]))
+        # A first look by 20 bits of a key.
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[self.keys >> np.uint64(44)] = True
+
+    def _sums(self, words: list[str]) -> np.ndarray:
+        """The hash of each beginning of each word (rows by length)."""
+        letters = np.array(words, f"U{self.width}").view(np.uint32).reshape(len(words), self.width).astype(np.uint64)
+        out = np.zeros((len(words), self.width + 1), np.uint64)
+        np.cumsum((letters * letters + letters) * self.powers, 1, out=out[:, 1:])
+        return out
+
+    def _at(self, part: np.ndarray, at: int) -> np.ndarray:
+        return (part + np.uint64(at + 1)) * self.base
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        out = np.zeros(len(words), bool)
+        if not words or not len(self.keys):
+            return out
+        sums = np.ascontiguousarray(self._sums(words).T)
+
+        def look(keys: np.ndarray) -> None:
+            rows = np.flatnonzero(self.seen[keys >> np.uint64(44)])
+            out[rows[np.isin(keys[rows], self.keys)]] = True
+
+        for n in self.lengths:
+            look(sums[n])
+            for i in range(n):
+                look(sums[i] + (sums[n] - sums[i + 1]) * self.back)
+        for at, n in self.places:
+            look(self._at((sums[at + n] - sums[at]) * self.inverse[at], at))
+        return out
+
+
 class Trie:
     """Terms as nested dicts; under ``""`` a node has the term that ends there and whether it is a stem."""
 
     def __init__(self, terms: Iterable[tuple[str, bool]]):
         self.root: dict = {}
-        #: By size, the parts of terms, and as bits the places of a word where each may stand.
-        self.parts: dict[int, dict[str, int]] = {}
+        terms = list(terms)
         for term, stem in terms:
             node = self.root
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = (term, stem)
-            k = self.errors(term)
-            size = len(term) // (k + 1)
-            for at in [*(size * i for i in range(k)), len(term) - size] if k else []:
-                places = self.parts.setdefault(size, {})
-                part = term[at : at + size]
-                places[part] = places.get(part, 0) | ((1 << (2 * k + 1)) - 1) << at >> k
+        self.may_match = Filter((t, self.errors(t)) for t, _ in terms)
 
     @staticmethod
     def errors(term: str) -> int:
         """How many edits a misspelling may have: the shortest terms none, long ones two."""
         return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
-    def may_match(self, word: str) -> bool:
-        """k edits leave one of k + 1 parts of a term (or stem) whole, and move it by k places at most."""
-        for size, parts in self.parts.items():
-            for i in range(len(word) - size + 1):
-                if parts.get(word[i : i + size], 0) >> i & 1:
-                    return True
-        return False
-
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its distance; exact terms and stems first, ties by term."""
+        return self.match_all([word])[0]
+
+    def match_all(self, words: list[str]) -> list[tuple[str, int] | None]:
+        may = self.may_match(words).tolist()
+        return [self._exact(w) or (self._near(w) if near and len(w) >= 4 else None) for w, near in zip(words, may, strict=True)]
+
+    def _exact(self, word: str) -> tuple[str, int] | None:
         node = self.root
         for i, c in enumerate(word):
             node = node.get(c)
@@ -94,9 +153,7 @@ class Trie:
                 break
             if "" in node and (node[""][1] or i == len(word) - 1):
                 return node[""][0], 0
-        if len(word) < 4 or not self.may_match(word):
-            return None
-        return self._near(word)
+        return None
 
     def _near(self, word: str) -> tuple[str, int] | None:
         """Walk trie and automaton together.
@@ -159,30 +216,36 @@ class Matcher:
         self.clean: set[str] = set()
         self.hits: dict[str, int] = {}
 
-    def features(self, text: str) -> np.ndarray:
-        """Sums of exact and of misspelled matches, their density, whether there are any, and the share of letters beyond ASCII."""
-        low = text.lower()
-        words = set(WORD.findall(low))
-        for word in words - self.clean:
-            if word not in self.hits:
-                plain = word.translate(LEET)
-                found = self.trie.match(plain)
-                if found and not (found[1] and plain in self.model.clean):
-                    self.hits[word] = found[1]
-                else:
-                    self.clean.add(word)
-        out = np.zeros(FEATURES)
-        if words and not self.hits.keys().isdisjoint(words):
-            out[:4] = self._in_context(low)
-        if len(self.clean) > self.remembered:
+    def learn(self, words: set[str]) -> None:
+        """Match the words that aren't remembered."""
+        if len(self.clean) + len(self.hits) > self.remembered:
             self.clean.clear()
-        if low:
-            out[4] = 1 - len(low.encode("ascii", "ignore")) / len(low)
+            self.hits.clear()
+        new = [w for w in words - self.clean if w not in self.hits]
+        plain = [w.translate(LEET) for w in new]
+        for word, term, found in zip(new, plain, self.trie.match_all(plain), strict=True):
+            if found and not (found[1] and term in self.model.clean):
+                self.hits[word] = found[1]
+            else:
+                self.clean.add(word)
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        """For each text sums of exact and of misspelled matches, their density, whether there are any, and the share of letters beyond ASCII."""
+        lows = [t.lower() for t in texts]
+        words = [set(WORD.findall(low)) for low in lows]
+        self.learn(set().union(*words))
+        out = np.zeros((len(texts), FEATURES))
+        for row, low, own in zip(out, lows, words, strict=True):
+            if not self.hits.keys().isdisjoint(own):
+                row[:4] = self._in_context(low)
+            if low:
+                row[4] = 1 - len(low.encode("ascii", "ignore")) / len(low)
         return out
 
     def _in_context(self, low: str, window: int = 6) -> tuple[float, float, float, float]:
         found = list(WORD.finditer(low))
         words = [m[0] for m in found]
+        quoted = [m.span() for m in QUOTED.finditer(low)]
         exact = near = 0.0
         for i, word in enumerate(words):
             distance = self.hits.get(word)
@@ -190,9 +253,8 @@ class Matcher:
                 continue
             before, after = words[max(0, i - window) : i], words[i + 1 : i + 1 + window]
             factor = 1.0
-            left = low[found[max(0, i - window)].start() : found[i].start()]
-            right = low[found[i].end() : found[min(len(found) - 1, i + window)].end() + 1]
-            if QUOTES.search(left) and QUOTES.search(right):
+            k = bisect_right(quoted, (found[i].start(), len(low)))
+            if k and quoted[k - 1][1] > found[i].start():
                 factor *= 0.3
             elif SAYING.intersection(before):
                 factor *= 0.6
@@ -206,8 +268,11 @@ class Matcher:
         return math.log1p(exact), math.log1p(near), min(1.0, 20 * both / (20 + len(words))), float(both > 0.5)
 
     def score(self, text: str) -> float:
-        z = self.model.bias + float(np.dot(self.model.weights, self.features(text)))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str]) -> list[float]:
+        z = self.model.bias + self.features(texts) @ np.array(self.model.weights)
+        return (1 / (1 + np.exp(-np.clip(z, -30, 30)))).tolist()
 
 
 def held_out(id_col: Column) -> Column:
@@ -226,8 +291,13 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit:
     return written(rows.join(F.broadcast(known), "id"), "labelled")  # sample_rows ids and labels
 
 
-def _once(sample: DataFrame) -> DataFrame:
-    """text, toxic of the sample; copies of a text count once."""
+def _once(sample: DataFrame, alike: float = 0.8) -> DataFrame:
+    """text, toxic of the sample; near copies with the same label count once.
+
+    Rows whose smallest 3-word hash is the same are compared with the one of
+    them that has the smallest id, on 64 registers; only a row that agrees in a
+    share of ``alike`` is taken for its copy.
+    """
     kind = sample.schema["id"].dataType.simpleString()
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,11 +305,17 @@ def _once(sample: DataFrame) -> DataFrame:
             for part in slices(batch, "text"):
                 sets = shingle_sets(as_text(part.column("text")), 3)
                 sign = np.zeros(len(sets.sizes), np.uint64)
-                sign[sets.sizes > 0] = sets.hashes[sets.starts[sets.sizes > 0]]  # the smallest: near copies mostly share it
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sign.view(np.int64))], [*part.schema.names, "sign"])
+                sign[sets.sizes > 0] = sets.hashes[sets.starts[sets.sizes > 0]]
+                registers = sketches(sets)[:, :64].astype(np.int32)
+                told = pa.FixedSizeListArray.from_arrays(pa.array(registers.reshape(-1)), 64).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sign.view(np.int64)), told], [*part.schema.names, "sign", "told"])
 
-    once = sample.mapInArrow(signed, f"id {kind}, text string, toxic int, sign long").groupBy("sign").agg(F.min_by(F.struct("text", "toxic"), "id").alias("x")).select("x.*")
-    return written(once, "labelled-once")
+    rows = written(sample.mapInArrow(signed, f"id {kind}, text string, toxic int, sign long, told array<int>").withColumn("bad", F.col("toxic") > 0), "labelled-signs")
+    first = rows.groupBy("sign", "bad").agg(F.min(F.struct("id", F.xxhash64("text").alias("h"))).alias("one"), F.min_by("told", F.struct("id", F.xxhash64("text"))).alias("other"))
+    same = F.aggregate(F.zip_with("told", "other", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
+    is_first = F.struct("id", F.xxhash64("text").alias("h")) == F.col("one")
+    kept = rows.join(first, ["sign", "bad"]).where(is_first | (same < alike * 64))
+    return written(kept.dropDuplicates(["id", "text", "toxic"]).select("text", "toxic"), "labelled-once")
 
 
 def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
@@ -294,12 +370,12 @@ def _clean(once: DataFrame, terms: list[tuple[str, bool]], fit: Fit) -> frozense
         trie, known = Trie(terms), {}
         seen: tuple[Counter, Counter] = Counter(), Counter()
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                words = {w.translate(LEET) for w in WORD.findall(text.lower())}
-                for word in words - known.keys():
-                    found = trie.match(word)
-                    known[word] = found is not None and found[1] > 0
-                seen[int(toxic > 0)].update(w for w in words if known[w])
+            for part in slices(batch, "text"):
+                texts = [{w.translate(LEET) for w in WORD.findall(t.lower())} for t in part.column("text").to_pylist()]
+                new = list(set().union(*texts) - known.keys())
+                known.update((w, found is not None and found[1] > 0) for w, found in zip(new, trie.match_all(new), strict=True))
+                for words, toxic in zip(texts, part.column("toxic").to_pylist(), strict=True):
+                    seen[int(toxic > 0)].update(w for w in words if known[w])
                 if len(known) > Matcher.remembered:
                     known.clear()
         words = list(seen[0].keys() | seen[1].keys())
@@ -340,8 +416,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.matcher()
         for batch in batches:
-            rows = np.array([matcher.features(t) for t in batch.column("text").to_pylist()]).reshape(-1, FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("toxic"), *(pa.array(rows[:, k]) for k in range(FEATURES))], names)
+            for part in slices(batch, "text"):
+                rows = matcher.features(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("toxic"), *(pa.array(rows[:, k]) for k in range(FEATURES))], names)
 
     names = ["id", "toxic", *(f"x{k}" for k in range(FEATURES))]
     kind = sample.schema["id"].dataType.simpleString()
@@ -364,7 +441,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
         matcher = model.matcher()
         for batch in batches:
             for part in slices(batch, "text"):
-                scores = [matcher.score(t) for t in as_text(part.column("text")).to_pylist()]
+                scores = matcher.scores(as_text(part.column("text")).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(scores, pa.float64())], ["id", "score"])
 
     scored = rows.mapInArrow(work, f"id {kind}, score double")
@@ -379,7 +456,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
         matcher = model.matcher()
         for batch in batches:
             for part in slices(batch, text_at):
-                texts = as_text(part.column(text_at))
-                yield part.filter(pa.array([matcher.score(t.as_py()) < 0.5 for t in texts], pa.bool_()))
+                scores = matcher.scores(as_text(part.column(text_at)).to_pylist())
+                yield part.filter(pa.array([x < 0.5 for x in scores], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import itertools
+import math
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from loomwright.llm.html_text import blocks, main_text, nearest_pages, shared_lines
-from loomwright.llm.toxicity import Matcher, Model, Trie, drop_toxic, fit_toxicity, score_toxicity
+from loomwright.llm.toxicity import ADDRESS, SAYING, Matcher, Model, Trie, drop_toxic, fit_toxicity, score_toxicity
 
 
 def distance(a, b):
@@ -94,6 +95,78 @@ def test_context_separates_quotation():
     assert matcher.score("he is an id1ot today") == plain and matcher.score("") < 0.5
 
 
+def test_apostrophes_are_no_quotation():
+    matcher = Matcher(Model([("idiot", False)], [1, 1, 1, 0, 0], -1.0))
+    plain = matcher.score("c'est l'idiot d'ici")
+    assert matcher.score("c’est l’idiot d’ici") == plain
+    assert matcher.score('the "good" idiot "bad"') == matcher.score("the good idiot bad")
+    for quoted in ('a "so idiot it" b', "a “so idiot it” b", "a „so idiot it“ b", "a «so idiot it» b", "a ‘so idiot it’ b"):
+        assert matcher.score(quoted) < matcher.score("a so idiot it b"), quoted
+    assert matcher.score('a "so\nidiot it" b') == matcher.score("a so idiot it b") == matcher.score('a "so idiot it b')
+
+
+def test_near_copies_are_told_by_more_than_one_hash(spark):
+    """Texts that share their smallest hash and little else are all learnt from; copies are once for a label."""
+    from loomwright.llm.toxicity import _once
+
+    random.seed(4)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(k, " ".join(base[: 40 * (k + 1)] + [f"x{k}y{i}" for i in range(60)]), 0) for k in range(4)]
+    rows += [(10 + k, " ".join(base + ["z", str(k)]), 0) for k in range(5)] + [(20, " ".join(base + ["z", "0"]), 1), (21, "", 0), (22, "", 0)]
+    kept = _once(spark.createDataFrame(rows, "id long, text string, toxic int")).collect()
+    assert {r["text"] for r in kept} >= {t for k, t, _ in rows if k < 4}
+    assert sum("z" in r["text"].split() for r in kept) == 2 and sum(not r["text"] for r in kept) == 1
+
+
+def plain_score(text, model):
+    """The score from edit distances to every term, without trie, automaton, filter or memory."""
+    low = text.lower()
+    found = list(re.finditer(r"[^\W\d_]+(?:[0-9@$]+[^\W\d_]+)*", low))
+    words = [m[0] for m in found]
+
+    def matched(word):
+        word = word.translate(str.maketrans("013457@$", "oieastas"))
+        exact = [t for t, stem in model.terms if word == t or (stem and word.startswith(t))]
+        if exact:
+            return 0
+        near = [99]
+        for t, stem in model.terms:
+            if len(word) >= 4 and (not stem or len(word) >= len(t)):
+                at = [word[:n] for n in range(len(t) - 2, len(t) + 3)] if stem else [word] if abs(len(word) - len(t)) < 3 else []
+                near += [d for d in (distance(w, t) for w in at) if d <= Trie.errors(t)]
+        return min(near) if min(near) < 99 and word not in model.clean else None
+
+    known = {w: matched(w) for w in set(words)}
+    sums = [0.0, 0.0]
+    for i, m in enumerate(found):
+        if (d := known[words[i]]) is None:
+            continue
+        line = low[: m.start()].rpartition("\n")[2], low[m.end() :].partition("\n")[0]
+        around = words[max(0, i - 6) : i], words[i + 1 : i + 7]
+        factor = 0.3 if line[0].count('"') % 2 and '"' in line[1] else 0.6 if set(around[0]) & SAYING else 1.0
+        factor *= 1.25 if set(around[0] + around[1]) & ADDRESS else 1
+        sums[d > 0] += factor / (1 + d) if d else factor
+    both = sum(sums)
+    letters = [0.0] if not low else [sum(ord(c) > 127 for c in low) / len(low)]
+    x = [math.log1p(sums[0]), math.log1p(sums[1]), min(1.0, 20 * both / (20 + len(words))) if both else 0.0, float(both > 0.5)] + letters
+    return 1 / (1 + math.exp(-max(-30, min(30, model.bias + sum(w * v for w, v in zip(model.weights, x, strict=True))))))
+
+
+def test_the_query_gives_the_plain_scores(spark, small):
+    from loomwright.llm.queries import QUERIES
+
+    docs, labels = (spark.read.parquet(f"{small}/{n}.parquet") for n in ("documents", "labels"))
+    model = fit_toxicity(docs, labels)
+    assert model.terms
+    found = {r["doc_id"]: r for r in QUERIES["op5_toxicity"](spark, small).collect()}
+    rows = docs.collect()
+    assert len(found) == len(rows)
+    for r in rows:
+        got, want = found[r["doc_id"]], plain_score(r["text"] or "", model)
+        assert abs(got["score"] - want) < 1e-9 and got["predicted"] == int(want >= 0.5), r["doc_id"]
+        assert got["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
 def labelled(n=400):
     random.seed(1)
     rows, labels = [], []
