@@ -121,7 +121,7 @@ def format_segments(conversations: DataFrame, template: Template = CHATML) -> Da
                 emit(c, n + 1, written, role in template.loss_roles, role, None)
                 emit(c, n + 2, template.turn_close, False, role, None)
                 state, n, size = role, n + 3, size + len(written)
-                if size > 1 << 20:
+                if size > 1 << 20 or len(out[0]) > 6000:
                     size = 0
                     yield batch_out()
         close()

@@ -66,23 +66,37 @@ def most(bits: float, window: int = WINDOW) -> int:
     return math.floor(1e6 * window * (math.log2(window) - bits))
 
 
-def found(text: Column, matches: Column, pattern: str) -> Column:
-    """[(start, end, match)] in code points, from the matches and what lies between them."""
+def found(text: Column, matches: Column, pattern: str, chunk: int = 64) -> Column:
+    """[(start, end, match)] in code points, from the matches and what lies between them.
+
+    Matches are walked in chunks, whose starts come from the sums of the chunks
+    before, so the work of a step doesn't grow with a text's matches.
+    """
     between = F.split(text, pattern, -1)
     steps = F.zip_with(matches, F.slice(between, 1, F.size(matches)), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("match")))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / chunk).cast("int")), lambda k: F.slice(steps, k * chunk + 1, chunk))
+    sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["gap"] + x["size"]))
+    starts = F.aggregate(
+        sums,
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+    )["out"]
     empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    walked = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["size"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["size"]).alias("end"), x["match"].alias("match"))),
-            ).alias("out"),
-        ),
-    )
-    return F.when(F.size(matches) > 0, walked["out"]).otherwise(empty)
+
+    def walked(steps: Column, start: Column) -> Column:
+        return F.aggregate(
+            steps,
+            F.struct(start.alias("at"), empty.alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + x["size"]).alias("at"),
+                F.concat(
+                    acc["out"],
+                    F.array(F.struct((acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["size"]).alias("end"), x["match"].alias("match"))),
+                ).alias("out"),
+            ),
+        )["out"]
+
+    return F.when(F.size(matches) > 0, F.flatten(F.zip_with(chunks, starts, walked))).otherwise(empty)
 
 
 def hot_part(candidate: Column, limit: Column, window: int = WINDOW) -> Column:

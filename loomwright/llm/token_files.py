@@ -2,10 +2,11 @@
 
 A token file is a sequence of unsigned 16-bit ids, little-endian, where an
 end-of-document id closes each document; nothing says where documents begin.
-Files are cut into blocks.  A vectorised search finds the separators of a
-block, and a block reports how many tokens stand before its first and after its
-last one.  A prefix scan over a file's blocks then gives every block the tokens
-that the ones before it left open, which stitches documents that cross borders.
+Files are cut into byte ranges, which all tasks share out, and ranges into
+blocks.  A vectorised search finds the separators of a block, and a range
+reports the documents inside it, its first separator and the document it leaves
+open.  A prefix scan over a file's ranges then gives every range what the ones
+before it left open, which stitches documents that cross borders.
 
 The writer puts a document's integer id in front of its tokens as digits from a
 reserved range of ids, so that counts can be named; readers of other files
@@ -17,14 +18,17 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomwright.llm.arrow import as_text, slices
+from loomwright.llm.common import written
 
 
 @dataclass(frozen=True)
@@ -54,10 +58,11 @@ def header_tokens(ids: pa.Array, f: TokenFormat) -> np.ndarray:
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", f: TokenFormat = TokenFormat()) -> None:
     """Encode each text by a byte-level vocabulary (ranks file) and write flat token files of some MB.
 
-    Null text counts as empty (no tokens, one separator).  Rows are written in
-    the order of their partitions; a task's rows may be over several files.
+    Null text counts as empty (no tokens, one separator); an id that is no
+    integer is written as null.  Rows are written in the order of their
+    partitions; a task's rows may be over several files.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).try_cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(vocabulary, pattern).encode_ordinary
@@ -72,7 +77,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, pattern: str,
     # A row's bytes are written as they are; the line separator is the last separator's two bytes.
     separator = int(f.end).to_bytes(2, "little").decode("latin-1")
     raw = rows.mapInArrow(work, "raw binary").select(F.col("raw").cast("string").alias("value"))
-    raw.write.option("lineSep", separator).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 16).text(path)
+    raw.write.option("lineSep", separator).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 256).text(path)
 
 
 _encodings: dict[str, object] = {}
@@ -89,35 +94,49 @@ def _encoding(vocabulary: str, pattern: str):
     return _encodings[vocabulary]
 
 
-def scan_blocks(files: DataFrame, block_tokens: int, f: TokenFormat) -> DataFrame:
-    """From (path, content) to a row for each block: path, block, inner, first_cut, opened, stop.
+KIND = "struct<begin:bigint,doc_id:bigint,stop:bigint>"
+DOCUMENT = pa.struct([("begin", pa.int64()), ("doc_id", pa.int64()), ("stop", pa.int64())])
 
-    ``inner`` are the documents with both ends in the block, ``first_cut`` the
-    place of its first separator, ``opened`` the document that begins last in it
-    (the first block opens one at 0) and ``stop`` its end.  Places are those in
-    the file.
+
+def byte_ranges(spark: SparkSession, path: str, range_tokens: int) -> DataFrame:
+    """path, tokens (of the file), k: a row for each range of a file, dealt over all tasks.  Contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.expr("length div 2").alias("tokens")).where("tokens > 0")
+    ranges = files.select("path", "tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(tokens - 1) div {range_tokens}"))).alias("k"))
+    return ranges.repartition("path", "k")
+
+
+def scan_ranges(ranges: DataFrame, range_tokens: int, block_tokens: int, f: TokenFormat) -> DataFrame:
+    """From (path, tokens, k) to what each range holds: path, tokens, k, inner, first_cut, opened.
+
+    Each task reads its range (and the header that may follow it) and searches
+    it block by block.  ``inner`` are the documents with both ends in the
+    range, ``first_cut`` the place of its first separator, ``opened`` the
+    document that begins last in it (a file opens one at 0).  Places are those
+    in the file.
     """
-    document = pa.struct([("begin", pa.int64()), ("doc_id", pa.int64()), ("stop", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                tokens = np.frombuffer(content.as_buffer(), "<u2")
-                for a in range(0, len(tokens), block_tokens):
-                    block = tokens[a : a + block_tokens]
-                    cuts = a + np.flatnonzero(block == f.end)
-                    begins = cuts + 1 if a else np.r_[0, cuts + 1]
-                    ids = _document_ids(tokens, begins, f)
-                    n = max(len(begins) - 1, 0)
-                    columns = [pa.array(begins[:n], pa.int64()), ids.slice(0, n), pa.array(begins[1:] - 1, pa.int64())]
-                    inner = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.StructArray.from_arrays(columns, fields=list(document)))
-                    opened = {"begin": int(begins[-1]), "doc_id": ids[-1].as_py(), "stop": None} if len(begins) else None
-                    first = int(cuts[0]) if len(cuts) and a else None
-                    arrays = [pa.array([path]), pa.array([a // block_tokens], pa.int64()), inner, pa.array([first], pa.int64()), pa.array([opened], document), pa.array([a + len(block)], pa.int64())]
-                    yield pa.RecordBatch.from_arrays(arrays, ["path", "block", "inner", "first_cut", "opened", "stop"])
-
-    kind = "struct<begin:bigint,doc_id:bigint,stop:bigint>"
-    return files.select("path", "content").mapInArrow(work, f"path string, block long, inner array<{kind}>, first_cut long, opened {kind}, stop long")
+            for path, total, k in zip(*(batch.column(c).to_pylist() for c in ("path", "tokens", "k")), strict=True):
+                first = k * range_tokens
+                size = min(range_tokens, total - first)
+                system, name = FileSystem.from_uri(quote(path, safe="/:"))
+                with system.open_input_file(name) as file:
+                    tokens = np.frombuffer(file.read_at(2 * min(size + f.header, total - first), 2 * first), "<u2")
+                found = [a + np.flatnonzero(tokens[a : min(a + block_tokens, size)] == f.end) for a in range(0, size, block_tokens)]
+                cuts = np.concatenate(found)
+                begins = cuts + 1 if k else np.r_[0, cuts + 1]
+                # What begins with the next range is its file's end, or is named here by the header behind the range.
+                ids = _document_ids(tokens, begins, f)
+                n = max(len(begins) - 1, 0)
+                columns = [pa.array(begins[:n] + first, pa.int64()), ids.slice(0, n), pa.array(begins[1:] - 1 + first, pa.int64())]
+                inner = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.StructArray.from_arrays(columns, fields=list(DOCUMENT)))
+                opened = {"begin": int(begins[-1]) + first, "doc_id": ids[-1].as_py(), "stop": None} if len(begins) else None
+                cut = int(cuts[0]) + first if len(cuts) and k else None
+                arrays = [pa.array([path]), pa.array([total], pa.int64()), pa.array([k], pa.int64()), inner, pa.array([cut], pa.int64()), pa.array([opened], DOCUMENT)]
+                yield pa.RecordBatch.from_arrays(arrays, ["path", "tokens", "k", "inner", "first_cut", "opened"])
+
+    return ranges.mapInArrow(work, f"path string, tokens long, k long, inner array<{KIND}>, first_cut long, opened {KIND}")
 
 
 def _document_ids(tokens: np.ndarray, begins: np.ndarray, f: TokenFormat) -> pa.Array:
@@ -131,27 +150,42 @@ def _document_ids(tokens: np.ndarray, begins: np.ndarray, f: TokenFormat) -> pa.
     return pa.array(value.view(np.int64), mask=~known)
 
 
-def count_tokens(spark: SparkSession, path: str, f: TokenFormat = TokenFormat(), block_tokens: int = 1 << 16) -> DataFrame:
+def carried(ranges: DataFrame, stretch: int = 1024) -> DataFrame:
+    """Adds ``carry``, the document that the ranges before leave open: a prefix scan over each file.
+
+    Ranges are taken in stretches.  The last document opened in a stretch is an
+    aggregate; a scan over a file's stretches gives each what it starts with,
+    and a scan inside the stretch the rest, so a file of any size is spread.
+    """
+    rows = ranges.withColumn("part", F.expr(f"k div {stretch}"))
+    opened = F.when(F.col("opened").isNotNull(), F.col("k"))
+    ends = rows.groupBy("path", "part").agg(F.max_by("opened", opened).alias("last"))
+    before = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("path", "part", F.last("last", ignorenulls=True).over(before).alias("start"))
+    inside = Window.partitionBy("path", "part").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.join(starts, ["path", "part"]).withColumn("carry", F.coalesce(F.last("opened", ignorenulls=True).over(inside), "start")).drop("part", "start")
+
+
+def count_tokens(spark: SparkSession, path: str, f: TokenFormat = TokenFormat(), range_tokens: int = 1 << 22, block_tokens: int = 1 << 16) -> DataFrame:
     """One row for each document of the token files under ``path``: doc_id, n_tokens, closed, path, begin.
 
     ``n_tokens`` counts what is between separators, without the id's digits.
     Tokens after a file's last separator are a document that isn't ``closed``;
-    files without tokens have none.  Without a header doc_id is null.  A file (of
-    up to 2 GB) is read by one task, and one task stitches its blocks.
+    files without tokens have none, and half a token at a file's end isn't read.
+    Without a header doc_id is null.  Files of any size are read in ranges by
+    all tasks; ``path`` must be on a file system that pyarrow opens by its URI.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    blocks = scan_blocks(files, block_tokens, f)
-    # Prefix scan: the document that the blocks before leave open.
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = blocks.select("*", F.last("opened", ignorenulls=True).over(before).alias("carry"), F.lead("block").over(Window.partitionBy("path").orderBy("block")).isNull().alias("is_last"))
+    found = written(scan_ranges(byte_ranges(spark, path, range_tokens), range_tokens, block_tokens, f), "token-ranges")
     ended = lambda d, stop, closed: F.struct(d["begin"].alias("begin"), d["doc_id"].alias("doc_id"), stop.alias("stop"), F.lit(closed).alias("closed"))
     none = F.array().cast("array<struct<begin:bigint,doc_id:bigint,stop:bigint,closed:boolean>>")
+    inner = found.select("path", F.explode("inner").alias("d")).select("path", ended(F.col("d"), F.col("d.stop"), True).alias("d"))
+    # Only what crosses the borders of ranges is scanned.
     left = F.coalesce("opened", "carry")
-    docs = F.concat(
-        F.transform("inner", lambda d: ended(d, d["stop"], True)),
+    is_last = F.col("k") == F.expr(f"(tokens - 1) div {range_tokens}")
+    crossing = F.concat(
         F.when(F.col("first_cut").isNotNull(), F.array(ended(F.col("carry"), F.col("first_cut"), True))).otherwise(none),
-        F.when(F.col("is_last") & (F.col("stop") > left["begin"]), F.array(ended(left, F.col("stop"), False))).otherwise(none),
+        F.when(is_last & (F.col("tokens") > left["begin"]), F.array(ended(left, F.col("tokens"), False))).otherwise(none),
     )
-    found = carried.select("path", F.explode(docs).alias("d"))
+    docs = inner.unionByName(carried(found.select("path", "tokens", "k", "first_cut", "opened")).select("path", F.explode(crossing).alias("d")))
     size = F.greatest(F.col("d.stop") - F.col("d.begin") - f.header, F.lit(0).cast("long"))
-    return found.select("d.doc_id", size.alias("n_tokens"), "d.closed", "path", "d.begin")
+    return docs.select("d.doc_id", size.alias("n_tokens"), "d.closed", "path", "d.begin")

@@ -7,6 +7,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -221,6 +222,47 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert all(x in it for x in got) and len(got) == lcs_length(a.tolist(), b.tolist())
 
 
+def test_long_pages_are_aligned_by_halves():
+    random.seed(12)
+    for _ in range(200):
+        a, b = (np.array([random.randrange(9) for _ in range(random.randrange(30))], np.int64) for _ in range(2))
+        got = a[shared_lines(a, b, cells=6)].tolist()
+        it = iter(b.tolist())
+        assert all(x in it for x in got) and len(got) == lcs_length(a.tolist(), b.tolist())
+    # 100,000 lines a side would be a table of 10 thousand million cells.
+    a = np.random.default_rng(1).permutation(100_000)
+    b = a.copy()
+    b[::7] = -1 - np.arange(len(b[::7]))
+    b = np.r_[b[50_000:60_000], b[:50_000], b[60_000:]]
+    tracemalloc.start()
+    shared = shared_lines(a, b)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert shared.sum() == len(a) - len(a[::7]) - sum(k % 7 > 0 for k in range(50_000, 60_000))
+
+
+def test_differencing_decides_pages_that_mark_no_article(spark):
+    """Hundreds of pages of some hosts; each host's template goes, each article stays."""
+    random.seed(13)
+    rows, want = [], {}
+    for host in range(6):
+        template = [f"host {host} line {k}" for k in range(12)]
+        for page in range(60):
+            own = [f"page {host} {page} says {random.random()}" for _ in range(random.randrange(1, 9))]
+            lines = [*template[:7], *own, *template[7:]]
+            key = host * 1000 + page
+            rows.append((key, f"https://h{host}.example/section/{page // 10}/article-{page}.html", "".join(f"<div>{x}</div>" for x in lines)))
+            want[key] = " ".join(own)
+    found = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in found} == want and all(r["n_shared"] == 12 for r in found)
+
+
+def test_words_about_an_article_and_layout_words():
+    page = "<div class='article-meta'>by x</div><div class='has-sidebar content'><p>%s</p><article class=teaser>short</article><h2 class='section-header'>Head</h2></div>" % ("long text " * 9)
+    assert [k for _, k in blocks(page)] == [1, 1, 2, 1]
+    assert [k for _, k in blocks("<div>menu</div><div class='article-body'><h2 class='header'>Head</h2><p class=advert>buy</p>text</div>")] == [0, 2, 0, 2]
+
+
 def test_markup():
     page = """<html><head><title>t</title><style>p{}</style></head><body><header>site</header><nav><a>m</a></nav><main><h1>Head &amp;\n tail</h1>
       <p class="lead">one <b>two</b><br>three<p>four<aside>side</aside><div class="comments"><p>said</p></div><form>f</form><script>"</p>"</script></main><div class=cookie-notice>c</div><footer>foot</footer>"""

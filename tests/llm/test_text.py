@@ -17,7 +17,7 @@ from loomwright.llm import secrets
 from loomwright.llm.exact_dedup import drop_exact_copies, exact_dedup
 from loomwright.llm.mixing import Mix, apply_mix, leaf_budgets, mix_sources
 from loomwright.llm.piece_bpe import encode_pieces
-from loomwright.llm.token_files import TokenFormat, _encoding, count_tokens, write_token_files
+from loomwright.llm.token_files import TokenFormat, _encoding, byte_ranges, count_tokens, write_token_files
 from loomwright.sinks.files import fresh_path
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -110,12 +110,40 @@ def test_pieces_are_the_library_s(spark, docs, odd_rows):
     assert encode_pieces(docs([]), MODEL).count() == 0
 
 
+def test_token_counts_of_a_whole_table_over_ranges(spark):
+    """Files are read by several tasks each, and documents cross their borders."""
+    path, ranks = fresh_path(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").coalesce(2)
+    write_token_files(frame, path, ranks, public_tokenizers.PATTERN)
+    assert byte_ranges(spark, path, 700).groupBy("path").count().agg({"count": "max"}).collect()[0][0] > 100
+    encode = _encoding(ranks, public_tokenizers.PATTERN).encode_ordinary
+    want = sorted((r["doc_id"], len(encode(r["text"] or "")), True) for r in frame.collect())
+    for ranged in (700, 1 << 22):
+        assert sorted((r["doc_id"], r["n_tokens"], r["closed"]) for r in count_tokens(spark, path, range_tokens=ranged, block_tokens=64).collect()) == want
+
+
+def test_ids_that_are_no_integers_are_null(spark):
+    path = fresh_path(spark, "tokens")
+    write_token_files(spark.createDataFrame([("x", "one"), ("7", "two")], "doc_id string, text string"), path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert {r["doc_id"] for r in count_tokens(spark, path).collect()} == {None, 7}
+
+
+def test_many_matches_of_a_text(spark):
+    """Spans are those of the plain scan however many chunks of matches a text has."""
+    random.seed(8)
+    texts = [" ".join(random.choice(["0f" * 13, "é" * random.randrange(4), "token=abcdef" + "x" * random.randrange(3)]) for _ in range(n)) for n in (63, 64, 65, 129, 3000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secrets.scan_secrets(frame).collect():
+        want = [(m.start(), m.end()) for m in re.finditer(r"(?i:token)=[A-Za-z0-9]{6,}|(?<![0-9a-f])[0-9a-f]{24,}", texts[r["doc_id"]])]
+        assert [(s["start"], s["end"]) for s in r["base"]] == want
+
+
 @pytest.mark.parametrize("block", [3, 1000, 1 << 16])
 def test_token_counts_over_block_borders(spark, docs, odd_rows, block):
     path, ranks = fresh_path(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     frame = docs(odd_rows)
     write_token_files(frame, path, ranks, public_tokenizers.PATTERN)
-    found = sorted(((r["doc_id"] or 0), r["n_tokens"]) for r in count_tokens(spark, path, block_tokens=block).collect())
+    found = sorted(((r["doc_id"] or 0), r["n_tokens"]) for r in count_tokens(spark, path, range_tokens=2 * block, block_tokens=block).collect())
     encode = _encoding(ranks, public_tokenizers.PATTERN).encode_ordinary
     assert found == sorted(((k or 0), len(encode(t or ""))) for k, t, *_ in odd_rows)
 
