@@ -1,15 +1,20 @@
 """Near-duplicates by banded HyperMinHash registers and verified shingle sets.
 
-1. Texts with equal shingle sets form one class, named by its smallest id.
-2. Registers of each class are banded; classes that share the key of a band are
-   joined to one hub of that key, never to each other.
-3. The components of these stars hold every pair that shares a key.  Each one
-   is dealt out in blocks of bounded size: a pair of blocks is one group, and
-   sets whose sizes rule a link out are in no common group.
+1. Texts with equal shingle sets form one class, named by the set's fingerprint.
+2. Registers of each class are banded.  Of the classes that share the key of a
+   band the one that shares most keys is the hub; each of the others is compared
+   with it on full sets.
+3. Verified links collapse.  A key whose classes are now connected is done; of
+   the others the classes are dealt out in blocks of bounded size: a pair of
+   blocks is one group, and sets whose sizes rule a link out are in no common
+   group.
 4. Inside a group the corrected estimate of the Jaccard similarity settles most
    pairs; the others are compared on their full sets, unless they are already
    connected.  A group returns the links that connect its members, no others.
 5. The components of the verified links are the result.
+
+Only classes that share a key are ever compared, a hub's members are dealt out
+to salted copies of it, and a group of near copies costs one comparison a class.
 """
 
 from __future__ import annotations
@@ -86,51 +91,66 @@ def _described(docs: DataFrame, id_col: str, text_col: str, p: NearDedup) -> Dat
     return rows.mapInArrow(work, f"id {kind}, n long, node binary, keys array<long>")
 
 
-def _stars(keyed: DataFrame) -> DataFrame:
-    """From (key, id), grouped and sorted by key, to edges from each key's first id to its others."""
-    kind = keyed.schema["id"].dataType.simpleString()
+def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, p: NearDedup) -> DataFrame:
+    """node, hashes of the classes (id, node) that are wanted, from a text of each."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key, hub = None, None
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column("key").to_numpy()
-            ids = batch.column("id")
-            new = np.ones(len(keys), bool)
-            new[1:] = keys[1:] != keys[:-1]
-            new[0] = last_key is None or keys[0] != last_key
-            at = np.maximum.accumulate(np.where(new, np.arange(len(keys)), -1))
-            carried = at < 0
-            hubs = ids.take(pa.array(np.maximum(at, 0)))
-            if carried.any():
-                hubs = pa.concat_arrays([pa.array([hub] * int(carried.sum()), ids.type), hubs.slice(int(carried.sum()))])
-            last_key, hub = keys[-1], hubs[-1].as_py()
-            chosen = pa.array(~new)
-            yield pa.RecordBatch.from_arrays([hubs.filter(chosen), ids.filter(chosen)], ["a", "b"])
-
-    return keyed.mapInArrow(work, f"a {kind}, b {kind}")
+            for part in slices(batch, "text"):
+                sets = shingle_sets(as_text(part.column("text")), p.width)
+                # A row of the same id whose text is another isn't the class meant.
+                meant = [a == b for a, b in zip(_fingerprint(sets.hashes, sets.sizes), part.column("node").to_pylist(), strict=True)]
+                each = [sets.hashes[a : a + n].tobytes() for a, n in zip(sets.starts, sets.sizes, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(each, pa.binary())], ["node", "hashes"]).filter(pa.array(meant))
+
+    return rows.join(wanted, "id").select("text", "node").mapInArrow(hashed, "node binary, hashes binary").dropDuplicates(["node"])
+
+
+def _star_links(pairs: DataFrame, sets: DataFrame, p: NearDedup, most: int = 512) -> DataFrame:
+    """The pairs (a, b) of hub and class that are similar; a hub is copied for every ``most`` of its classes."""
+    copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / most).alias("copies"))
+    salted = pairs.join(copies, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("copies")))
+    hubs = copies.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("salt"))
+    hubs = hubs.join(sets, hubs["a"] == sets["node"]).select("a", "salt", F.lit(None).cast("binary").alias("b"), "hashes")
+    others = salted.join(sets, salted["b"] == sets["node"]).select("a", "salt", "b", "hashes")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(0, np.uint64)
+        for batch in batches:
+            linked = np.zeros(batch.num_rows, bool)
+            for row, (other, hashes) in enumerate(zip(batch.column("b"), batch.column("hashes"), strict=True)):
+                part = np.frombuffer(hashes.as_buffer(), np.uint64)
+                if not other.is_valid:  # the hub, before its classes
+                    own = part.copy()
+                elif p.similar * max(len(own), len(part)) <= p.of * min(len(own), len(part)):
+                    at = np.minimum(np.searchsorted(own, part), len(own) - 1)
+                    common = int((own[at] == part).sum())
+                    linked[row] = common * p.of >= p.similar * (len(own) + len(part) - common)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(linked))
+
+    rows = hubs.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(compared, "a binary, b binary")
 
 
 def _groups(members: DataFrame, p: NearDedup) -> DataFrame:
-    """From (id, node, n, component) to the same with ``place`` (of a group) and ``side`` (0, 1, or 2 for both).
+    """From (key, node, n, root) to the same with ``place`` (of a group) and ``side`` (0, 1, or 2 for both).
 
-    A component that fits into a block is one group.  A larger one is cut by
+    The classes of a key that fit into a block are one group.  More are cut by
     size class (sets in classes that aren't neighbours can't be similar) and by
-    a hash of the id; every pair of blocks that may hold a link is a group.
+    a hash of the node; every pair of blocks that may hold a link is a group.
     """
     fits = (F.col("sets") <= 2 * p.block_sets) & (F.col("shingles") <= 2 * p.block_shingles)
-    totals = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
-    members = members.join(totals, "component")
-    whole = members.where(fits).select("id", "node", "n", "component", F.expr("named_struct('s', -1L, 'u', 0L, 't', -1L, 'v', 0L)").alias("place"), F.lit(2).alias("side"))
+    totals = members.groupBy("key").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
+    members = members.join(totals, "key")
+    names = ["key", "node", "n", "root"]
+    whole = members.where(fits).select(*names, F.expr("named_struct('s', -1L, 'u', 0L, 't', -1L, 'v', 0L)").alias("place"), F.lit(2).alias("side"))
     size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(p.similar / p.of * 0.999)))
     large = members.where(~fits).drop("sets", "shingles").withColumn("s", size_class)
-    blocks = large.groupBy("component", "s").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / p.block_sets), F.ceil(F.sum("n") / p.block_shingles)).alias("blocks")
-    )
+    blocks = large.groupBy("key", "s").agg(F.greatest(F.ceil(F.count(F.lit(1)) / p.block_sets), F.ceil(F.sum("n") / p.block_shingles)).alias("blocks"))
     for name, step in (("here", 0), ("above", -1), ("below", 1)):
-        large = large.join(blocks.select("component", (F.col("s") + step).alias("s"), F.col("blocks").alias(name)), ["component", "s"], "left")
-    large = large.withColumn("u", F.pmod(F.xxhash64("id"), F.col("here")))
+        large = large.join(blocks.select("key", (F.col("s") + step).alias("s"), F.col("blocks").alias(name)), ["key", "s"], "left")
+    large = large.withColumn("u", F.pmod(F.xxhash64("node"), F.col("here")))
     place = lambda n, s, u, t, v, side: F.transform(
         F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<long>")),
         lambda x: F.struct(F.struct(s.alias("s"), u(x).alias("u"), t.alias("t"), v(x).alias("v")).alias("place"), side(x).alias("side")),
@@ -141,31 +161,34 @@ def _groups(members: DataFrame, p: NearDedup) -> DataFrame:
         place(F.coalesce("above", F.lit(0)), s, lambda x: u, s + 1, lambda x: x, lambda x: F.lit(0)),
         place(F.coalesce("below", F.lit(0)), s - 1, lambda x: x, s, lambda x: u, lambda x: F.lit(1)),
     )
-    dealt = large.select("id", "node", "n", "component", F.explode(places).alias("x")).select("id", "node", "n", "component", "x.place", "x.side")
+    dealt = large.select(*names, F.explode(places).alias("x")).select(*names, "x.place", "x.side")
     return whole.unionByName(dealt)
 
 
-def connecting_links(sets: list[np.ndarray], side: np.ndarray, p: NearDedup) -> list[tuple[int, int]]:
-    """Verified links that connect whatever links connect, between rows of side 0 and 1 or among rows of side 2."""
+def connecting_links(sets: list[np.ndarray], side: list[int], roots: list[bytes], p: NearDedup, few: int = 16) -> list[tuple[int, int]]:
+    """Verified links that connect whatever links connect, between rows of side 0 and 1 or among rows of side 2.
+
+    Rows with equal ``roots`` are connected already.  ``few`` sets are compared without estimates.
+    """
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
     sizes = np.array([len(sets[i]) for i in order])
     side = np.asarray(side)[order]
     flat = np.concatenate([sets[i] for i in order])
     ends = np.cumsum(sizes)
-    registers = sketches(ShingleSets(flat, sizes))
-    root = np.arange(len(order))
+    registers = sketches(ShingleSets(flat, sizes)) if len(sets) > few else None
+    numbers: dict[bytes, int] = {}
+    root = np.array([numbers.setdefault(roots[i], len(numbers)) for i in order])
     links = []
     for x in range(len(order)):
         # Smaller sets come first; of those after x only some are small enough.
         stop = int(np.searchsorted(sizes * p.similar, sizes[x] * p.of, "right"))
         others = np.arange(x + 1, stop)
         others = others[(root[others] != root[x]) & ((side[others] == 2) | (side[others] != side[x]))]
-        if not len(others):
-            continue
-        guess = estimated_jaccard(registers[others], registers[x], sizes[others], sizes[x])
-        least = p.similar / p.of - p.sure * np.sqrt(p.similar / p.of * (1 - p.similar / p.of) / min(sizes[x], REGISTERS))
-        others, guess = others[guess >= least], guess[guess >= least]
-        others = others[np.argsort(-guess, kind="stable")]
+        if len(others) and registers is not None:
+            guess = estimated_jaccard(registers[others], registers[x], sizes[others], sizes[x])
+            least = p.similar / p.of - p.sure * np.sqrt(p.similar / p.of * (1 - p.similar / p.of) / min(sizes[x], REGISTERS))
+            others, guess = others[guess >= least], guess[guess >= least]
+            others = others[np.argsort(-guess, kind="stable")]
         own = flat[ends[x] - sizes[x] : ends[x]]
         while len(others):
             some, others = others[:64], others[64:]
@@ -181,33 +204,30 @@ def connecting_links(sets: list[np.ndarray], side: np.ndarray, p: NearDedup) ->
     return links
 
 
-def _verified(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str, p: NearDedup) -> DataFrame:
-    """Edges (a, b) of similar classes, as far as they connect."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    wanted = grouped.groupBy("id", "node").agg(F.collect_list(F.struct("component", "place", "side")).alias("places"))
+def _block_links(grouped: DataFrame, sets: DataFrame, p: NearDedup) -> DataFrame:
+    """Edges (a, b) of similar classes of a group, as far as they connect."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                sets = shingle_sets(as_text(part.column("text")), p.width)
-                # A row of the same id whose text is another isn't the class meant.
-                meant = [a == b for a, b in zip(_fingerprint(sets.hashes, sets.sizes), part.column("node").to_pylist(), strict=True)]
-                each = [sets.hashes[a : a + n].tobytes() for a, n in zip(sets.starts, sets.sizes, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("places"), pa.array(each, pa.binary())], ["id", "places", "hashes"]).filter(pa.array(meant))
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+
+        def links() -> pa.RecordBatch:
+            found = connecting_links([np.frombuffer(r[3], np.uint64) for r in rows], [r[1] for r in rows], [r[2] for r in rows], p) if len(rows) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([rows[link[k]][0] for link in found], pa.binary()) for k in (0, 1)], ["a", "b"])
 
-    def compared(table: pa.Table) -> pa.Table:
-        ids = table.column("id").combine_chunks()
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
-        links = connecting_links(sets, table.column("side").to_numpy(), p)
-        take = lambda k: ids.take(pa.array([link[k] for link in links], pa.int64()))
-        return pa.table({"a": take(0), "b": take(1)})
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("key", "place", "node", "side", "root"))
+            for key, place, node, side, root, hashes in zip(*columns, batch.column("hashes"), strict=True):
+                now = (key, *place.values())
+                if now != group:
+                    if rows:
+                        yield links()
+                    group, rows = now, []
+                rows.append((node, side, root, hashes.as_py()))
+        if rows:
+            yield links()
 
-    joined = rows.join(wanted, "id").select("id", "text", "node", "places")
-    places = joined.schema["places"].dataType.simpleString()
-    sets = joined.mapInArrow(hashed, f"id {kind}, places {places}, hashes binary").dropDuplicates(["id"])
-    dealt = sets.select("id", "hashes", F.explode("places").alias("x")).select("id", "hashes", "x.component", "x.place", "x.side")
-    return dealt.groupBy("component", "place").applyInArrow(compared, f"a {kind}, b {kind}")
+    joined = grouped.join(sets, "node").select("key", "place", "node", "side", "root", "hashes")
+    return joined.repartition("key", "place").sortWithinPartitions("key", "place", "node").mapInArrow(compared, "a binary, b binary")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p: NearDedup = NearDedup()) -> DataFrame:
@@ -222,16 +242,28 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result.
     """
     told = written(_described(docs, id_col, text_col, p), "shingles")
-    full = told.where("n > 0")
-    classes = full.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.min_by("keys", "id").alias("keys")).where(F.col("id").isNotNull())
-    keyed = classes.select(F.explode("keys").alias("key"), "id").repartition("key").sortWithinPartitions("key", "id")
-    candidates = connected_components(_stars(keyed))
-    members = full.groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n")).join(candidates, "id")
-    grouped = _groups(written(members, "candidates"), p)
-    links = connected_components(_verified(docs, grouped, id_col, text_col, p))
-    named = full.groupBy("node").agg(F.min("id").alias("id"))
+    classes = written(told.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
+    keyed = classes.where(F.col("id").isNotNull()).select(F.explode("keys").alias("key"), "node", "id", "n")
+    common = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # Read back, the classes of a very common key can be split in the joins that follow.
+    shared = written(keyed.join(common, "key"), "shared-keys")
+    # A text that others were copied from shares more keys than the copies share: it is the hub.
+    weights = shared.groupBy("node").agg(F.sum("members").alias("weight"))
+    hubs = shared.join(weights, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
+    pairs = shared.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    sets = written(_sets(docs, shared.select("id", "node").distinct(), id_col, text_col, p), "sets")
+    stars = written(_star_links(written(pairs, "stars"), sets, p), "star-links")
+    connected = connected_components(stars)
+    members = shared.where("members > 2").join(connected, F.col("node") == connected["id"], "left").select("key", "node", "n", F.coalesce("component", "node").alias("root"))
+    members = written(members, "members")
+    parted = members.groupBy("key").agg((F.min("root") != F.max("root")).alias("parted")).where("parted")
+    rest = written(members.join(parted, "key").select("key", "node", "n", "root"), "parted")
+    links = connected_components(stars.unionByName(_block_links(_groups(rest, p), sets, p)))
+    ids = classes.select("node", "id")
+    linked = ids.join(links.select(F.col("id").alias("node"), "component"), "node")
+    least = linked.join(linked.groupBy("component").agg(F.min("id").alias("least")), "component").select("node", "least")
     # Read back, the classes share no stage with their aggregation: a large class can be split in the join.
-    named = written(named.join(links, "id", "left").select("node", F.coalesce("component", "id").alias("of_node")), "classes")
+    named = written(ids.join(least, "node", "left").select("node", F.coalesce("least", "id").alias("of_node")), "named")
     component = F.when(F.col("n") > 0, F.col("of_node")).otherwise(F.col("id"))
     return told.join(named, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")

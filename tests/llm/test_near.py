@@ -70,6 +70,38 @@ def test_components_are_those_of_all_pairs(spark, docs):
         assert found == wanted
 
 
+def test_a_large_group_is_compared_with_its_hub(spark, monkeypatch):
+    """Of one component the rows that are moved and compared grow with its sets, not with their pairs."""
+    from loomwright.llm import near_dedup as module
+
+    random.seed(14)
+    base = [f"b{i}" for i in range(160)]
+    moved, written = {}, module.written
+
+    def counted(frame, name):
+        made = written(frame, name)
+        moved[name] = made.count()
+        return made
+
+    monkeypatch.setattr(module, "written", counted)
+    for n in (2_000, 20_000):
+        texts = [list(base) for _ in range(n)]
+        for k in range(1, n):
+            texts[k][random.randrange(160)] = f"e{k}"
+        rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+        found = near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+        assert {r["component_id"] for r in found} == {0} and len(found) == n
+        assert moved["stars"] <= 64 * n and moved["stars"] < 12 * n and moved["parted"] < n, moved
+
+
+def test_rows_of_one_id_are_placed_by_their_own_texts(spark):
+    a, b = ([f"{c}{i}" for i in range(100)] for c in "xy")
+    near = lambda w: " ".join([*w[:-1], "z"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, "one of its own kind")]
+    found = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == [(1, 96, 1), (1, 96, 1), (2, 96, 1), (3, 96, 1), (4, 1, 4)]
+
+
 def test_odd_rows(spark, docs, odd_rows):
     found = near_dedup(docs(odd_rows)).collect()
     assert len(found) == len(odd_rows)
