@@ -107,13 +107,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, p: Nea
     return rows.join(wanted, "id").select("text", "node").mapInArrow(hashed, "node binary, hashes binary").dropDuplicates(["node"])
 
 
-def _star_links(pairs: DataFrame, sets: DataFrame, p: NearDedup, most: int = 512) -> DataFrame:
-    """The pairs (a, b) of hub and class that are similar; a hub is copied for every ``most`` of its classes."""
-    copies = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / most).alias("copies"))
-    salted = pairs.join(copies, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("copies")))
-    hubs = copies.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("salt"))
+def _star_links(pairs: DataFrame, sets: DataFrame, p: NearDedup) -> DataFrame:
+    """The pairs (a, b, salt) of hub and class that are similar; a hub is copied for each of its salts."""
+    hubs = pairs.select("a", "salt").distinct()
     hubs = hubs.join(sets, hubs["a"] == sets["node"]).select("a", "salt", F.lit(None).cast("binary").alias("b"), "hashes")
-    others = salted.join(sets, salted["b"] == sets["node"]).select("a", "salt", "b", "hashes")
+    others = pairs.join(sets, pairs["b"] == sets["node"]).select("a", "salt", "b", "hashes")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(0, np.uint64)
@@ -250,7 +248,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A text that others were copied from shares more keys than the copies share: it is the hub.
     weights = shared.groupBy("node").agg(F.sum("members").alias("weight"))
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
-    pairs = shared.join(hubs, "key").where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = shared.join(hubs, "key").where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("members").alias("members"))
+    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / p.block_sets)).alias("salt"))
     sets = written(_sets(docs, shared.select("id", "node").distinct(), id_col, text_col, p), "sets")
     stars = written(_star_links(written(pairs, "stars"), sets, p), "star-links")
     connected = connected_components(stars)

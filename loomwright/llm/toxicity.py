@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from loomwright.llm.arrow import as_text, slices
 from loomwright.llm.common import written
-from loomwright.llm.hyperminhash import shingle_sets, sketches
+from loomwright.llm.hyperminhash import mix, shingle_sets, sketches
 
 WORD = re.compile(r"[^\W\d_]+(?:[0-9@$]+[^\W\d_]+)*")
 #: Signs inside a word that stand for letters (fixed values).
@@ -71,20 +71,33 @@ class Filter:
 
     base = np.uint64(0x9E3779B97F4A7C15)
     back = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-
-    def __init__(self, terms: Iterable[tuple[str, int]]):
-        terms = list(terms)
-        less = {w for t, k in terms if k == 1 for w in (t, *(t[:i] + t[i + 1 :] for i in range(len(t))))}
-        self.lengths = sorted({n for w in less for n in (len(w), len(w) + 1)})
-        parts: set[tuple[int, str]] = set()
-        for t, k in terms:
-            cuts = [len(t) * i // (k + 1) for i in range(k + 2)] if k > 1 else []
-            parts.update((at + move, t[at:end]) for at, end in zip(cuts, cuts[1:], strict=False) for move in range(-k, k + 1) if at + move >= 0)
-        self.places = sorted({(at, len(part)) for at, part in parts})
+    by_length = np.uint64(0xD6E8FEB86659FD93)
+
+    def __init__(self, terms: Iterable[tuple[str, int, bool]]):
+        """``terms`` are a string, its edits, and whether it is a stem; a word has about the length of its term, too."""
+        #: Strings and the lengths of words that they may be (a stem's: any, as 0), and parts with places and lengths.
+        less: set[tuple[str, int]] = set()
+        parts: set[tuple[str, int, int]] = set()
+        stems: set[str] = set()
+        for t, k, stem in terms:
+            lengths = [0] if stem else range(len(t) - k, len(t) + k + 1)
+            if k == 1:
+                left = (t, *(t[:i] + t[i + 1 :] for i in range(len(t))))
+                less.update((w, n) for w in left for n in lengths)
+                stems.update(left if stem else ())
+            elif k:
+                cuts = [len(t) * i // (k + 1) for i in range(k + 2)]
+                for at, end in zip(cuts, cuts[1:], strict=False):
+                    parts.update((t[at:end], at + move, n) for move in range(-k, k + 1) for n in lengths if at + move >= 0)
+        self.lengths = sorted({n for w, _ in less for n in (len(w), len(w) + 1)})
+        self.stem_lengths = {n for w in stems for n in (len(w), len(w) + 1)}
+        self.places = sorted({(at, len(part)) for part, at, _ in parts})
+        self.part_stems = {(at, len(part)) for part, at, n in parts if not n}
         self.width = max([1, *self.lengths, *(at + n for at, n in self.places)])
         self.powers = np.array([pow(int(self.base), j, 1 << 64) for j in range(self.width)], np.uint64)
         self.inverse = [np.uint64(pow(int(self.back), j, 1 << 64)) for j in range(self.width)]
-        keys = [self._sums([w])[:, len(w)] for w in less] + [self._at(self._sums([part])[:, len(part)], at) for at, part in parts]
+        sized = lambda keys, n: keys + np.array([n], np.uint64) * self.by_length
+        keys = [sized(self._sums([w])[:, len(w)], n) for w, n in less] + [sized(self._at(self._sums([part])[:, len(part)], at), n) for part, at, n in parts]
         self.keys = np.unique(np.concatenate([*keys, np.zeros(0, np.uint64)]))
         # A first look by 20 bits of a key.
         self.seen = np.zeros(1 << 20, bool)
@@ -105,17 +118,20 @@ class Filter:
         if not words or not len(self.keys):
             return out
         sums = np.ascontiguousarray(self._sums(words).T)
+        size = np.fromiter(map(len, words), np.uint64, len(words)) * self.by_length
 
-        def look(keys: np.ndarray) -> None:
-            rows = np.flatnonzero(self.seen[keys >> np.uint64(44)])
-            out[rows[np.isin(keys[rows], self.keys)]] = True
+        def look(keys: np.ndarray, stem: bool) -> None:
+            for some in [keys + size] + [keys] * stem:
+                rows = np.flatnonzero(self.seen[some >> np.uint64(44)])
+                out[rows[np.isin(some[rows], self.keys)]] = True
 
         for n in self.lengths:
-            look(sums[n])
+            stem = n in self.stem_lengths
+            look(sums[n], stem)
             for i in range(n):
-                look(sums[i] + (sums[n] - sums[i + 1]) * self.back)
+                look(sums[i] + (sums[n] - sums[i + 1]) * self.back, stem)
         for at, n in self.places:
-            look(self._at((sums[at + n] - sums[at]) * self.inverse[at], at))
+            look(self._at((sums[at + n] - sums[at]) * self.inverse[at], at), (at, n) in self.part_stems)
         return out
 
 
@@ -130,7 +146,7 @@ class Trie:
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = (term, stem)
-        self.may_match = Filter((t, self.errors(t)) for t, _ in terms)
+        self.may_match = Filter((t, self.errors(t), stem) for t, stem in terms)
 
     @staticmethod
     def errors(term: str) -> int:
@@ -291,12 +307,13 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit:
     return written(rows.join(F.broadcast(known), "id"), "labelled")  # sample_rows ids and labels
 
 
-def _once(sample: DataFrame, alike: float = 0.8) -> DataFrame:
+def _once(sample: DataFrame, alike: float = 0.4) -> DataFrame:
     """text, toxic of the sample; near copies with the same label count once.
 
-    Rows whose smallest 3-word hash is the same are compared with the one of
-    them that has the smallest id, on 64 registers; only a row that agrees in a
-    share of ``alike`` is taken for its copy.
+    In two passes, each by another hash of 3-word shingles, rows whose smallest
+    hash is the same are compared with the one of them that has the smallest
+    id, on 64 registers; only a row that agrees in a share of ``alike`` is taken
+    for its copy.
     """
     kind = sample.schema["id"].dataType.simpleString()
 
@@ -304,18 +321,22 @@ def _once(sample: DataFrame, alike: float = 0.8) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(as_text(part.column("text")), 3)
-                sign = np.zeros(len(sets.sizes), np.uint64)
-                sign[sets.sizes > 0] = sets.hashes[sets.starts[sets.sizes > 0]]
+                full = sets.sizes > 0
+                signs = np.zeros((2, len(sets.sizes)), np.uint64)
+                if full.any():
+                    signs[0, full] = sets.hashes[sets.starts[full]]
+                    signs[1, full] = np.minimum.reduceat(mix(sets.hashes), sets.starts[full])
                 registers = sketches(sets)[:, :64].astype(np.int32)
                 told = pa.FixedSizeListArray.from_arrays(pa.array(registers.reshape(-1)), 64).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sign.view(np.int64)), told], [*part.schema.names, "sign", "told"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(x.view(np.int64)) for x in signs), told], [*part.schema.names, "sign0", "sign1", "told"])
 
-    rows = written(sample.mapInArrow(signed, f"id {kind}, text string, toxic int, sign long, told array<int>").withColumn("bad", F.col("toxic") > 0), "labelled-signs")
-    first = rows.groupBy("sign", "bad").agg(F.min(F.struct("id", F.xxhash64("text").alias("h"))).alias("one"), F.min_by("told", F.struct("id", F.xxhash64("text"))).alias("other"))
+    rows = sample.mapInArrow(signed, f"id {kind}, text string, toxic int, sign0 long, sign1 long, told array<int>")
+    rows = written(rows.withColumn("bad", F.col("toxic") > 0).withColumn("row", F.struct("id", F.xxhash64("text").alias("h"))), "labelled-signs")
     same = F.aggregate(F.zip_with("told", "other", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
-    is_first = F.struct("id", F.xxhash64("text").alias("h")) == F.col("one")
-    kept = rows.join(first, ["sign", "bad"]).where(is_first | (same < alike * 64))
-    return written(kept.dropDuplicates(["id", "text", "toxic"]).select("text", "toxic"), "labelled-once")
+    for sign in ("sign0", "sign1"):
+        first = rows.groupBy(sign, "bad").agg(F.min("row").alias("one"), F.min_by("told", "row").alias("other"))
+        rows = rows.join(first, [sign, "bad"]).where((F.col("row") == F.col("one")) | (same < alike * 64)).drop("one", "other")
+    return written(rows.dropDuplicates(["id", "text"]).select("text", "toxic"), "labelled-once")
 
 
 def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:

@@ -112,7 +112,7 @@ def test_near_copies_are_told_by_more_than_one_hash(spark):
 
     random.seed(4)
     base = [f"w{i}" for i in range(200)]
-    rows = [(k, " ".join(base[: 40 * (k + 1)] + [f"x{k}y{i}" for i in range(60)]), 0) for k in range(4)]
+    rows = [(k, " ".join(base[: 40 * (k + 1)] + [f"x{k}y{i}" for i in range(200)]), 0) for k in range(4)]
     rows += [(10 + k, " ".join(base + ["z", str(k)]), 0) for k in range(5)] + [(20, " ".join(base + ["z", "0"]), 1), (21, "", 0), (22, "", 0)]
     kept = _once(spark.createDataFrame(rows, "id long, text string, toxic int")).collect()
     assert {r["text"] for r in kept} >= {t for k, t, _ in rows if k < 4}
