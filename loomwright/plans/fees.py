@@ -12,18 +12,28 @@ from loomwright.operators.ranking import chunked, first_wins
 from loomwright.operators.reshape import unpivot_named
 
 
-def expanded_fees(records: DataFrame, fees: Mapping[str, str], file_rows: int = 4800) -> DataFrame:
-    """shop, msku, fee, amount, file: sums of rows with any fee, one row for each that isn't 0, in files of bounded length."""
-    some = records.where(any_nonzero(*(F.col(c) for c in fees)))
+#: Codes that no product has (fixed values).
+INVALID = ("Amazon.Found.B0CJCDHZYN", "Amazon.Found.B0CJCFLXJW", "UNKNOW")
+
+
+def expanded_fees(records: DataFrame, fees: Mapping[str, str], file_rows: int = 4800, invalid: Sequence[str] = INVALID) -> DataFrame:
+    """shop, msku, fee, amount, file: sums of rows with any fee, one row for each that isn't 0, in files of bounded length.
+
+    Rows without a shop or a code, or with an ``invalid`` one, are left out.
+    Files are cut over all rows, by shop, code and fee.
+    """
+    named = (F.coalesce(F.trim("msku"), F.lit("")) != "") & (F.coalesce(F.trim("shop"), F.lit("")) != "") & ~F.trim("msku").isin(*invalid)
+    some = records.where(any_nonzero(*(F.col(c) for c in fees)) & named)
     sums = some.groupBy("shop", "msku").agg(*(F.sum(c).alias(c) for c in fees))
     rows = unpivot_named(sums, ["shop", "msku"], fees, "fee", "amount")
-    return chunked(rows, ["shop"], ["msku", "fee"], file_rows, "file")
+    return chunked(rows, [], ["shop", "msku", "fee"], file_rows, "file")
 
 
-def fee_orders(rows: DataFrame, limit: int = 50) -> DataFrame:
-    """shop, order_no, items (struct array of msku, fee, amount): at most ``limit`` items an order."""
-    dealt = chunked(rows, ["shop"], ["msku", "fee"], limit, "order_no")
-    items = F.array_sort(F.collect_list(F.struct("msku", "fee", "amount")))
+def fee_orders(rows: DataFrame, limit: int = 15) -> DataFrame:
+    """shop, order_no, items (struct array of msku, fee, amount), amount: at most ``limit`` codes an order, each with all its fees."""
+    fees = rows.groupBy("shop", "msku").agg(F.collect_list(F.struct("msku", "fee", "amount")).alias("fees"), F.sum("amount").alias("amount"))  # a row for each kind of fee
+    dealt = chunked(fees, ["shop"], ["msku"], limit, "order_no")
+    items = F.array_sort(F.flatten(F.collect_list("fees")))
     return dealt.groupBy("shop", "order_no").agg(items.alias("items"), F.sum("amount").alias("amount"))
 
 

@@ -5,66 +5,69 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomwright.functions.codes import brand_of, spu_of
+from loomwright.functions.codes import brand_of, profit_spu, sku_of_msku
 from loomwright.operators.lookup import fallback_lookup
 from loomwright.operators.ranking import first_wins
 
 
 def weights(products: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sku, weight) of the first product with one, and (spu, spu_weight): its mean over products."""
-    known = products.where("weight > 0")
+    """(sku, weight) of the first product with one, and (spu, spu_weight): the mean over the style's products with one."""
+    known = products.where("weight > 0").withColumn("weight", F.col("weight").cast("double"))
     by_sku = first_wins(known, ["sku"], ["part_id"], ["weight"])
-    by_spu = by_sku.withColumn("spu", spu_of(F.col("sku"))).groupBy("spu").agg(F.expr("sum(weight) div count(*)").alias("spu_weight"))
-    return by_sku, by_spu
+    return by_sku, known.groupBy("spu").agg((F.sum("weight") / F.count(F.lit(1))).alias("spu_weight"))
 
 
 def freight_levels(freight: DataFrame, back: int = 2) -> DataFrame:
-    """level, shop, owner, brand, month, price: what each level offers for a month, the nearest month first.
+    """level, shop, owner, brand, month, price, matched: what each level offers for a month, the nearest month (``matched``) first.
 
     Owners: the first record of (shop, owner); shops and brands: the mean over
     records.  A month takes from itself or from up to ``back`` before it.
     """
-    rows = freight.where("price > 0").withColumn("brand", brand_of(F.col("shop")))
+    rows = freight.where("price > 0").withColumn("price", F.col("price").cast("double")).withColumn("brand", brand_of(F.col("shop")))
     none = F.lit("")
     owner = first_wins(rows, ["shop", "owner", "month"], ["ordinal"], ["price"]).select(F.lit(0).alias("level"), "shop", "owner", none.alias("brand"), "month", "price")
-    mean = F.expr("sum(price) div count(*)").alias("price")
+    mean = (F.sum("price") / F.count(F.lit(1))).alias("price")
     shop = rows.groupBy("shop", "month").agg(mean).select(F.lit(1).alias("level"), "shop", none.alias("owner"), none.alias("brand"), "month", "price")
     brand = rows.groupBy("brand", "month").agg(mean).select(F.lit(2).alias("level"), none.alias("shop"), none.alias("owner"), "brand", "month", "price")
     offered = owner.unionByName(shop).unionByName(brand).withColumn("lag", F.explode(F.array(*[F.lit(k) for k in range(back + 1)])))
-    offered = offered.withColumn("month", F.add_months("month", F.col("lag")))
-    return offered.groupBy("level", "shop", "owner", "brand", "month").agg(F.min_by("price", "lag").alias("price"))
+    offered = offered.withColumn("matched", F.col("month")).withColumn("month", F.add_months("month", F.col("lag")))
+    return offered.groupBy("level", "shop", "owner", "brand", "month").agg(F.min_by("price", "lag").alias("price"), F.min_by("matched", "lag").alias("matched"))
 
 
 def freight_price(records: DataFrame, freight: DataFrame) -> DataFrame:
-    """Adds price and price_level by owner, shop, brand (each over the months) in turn; records have shop, owner, month."""
-    levels = freight_levels(freight)
+    """Adds price, price_level and price_month by owner, shop, brand (each over the months) in turn; records have shop, owner, month."""
+    levels = freight_levels(freight).withColumn("found", F.struct("price", "matched"))
     of = lambda n: levels.where(F.col("level") == n)
     records = records.withColumn("brand", brand_of(F.col("shop")))
-    return fallback_lookup(records, [(of(0), ["shop", "owner", "month"], "price", "owner"), (of(1), ["shop", "month"], "price", "shop"), (of(2), ["brand", "month"], "price", "brand")], "price")
+    found = fallback_lookup(records, [(of(0), ["shop", "owner", "month"], "found", "owner"), (of(1), ["shop", "month"], "found", "shop"), (of(2), ["brand", "month"], "found", "brand")], "price")
+    return found.withColumn("price_month", F.col("price.matched")).withColumn("price", F.col("price.price"))
 
 
 def calculated(records: DataFrame, products: DataFrame, freight: DataFrame, fees: list[str], revenue: list[str], ads: list[str]) -> DataFrame:
-    """Adds the calculated fields; money is in cents, fees in millionths of a cent's kilogram price.
+    """Adds the calculated fields; money is in cents, fees in thousandths of a cent.
 
-    records: id, sku, shop, owner, month, cost, freight_cost, sold, reshipped,
+    A record without a code has that of its marketplace code; the style is what
+    stands before the code's first dash, and codes without one have no style.
+    records: id, sku, msku, shop, owner, month, cost, freight_cost, sold, reshipped,
     returned, and the columns that the three lists name.
     """
     from loomwright.functions.nulls import sum_of
 
     by_sku, by_spu = weights(products)
-    rows = records.withColumn("spu", spu_of(F.col("sku")))
+    code = F.coalesce(F.nullif(F.trim("sku"), F.lit("")), sku_of_msku(F.col("msku")))
+    rows = records.withColumn("sku", code).withColumn("spu", profit_spu(F.col("sku"), whole=False))
     rows = fallback_lookup(rows, [(by_sku, ["sku"], "weight", "sku"), (by_spu, ["spu"], "spu_weight", "spu")], "weight")
     rows = freight_price(rows, freight)
     actual = F.col("sold") + F.col("reshipped") - F.col("returned")
     # grams * pieces * cents for a kilogram: thousandths of a cent
-    fee = F.coalesce(-(F.col("weight") * F.col("actual") * F.col("price")), F.lit(0).cast("bigint"))
+    fee = F.coalesce(F.lit(0.0) - F.col("weight") * F.col("actual") * F.col("price"), F.lit(0.0))
     sums: dict[str, Column] = {"platform": sum_of(*map(F.col, fees)), "revenue": sum_of(*map(F.col, revenue)), "advertising": sum_of(*map(F.col, ads))}
     return (
         rows.withColumn("actual", actual)
         .withColumn("freight_fee", fee)
         .withColumns(sums)
         .select(
-            "id", "weight", "weight_level", "price", "price_level", "actual",
+            "id", "sku", "weight", "weight_level", "price", "price_level", "price_month", "actual",
             (F.col("cost") * 15).cast("bigint").alias("cost_addition"),
             "freight_fee",
             (F.col("freight_fee") * 15).alias("freight_addition"),

@@ -48,7 +48,7 @@ VIEWS = {
     "b_sales": "SELECT shop, sku, spu, date_trunc('month', shipped)::DATE AS month, sum(qty)::BIGINT AS qty FROM b_lines WHERE shop <> '无' GROUP BY ALL",
     "b_planned": """SELECT shop, sku, spu, date_trunc('month', ordered)::DATE AS month, sum(qty % 17)::BIGINT AS qty,
             max(CASE WHEN customer_id % 3 = 0 THEN '' ELSE 'op' || (customer_id % 7) END) AS owner
-        FROM b_lines WHERE shop <> '无' AND order_id % 4 = 0 GROUP BY ALL""",
+        FROM b_lines WHERE shop <> '无' GROUP BY ALL""",
     "b_fba": "SELECT sku, shop, sum(qty % 7)::BIGINT AS sellable, sum(line % 3)::BIGINT AS in_transit FROM b_lines WHERE flag = 'A' GROUP BY ALL",
     "b_local": "SELECT sku, shop, sum(qty % 5)::BIGINT AS available, sum(line % 2)::BIGINT AS pending FROM b_lines WHERE flag = 'R' GROUP BY ALL",
     "b_pricing": "SELECT spu, fabric, max(CASE WHEN size % 10 <> 0 THEN size * 2 END) AS usage, max(part_id % 20 + 100) AS loss FROM b_products GROUP BY ALL",

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions.codes import shop_name
+from loomwright.operators import ranking
 from loomwright.queries.base import query
 from loomwright.sinks.files import fresh_path
 from loomwright.sources import business as b
@@ -13,9 +16,13 @@ from loomwright.sources import paged, stores
 from loomwright.sources.business import table
 
 
-
-def _scan(spark: SparkSession, slices: str, total: int, page: int) -> DataFrame:
-    return paged.read_paged(spark, "id long, slice string, record string", fetch="loomwright.sources.paged:demo_page", slices=slices, total=total, page=page)
+def _landed(spark: SparkSession, rows: DataFrame, slices: list[str], key: list[str], page: int) -> DataFrame:
+    """Rows of a table, landed slice by slice as pages of up to ``page`` records, and read back from the pages."""
+    path = fresh_path(spark, "pages")
+    paged_rows = ranking.chunked(rows, slices, key, page, "page")
+    pages = paged_rows.groupBy(*slices, "page").agg(F.collect_list(F.struct(*rows.columns)).alias("items"))  # at most ``page`` records
+    pages.select("items", F.col("page").cast("string").alias("page_token")).write.json(path)
+    return paged.read_cursor_pages(spark, path, rows.schema.simpleString())
 
 
 @query("SELECT o_orderkey AS order_id, o_orderstatus AS status FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'")
@@ -23,23 +30,23 @@ def src_01_table_scan(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").where("o_orderdate >= timestamp_ntz'2001-01-01 00:00:00'").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
 
 
-@query("SELECT i AS id, 'S' || (i % 7) || '-RED-' || (i % 5) AS sku, i % 11 AS qty FROM range(0, 25000) t(i)")
+@query("SELECT part_id, sku, size AS qty FROM b_products")
 def src_03_paged_scan(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _scan(spark, "", 25_000, 500)
-    return rows.select("id", F.from_json("record", "sku string, qty long").alias("r")).select("id", "r.sku", "r.qty")
+    return _landed(spark, b.products(spark, folder).select("part_id", "sku", F.col("size").alias("qty")), [], ["part_id"], 500)
 
 
-@query("SELECT i AS id, s AS slice FROM range(0, 3200) t(i), (VALUES ('0'), ('1')) x(s)")
+@query("SELECT order_id, line, state FROM b_lines")
 def src_05_two_passes(spark: SparkSession, folder: str) -> DataFrame:
-    """A slice for each value of a flag; each is a partition of its own."""
-    return _scan(spark, "0,1", 3200, 800).select("id", "slice")
+    """A slice for each value of a flag."""
+    return _landed(spark, b.lines(spark, folder).select("order_id", "line", "state"), ["state"], ["order_id", "line"], 800)
 
 
-@query("SELECT s AS day, count(*) AS n FROM range(0, 1500) t(i), (VALUES ('2000-06-01'), ('2000-06-02'), ('2000-06-03')) x(s) WHERE i % 7 <> 3 GROUP BY s")
+@query("SELECT ts::DATE AS day, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1")
 def src_06_days_with_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _scan(spark, "2000-06-01,2000-06-02,2000-06-03", 1500, 1000)
-    kept = rows.where(~F.get_json_object("record", "$.sku").startswith("S3-"))
-    return kept.groupBy(F.col("slice").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    """A slice for each day; some records are left out after they are read."""
+    rows = table(spark, folder, "events").select("event_id", F.to_date("ts").alias("day"), "event_type")
+    kept = _landed(spark, rows, ["day"], ["event_id"], 1000).where("event_type <> 'error'")
+    return kept.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT DISTINCT customer_id, CASE WHEN regexp_matches(shop, '^RR[-_]') THEN 'RR-EU' ELSE shop END AS shop FROM b_shops WHERE shop <> '无'")
@@ -63,9 +70,11 @@ def src_13_cursor_pages(spark: SparkSession, folder: str) -> DataFrame:
     return paged.read_cursor_pages(spark, path, "struct<event_id:bigint,event_type:string>")
 
 
-@query("SELECT count(*) AS n FROM range(0, 3000) t(i)")
+@query("SELECT event_id, event_type FROM events")
 def src_15_complete_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return paged.complete(_scan(spark, "", 3000, 1000), 3000).agg(F.count(F.lit(1)).alias("n"))
+    """Pages are read once, and as many rows as the table has must come."""
+    rows = table(spark, folder, "events").select("event_id", "event_type")
+    return paged.complete(_landed(spark, rows, [], ["event_id"], 1000), rows.count())
 
 
 @query("SELECT 0::BIGINT AS n_missing_table, 1::BIGINT AS n_missing_columns")
@@ -88,35 +97,38 @@ def ingest_json_props(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("event_id", F.concat_ws(":", "event_type", k.cast("string")).alias("label"))
 
 
-@query("SELECT i AS id, 'created' AS slice FROM range(0, 900) t(i) UNION SELECT i, 'updated' FROM range(0, 900) t(i)")
+@query("SELECT order_id, 'created' AS slice FROM b_lines WHERE ordered >= DATE '2000-06-01' AND ordered < DATE '2000-07-01' UNION SELECT order_id, 'updated' FROM b_lines WHERE shipped >= DATE '2000-06-01' AND shipped < DATE '2000-07-01'")
 def src_04_time_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """Records made or changed in a range: two slices."""
-    return _scan(spark, "created,updated", 900, 100).select("id", "slice")
+    june = lambda c: (F.col(c) >= F.lit(dt.date(2000, 6, 1))) & (F.col(c) < F.lit(dt.date(2000, 7, 1)))
+    rows = b.lines(spark, folder).select("order_id", F.array_compact(F.array(F.when(june("ordered"), "created"), F.when(june("shipped"), "updated"))).alias("slices"))
+    return _landed(spark, rows.select("order_id", F.explode("slices").alias("slice")).distinct(), ["slice"], ["order_id"], 100)
 
 
-@query("SELECT 'S' || (i % 7) || '-RED-' || (i % 5) AS sku, sum(i % 11)::BIGINT AS qty FROM range(0, 4000) t(i) GROUP BY ALL")
+@query("SELECT sku, sum(available)::BIGINT AS qty FROM b_local GROUP BY sku")
 def src_07_stock_scan(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _scan(spark, "", 4000, 1000).select(F.from_json("record", "sku string, qty long").alias("r")).select("r.*")
-    return rows.groupBy("sku").agg(F.sum("qty").alias("qty"))
+    rows = _landed(spark, b.local_stock(spark, folder).select("shop", "sku", "available"), ["shop"], ["sku"], 1000)
+    return rows.groupBy("sku").agg(F.sum("available").alias("qty"))
 
 
-@query("SELECT CASE WHEN i % 2 = 0 THEN 'north' ELSE '无' END AS warehouse, count(*) AS n FROM range(0, 2000) t(i) GROUP BY 1")
+@query("SELECT CASE WHEN available % 2 = 0 THEN 'north' ELSE '无' END AS warehouse, count(*) AS n FROM b_local GROUP BY 1")
 def src_08_stock_with_warehouses(spark: SparkSession, folder: str) -> DataFrame:
     warehouses = spark.createDataFrame([(0, "north")], "w long, warehouse string")
-    rows = _scan(spark, "", 2000, 500).withColumn("w", F.col("id") % 2).join(F.broadcast(warehouses), "w", "left")
+    rows = _landed(spark, b.local_stock(spark, folder).select("shop", "sku", "available"), ["shop"], ["sku"], 500)
+    rows = rows.withColumn("w", F.col("available") % 2).join(F.broadcast(warehouses), "w", "left")  # one row
     return rows.groupBy(F.coalesce("warehouse", F.lit("无")).alias("warehouse")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT s AS month, sum(i % 11)::BIGINT AS qty FROM range(0, 700) t(i), (VALUES (DATE '2000-04-01'), (DATE '2000-05-01')) x(s) GROUP BY s")
+@query("SELECT month, sum(qty)::BIGINT AS qty FROM b_sales GROUP BY month")
 def src_09_months(spark: SparkSession, folder: str) -> DataFrame:
-    """A slice for each month; pages until the total is reached."""
-    rows = _scan(spark, "2000-04-01,2000-05-01", 700, 300)
-    qty = F.from_json("record", "qty long")["qty"]
-    return rows.groupBy(F.col("slice").cast("date").alias("month")).agg(F.sum(qty).alias("qty"))
+    """A slice for each month; pages until all are there."""
+    rows = _landed(spark, b.monthly_sales(spark, folder).select("month", "shop", "sku", "qty"), ["month"], ["shop", "sku"], 300)
+    return rows.groupBy("month").agg(F.sum("qty").alias("qty"))
 
 
-@query("SELECT s AS shop, i AS shipment, i * 10 + b AS box FROM range(0, 120) t(i), (VALUES ('N1'), ('N2')) x(s), range(0, 3) y(b)")
+@query("SELECT shop, order_id AS shipment, line AS box FROM b_lines WHERE shop <> '无'")
 def src_11_shipments_and_boxes(spark: SparkSession, folder: str) -> DataFrame:
-    """Shipments of every shop, and the boxes of every shipment."""
-    shipments = _scan(spark, "N1,N2", 120, 50).select(F.col("slice").alias("shop"), F.col("id").alias("shipment"))
-    return shipments.select("shop", "shipment", F.explode(F.array(*(F.col("shipment") * 10 + k for k in range(3)))).alias("box"))
+    """Shipments of every shop with their boxes, as nested records."""
+    lines = b.lines(spark, folder).where("shop <> '无'")
+    shipments = lines.groupBy("shop", F.col("order_id").alias("shipment")).agg(F.collect_list("line").alias("boxes"))  # the lines of an order
+    return _landed(spark, shipments, ["shop"], ["shipment"], 50).select("shop", "shipment", F.explode("boxes").alias("box"))
\ No newline at end of file

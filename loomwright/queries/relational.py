@@ -266,9 +266,9 @@ def jn_15_prefix(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.prefix_lookup(p.select("part_id", "sku"), "sku", prefixes, "prefix", "prefix", "prefix").select("part_id", "prefix")
 
 
-@query("SELECT shop, avg_price FROM (SELECT DISTINCT shop, split_part(shop, '-', 1) || '-' AS brand FROM b_shops WHERE shop <> '无') LEFT JOIN (SELECT split_part(shop, '-', 1) || '-' AS brand, sum(price)::BIGINT // count(*) AS avg_price FROM b_freight GROUP BY 1) USING (brand)")
+@query("SELECT shop, avg_price FROM (SELECT DISTINCT shop, split_part(shop, '-', 1) || '-' AS brand FROM b_shops WHERE shop <> '无') LEFT JOIN (SELECT split_part(shop, '-', 1) || '-' AS brand, sum(price)::DOUBLE / count(*)::DOUBLE AS avg_price FROM b_freight GROUP BY 1) USING (brand)")
 def jn_16_brand_prefix(spark: SparkSession, folder: str) -> DataFrame:
-    mean = b.freight(spark, folder).groupBy(codes.brand_of(F.col("shop")).alias("brand")).agg(F.expr("sum(price) div count(*)").alias("avg_price"))
+    mean = b.freight(spark, folder).groupBy(codes.brand_of(F.col("shop")).alias("brand")).agg((F.sum("price").cast("double") / F.count(F.lit(1))).alias("avg_price"))
     shops = b.shops(spark, folder).where(F.col("shop") != NONE).select("shop").distinct().withColumn("brand", codes.brand_of(F.col("shop")))
     return shops.join(mean, "brand", "left").select("shop", "avg_price")
 
@@ -281,11 +281,11 @@ def jn_17_as_of_months(spark: SparkSession, folder: str) -> DataFrame:
     return lookup.as_of_months(probe, prices, ["shop"], "month", "price", 2, "price", ["shop", "month"]).select("shop", "month", "price")
 
 
-@query("SELECT part_id, coalesce(w, s) AS weight, CASE WHEN w IS NOT NULL THEN 'sku' WHEN s IS NOT NULL THEN 'spu' END AS weight_level FROM (SELECT part_id, nullif(weight, 0) AS w, spu FROM b_products) LEFT JOIN (SELECT spu, sum(weight)::BIGINT // count(*) AS s FROM b_products WHERE weight > 0 GROUP BY spu) USING (spu)")
+@query("SELECT part_id, coalesce(w::DOUBLE, s) AS weight, CASE WHEN w IS NOT NULL THEN 'sku' WHEN s IS NOT NULL THEN 'spu' END AS weight_level FROM (SELECT part_id, nullif(weight, 0) AS w, spu FROM b_products) LEFT JOIN (SELECT spu, sum(weight)::DOUBLE / count(*)::DOUBLE AS s FROM b_products WHERE weight > 0 GROUP BY spu) USING (spu)")
 def jn_19_two_levels(spark: SparkSession, folder: str) -> DataFrame:
     p = b.products(spark, folder)
-    own = p.where("weight > 0").select("part_id", "weight")
-    style = p.where("weight > 0").groupBy("spu").agg(F.expr("sum(weight) div count(*)").alias("mean"))
+    own = p.where("weight > 0").select("part_id", F.col("weight").cast("double").alias("weight"))
+    style = p.where("weight > 0").groupBy("spu").agg((F.sum("weight").cast("double") / F.count(F.lit(1))).alias("mean"))
     return lookup.fallback_lookup(p.select("part_id", "spu"), [(own, ["part_id"], "weight", "sku"), (style, ["spu"], "mean", "spu")], "weight").select("part_id", "weight", "weight_level")
 
 

@@ -97,11 +97,11 @@ def snk_09_schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     return merge.check_schema(merge.evolve(b.products(spark, folder), wanted, {"part_id": "id"}, extra="drop"), wanted)
 
 
-@query("SELECT sku, shop, available, pending, CASE WHEN available > 20 THEN 'many' ELSE 'few' END AS view FROM b_local WHERE shop = 'N1-US'")
+@query("SELECT sku, shop, available, pending, CASE WHEN available > 20 THEN 'many' ELSE 'few' END AS view, (row_number() OVER (PARTITION BY shop ORDER BY sku) - 1) // 20000 AS outbox FROM b_local")
 def snk_10_guarded_outbox(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows for a target that takes 20,000 at most, in its columns."""
-    rows = b.local_stock(spark, folder).where("shop = 'N1-US'").select("sku", "shop", "available", "pending", F.when(F.col("available") > 20, "many").otherwise("few").alias("view"))
-    return merge.guarded_size(rows)
+    """Rows of every shop for targets that take 20,000 at most, in their columns: beyond that a shop has more outboxes."""
+    rows = b.local_stock(spark, folder).select("sku", "shop", "available", "pending", F.when(F.col("available") > 20, "many").otherwise("few").alias("view"))
+    return ranking.chunked(rows, ["shop"], ["sku"], 20_000, "outbox")
 
 
 @query("SELECT owner, count(DISTINCT sku) AS products FROM b_owners WHERE owner <> '' GROUP BY owner")

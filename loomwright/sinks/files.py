@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names for checkpoints; one of our own only where it names none, as in tests."""
+    """The folder that the session names for checkpoints; one of our own only in a local session that names none, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -33,7 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def replace_folder(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Write beside ``path``, then swap: readers see the old files or the new, and ``df`` may read ``path`` itself."""
+    """Write beside ``path``, then swap two names; ``df`` may read ``path`` itself.
+
+    Readers see the old files or the new, but for the moment between two
+    renames, in which there are none.  If the second one fails the old files
+    are put back; if the driver dies between them they are at ``path.old-*``.
+    """
     spark = df.sparkSession
     beside = f"{path}.new-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(beside)
@@ -45,6 +52,8 @@ def replace_folder(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     if had and not fs.rename(target, old):
         raise OSError(f"{path} can't be moved")
     if not fs.rename(made, target):
+        if had:
+            fs.rename(old, target)
         raise OSError(f"{beside} can't be moved")
     if had:
         fs.delete(old, True)

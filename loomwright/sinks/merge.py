@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomwright.operators.ranking import first_wins
+from loomwright.sinks.files import written
 
 
 def replace_range(old: DataFrame, new: DataFrame, replaced: Column) -> DataFrame:
@@ -30,7 +31,12 @@ def last_wins(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """New rows replace old ones of their key, but for the columns ``keep``, which stay as they were where a row was."""
+    """New rows replace old ones of their key, but for the columns ``keep``, which stay as they were where a row was.
+
+    Of new rows with one key the largest counts, by their other columns in order.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    new = new.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("x__")).select(*keys, "x__.*").select(new.columns)
     if not keep:
         return old.join(new.select(*keys), list(keys), "left_anti").select(old.columns).unionByName(new)
     was = old.select(*keys, *(F.col(c).alias(f"{c}__") for c in old.columns if c not in keys), F.lit(True).alias("was__"))
@@ -78,6 +84,7 @@ def evolve(df: DataFrame, wanted: StructType, renamed: dict[str, str] | None = N
 
 def guarded_size(df: DataFrame, most: int = 20_000) -> DataFrame:
     """``df`` if it has at most ``most`` rows (what the target takes), else an error; rows beyond are never cut off."""
+    df = written(df, "guarded")  # once, for the count and for the target
     n = df.limit(most + 1).count()
     if n > most:
         raise ValueError(f"more than {most} rows")

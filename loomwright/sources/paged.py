@@ -8,7 +8,6 @@ pages are fetched in parallel; a task retries a page with growing pauses.
 from __future__ import annotations
 
 import importlib
-import json
 import time
 from collections.abc import Callable, Iterator
 
@@ -18,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from loomwright.sinks.files import written
+
 
 class Busy(Exception):
     """What a fetch function raises where the remote side asks to wait."""
@@ -41,12 +42,16 @@ def with_retries(call: Callable[[], list], tries: int = 5, pause: float = 10.0)
 
 
 class Range(InputPartition):
-    def __init__(self, first: int, last: int, slice_name: str):
+    def __init__(self, first: int, last: int | None, slice_name: str):
         self.first, self.last, self.slice_name = first, last, slice_name
 
 
 class PagedReader(DataSourceReader):
-    """Options: fetch, page (rows of one), total (of all rows), pages_per_task, slices (comma-joined: days, shops, flags), pause."""
+    """Options: fetch, page (rows of one), total (of a slice's rows), pages_per_task, slices (comma-joined: days, shops, flags), pause.
+
+    ``total`` parts a slice into tasks and is no limit: the last of them, or the
+    only one where it isn't given, reads until a short page.
+    """
 
     def __init__(self, schema: StructType, options: dict[str, str]):
         self.names = schema.names
@@ -54,20 +59,22 @@ class PagedReader(DataSourceReader):
 
     def partitions(self) -> list[Range]:
         o = self.options
-        page, total = int(o.get("page", 1000)), int(o["total"])
+        page, total = int(o.get("page", 1000)), int(o.get("total", 0))
         step = page * int(o.get("pages_per_task", 10))
-        return [Range(a, min(a + step, total), s) for s in o.get("slices", "").split(",") for a in range(0, total, step)]
+        firsts = list(range(0, total, step)) or [0]
+        return [Range(a, b, s) for s in o.get("slices", "").split(",") for a, b in zip(firsts, [*firsts[1:], None], strict=True)]
 
     def read(self, partition: Range) -> Iterator[tuple]:
         fetch, page = function_named(self.options["fetch"]), int(self.options.get("page", 1000))
         pause = float(self.options.get("pause", 10))
-        for offset in range(partition.first, partition.last, page):
-            length = min(page, partition.last - offset)
-            rows = with_retries(lambda offset=offset, length=length: fetch(partition.slice_name, offset, length), pause=pause)
+        offset = partition.first
+        while partition.last is None or offset < partition.last:
+            rows = with_retries(lambda offset=offset: fetch(partition.slice_name, offset, page), pause=pause)
             for row in rows:
                 yield tuple(row.get(n) for n in self.names)
-            if len(rows) < length:  # a short page is the last
+            if len(rows) < page:  # a short page is the last
                 return
+            offset += page
 
 
 class PagedSource(DataSource):
@@ -107,17 +114,13 @@ def batched_lookup(keys: DataFrame, key: str, lookup: str, schema: str, batch: i
 
 
 def complete(df: DataFrame, expected: int, name: str = "scan") -> DataFrame:
-    """Fails while rows are counted if their number isn't the one the remote side told."""
+    """``df``, read once; fails if the number of its rows isn't the one the remote side told."""
+    df = written(df, "complete")
     n = df.agg(F.count(F.lit(1)).alias("n"))
     checked = n.select(F.when(F.col("n") == expected, F.col("n")).otherwise(F.raise_error(F.format_string(f"{name}: %d of {expected} rows", F.col("n"))).cast("bigint")).alias("n"))
     return df.join(F.broadcast(checked), F.col("n") >= 0).drop("n")  # one row
 
 
-def demo_page(slice_name: str, offset: int, length: int) -> list[dict]:
-    """Records of a made-up collection, for tests and queries: id, slice and a JSON text."""
-    return [{"id": k, "slice": slice_name, "record": json.dumps({"sku": f"S{k % 7}-RED-{k % 5}", "qty": k % 11})} for k in range(offset, offset + length)]
-
-
 def demo_details(keys: list) -> dict[str, list]:
     """Details of a made-up catalogue: a weight for each key."""
     return {"part_id": list(keys), "weight": [k * 3 % 101 for k in keys]}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomwright.sinks.files import fresh_path, replace_folder, written
+from loomwright.sinks.files import fresh_path, written
 from loomwright.sinks.merge import replace_slices, upsert
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -44,12 +44,15 @@ def daily_counts(events: DataFrame) -> DataFrame:
 
 
 def write_daily_counts(events: DataFrame, target: str) -> None:
-    """Counts as they stand after each batch: days of a batch replace the same days in ``target``."""
+    """Counts as they stand after each batch: those of a batch replace the same ones in ``target``, whose other days aren't touched."""
     spark = events.sparkSession
 
     def each(batch: DataFrame, _: int) -> None:
-        merged = replace_slices(spark.read.parquet(target), batch, ["day", "event_type"]) if _exists(spark, target) else batch
-        replace_folder(merged, target)
+        rows = written(batch.select("event_type", "n", "cents", "day"), "counts-batch")
+        if _exists(spark, target):
+            old = spark.read.schema(rows.schema).parquet(target).join(rows.select("day").distinct(), "day", "left_semi").select(rows.columns)
+            rows = written(replace_slices(old, rows, ["day", "event_type"]), "counts-merged")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
 
     _run(daily_counts(events), "update", each)
 

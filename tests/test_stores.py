@@ -28,8 +28,15 @@ def test_busy_pages_are_tried_again():
         paged.with_retries(lambda: (_ for _ in ()).throw(paged.Busy()), tries=2, pause=0)
 
 
+@pytest.mark.parametrize("told", [{}, {"total": 25}, {"total": 20}, {"total": 7}, {"total": 60}])
+def test_pages_are_read_to_a_short_one(spark, told):
+    """Whatever number of rows the remote side tells, all are read once."""
+    rows = paged.read_paged(spark, "id long, slice string", fetch="tests.remote:demo_page", page=10, pages_per_task=1, slices="a,b", **told)
+    assert sorted((r["slice"], r["id"]) for r in rows.collect()) == [(s, k) for s in "ab" for k in range(25)]
+
+
 def test_incomplete_scans_fail(spark):
-    rows = paged.read_paged(spark, "id long", fetch="loomwright.sources.paged:demo_page", total=25, page=10, pages_per_task=1)
+    rows = paged.read_paged(spark, "id long", fetch="tests.remote:demo_page", total=25, page=10, pages_per_task=1)
     assert sorted(r["id"] for r in rows.collect()) == list(range(25))
     assert paged.complete(rows, 25).count() == 25
     with pytest.raises(Exception, match="25 of 26 rows"):
@@ -61,6 +68,9 @@ def test_upsert_keeps_columns(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k long, owner string, q long")
     new = spark.createDataFrame([(2, "z", 9), (3, "y", 8)], "k long, owner string, q long")
     assert {tuple(r) for r in merge.upsert(old, new, ["k"], keep=["owner"]).collect()} == {(1, "a", 1), (2, "b", 9), (3, "y", 8)}
+    twice = new.unionByName(spark.createDataFrame([(3, "y", 5), (2, "a", 10)], "k long, owner string, q long"))
+    assert sorted(map(tuple, merge.upsert(old, twice, ["k"], keep=["owner"]).collect())) == [(1, "a", 1), (2, "b", 9), (3, "y", 8)]
+    assert sorted(map(tuple, merge.upsert(old, twice, ["k"]).collect())) == [(1, "a", 1), (2, "z", 9), (3, "y", 8)]
     assert {tuple(r) for r in merge.last_wins(old.unionByName(new), ["k"], "q").collect()} == {(1, "a", 1), (2, "z", 9), (3, "y", 8)}
 
 
