@@ -11,13 +11,13 @@ from loomwright.plans.procurement import primary_fabric
 
 
 def usage_with_average(pricing: DataFrame) -> DataFrame:
-    """spu, fabric, per_piece (millionths of a metre), missing: usage times loss; missing usage is the fabric's average."""
+    """spu, fabric, per_piece (ten-millionths of a metre), missing: usage times loss; missing usage is the fabric's average."""
     mean = pricing.where("usage > 0").groupBy("fabric").agg(F.sum("usage").alias("all"), F.count(F.lit(1)).alias("n"))
     rows = pricing.join(mean, "fabric", "left")
     missing = F.coalesce(F.col("usage"), F.lit(0).cast("bigint")) == 0
     usage = F.when(missing, F.coalesce(F.expr("(all * 1000) div n"), F.lit(0).cast("bigint"))).otherwise(F.col("usage") * 1000)
     loss = F.when(F.coalesce(F.col("loss"), F.lit(0).cast("bigint")) == 0, 100).otherwise(F.col("loss"))
-    return rows.select("spu", "fabric", (usage * loss / 10).cast("bigint").alias("per_piece"), missing.alias("missing"))
+    return rows.select("spu", "fabric", (usage * loss).alias("per_piece"), missing.alias("missing"))
 
 
 def pieces(planned: DataFrame, forecasts: DataFrame) -> DataFrame:
@@ -40,8 +40,8 @@ def fabric_demand(planned: DataFrame, forecasts: DataFrame, pricing: DataFrame,
     measures = [
         F.sum("planned_qty").alias("planned_qty"),
         F.sum("system_qty").alias("system_qty"),
-        F.sum(F.col("planned_qty") * F.col("per_piece")).alias("planned_micro"),
-        F.sum(F.col("system_qty") * F.col("per_piece")).alias("system_micro"),
+        F.sum(F.col("planned_qty") * F.col("per_piece")).alias("planned_usage"),
+        F.sum(F.col("system_qty") * F.col("per_piece")).alias("system_usage"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("missing"), F.col("spu")))), ",").alias("missing"),
     ]
     total = used.groupBy("fabric", "month").agg(*measures).select(F.lit("total").alias("kind"), "*", F.lit("").alias("colour"))
@@ -53,8 +53,8 @@ def fabric_demand(planned: DataFrame, forecasts: DataFrame, pricing: DataFrame,
     by_code = stock.groupBy(F.upper(F.split_part("sku", F.lit("-"), F.lit(1))).alias("code"), F.lit("").alias("colour")).agg(F.sum("available").alias("stock"))
     by_colour = stock.where(F.size(F.split("sku", "-")) == 2).groupBy(F.split_part("sku", F.lit("-"), F.lit(1)).alias("code"), F.split_part("sku", F.lit("-"), F.lit(2)).alias("colour")).agg(F.sum("available").alias("stock"))
     rows = rows.withColumn("key", F.upper("code")).join(by_code.unionByName(by_colour.where("colour <> ''")).withColumnRenamed("code", "key"), ["key", "colour"], "left")
-    metres = lambda c: F.floor(F.col(c) / 10_000 + 0.5).cast("bigint")  # noqa: E731  hundredths
-    rows = rows.withColumn("planned_cm", metres("planned_micro")).withColumn("system_cm", metres("system_micro"))
+    metres = lambda c: F.floor(F.col(c) / 100_000 + 0.5).cast("bigint")  # noqa: E731  hundredths
+    rows = rows.withColumn("planned_cm", metres("planned_usage")).withColumn("system_cm", metres("system_usage"))
     rolls = lambda c: F.when(F.col("roll") > 0, F.floor(F.col(c).cast("double") / F.col("roll") + 0.5) / 100).otherwise(0.0)
     stock_rolls = F.coalesce("stock", F.lit(0).cast("bigint"))
     return rows.select(
@@ -70,7 +70,7 @@ def product_demand(planned: DataFrame, pricing: DataFrame, custom: DataFrame) ->
     made = planned.groupBy("sku", "month").agg(F.sum("qty").alias("planned_qty")).where("planned_qty <> 0")
     made = made.withColumn("spu", spu_of(F.col("sku"))).withColumn("colour", F.upper(colour_of(F.col("sku"), 3))).where("colour <> ''")
     used = made.join(usage_with_average(pricing), "spu").join(custom.where("code <> ''").select("fabric", "code"), "fabric")
-    metres = F.floor(F.col("planned_qty") * F.col("per_piece") / 10_000 + 0.5) / 100
+    metres = F.floor(F.col("planned_qty") * F.col("per_piece") / 100_000 + 0.5) / 100
     return used.select("sku", "fabric", "month", F.concat_ws("-", "code", "colour").alias("fabric_colour"), "planned_qty", metres.alias("metres"))
 
 

@@ -14,7 +14,9 @@ from loomwright.functions.numbers import clamp, ratio
 
 @dataclass(frozen=True)
 class Forecast:
-    """``history="short"`` knows last year only from the month before the run on, as the comparison report does."""
+    """``history`` is what a report has read: ``full`` all months that the methods name; ``short`` (the comparison of
+    forecasts and plans, and what is built on it) last year only from the month before the run on; ``sheet`` (the sales
+    sheet) of the months just past only the last one, too.  Months that aren't read count as 0."""
 
     weights: tuple[float, ...] = (0.6, 0.3, 0.1)
     low: float = 0.3
@@ -29,6 +31,10 @@ class Forecast:
     history: str = "full"
 
 
+#: By history, the months (before the run's) that aren't read.
+UNREAD = {"full": (), "short": (14, 15), "sheet": (2, 3, 14, 15)}
+
+
 def shifted(day: dt.date, months: int) -> dt.date:
     """The first day of the month that many months later."""
     n = day.year * 12 + day.month - 1 + months
@@ -46,11 +52,10 @@ def series(sales: DataFrame, as_of: dt.date, p: Forecast) -> DataFrame:
     One pass of conditional sums; only the months named are read.
     """
     lags = sorted({k for i in range(1, 4) for k in (i, i + 12)} | {12 - step for step in range(p.months)})
-    if p.history == "short":
-        lags = [k for k in lags if k <= 13]
+    lags = [k for k in lags if k not in UNREAD[p.history]]
     sums = [F.coalesce(F.sum(F.when(F.col("month") == F.lit(shifted(as_of, -k)), F.col("qty"))), F.lit(0).cast("bigint")).alias(f"s_{k}") for k in lags]
     wide = sales.where(F.col("month").isin([shifted(as_of, -k) for k in lags])).groupBy("shop", "sku", "spu").agg(*sums)
-    missing = {f"s_{k}": F.lit(0).cast("bigint") for k in (14, 15) if k not in lags}
+    missing = {f"s_{k}": F.lit(0).cast("bigint") for k in UNREAD[p.history]}
     return wide.withColumns(missing) if missing else wide
 
 
@@ -107,6 +112,11 @@ def by_style(forecasts: DataFrame) -> DataFrame:
     return forecasts.groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
 
 
+def by_product(forecasts: DataFrame) -> DataFrame:
+    """sku, spu, shop, month, qty: products with a forecast above 0."""
+    return forecasts.where("qty > 0").groupBy("sku", "spu", "shop", "month").agg(F.sum("qty").alias("qty"))
+
+
 def comparison(forecasts: DataFrame, planned: DataFrame) -> DataFrame:
     """spu, shop, month, system_qty, planned_qty, difference, difference_ratio; rows without either go."""
     system = by_style(forecasts).withColumnRenamed("qty", "system_qty")

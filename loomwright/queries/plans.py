@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from loomwright.functions import codes, dates
 from loomwright.functions.nulls import NONE
-from loomwright.operators import ranking, reshape
+from loomwright.operators import lookup, ranking, reshape
 from loomwright.plans import fabric, fees, forecast, inventory, orders, procurement, profit
 from loomwright.queries.base import colour, query, ratio, spu
 from loomwright.sources import business as b
 from loomwright.sources.business import AS_OF, table
 
 P = forecast.Forecast()
+#: The comparison report and the plans built on it, and the sales sheet, read fewer months.
+REPORT, SHEET = forecast.Forecast(history="short"), forecast.Forecast(history="sheet")
 FIRST = forecast.shifted(AS_OF, 0)
 _LAGS = sorted({1, 2, 3, 13, 14, 15, 12, 11, 10, 9})
 _DAY = lambda k: f"DATE '{forecast.shifted(AS_OF, -k)}'"
-_W = ", ".join(f"coalesce(sum(qty) FILTER (month = {_DAY(k)}), 0)::BIGINT AS s_{k}" for k in _LAGS)
 _NUM = " + ".join(["0.0::DOUBLE"] + [f"(CASE WHEN s_{i + 12} > 0 THEN {w}::DOUBLE * (s_{i}::DOUBLE / s_{i + 12}::DOUBLE) ELSE 0.0::DOUBLE END)" for i, w in enumerate(P.weights, 1)])
 _DEN = " + ".join(["0.0::DOUBLE"] + [f"(CASE WHEN s_{i + 12} > 0 THEN {w}::DOUBLE ELSE 0.0::DOUBLE END)" for i, w in enumerate(P.weights, 1)])
 _OLD = "(CASE WHEN s_3 > 0 THEN (s_2::DOUBLE - s_3::DOUBLE) / s_3::DOUBLE ELSE 0.0::DOUBLE END)"
@@ -43,15 +44,23 @@ def _step(step: int) -> str:
         CASE WHEN {ago} > 0 AND trend > 0 THEN 'L1_trend' WHEN {recent} > 0 THEN {how} WHEN {ago} > 0 AND style_trend > 0 THEN 'L4_style' ELSE 'L5_none' END AS method FROM f_known"""
 
 
-#: Common tables of the forecast.
-FORECAST = f"""f_series AS (SELECT shop, sku, spu, {_W} FROM b_sales WHERE month IN ({", ".join(map(_DAY, _LAGS))}) GROUP BY ALL),
+def _forecast_sql(unread: tuple[int, ...] = ()) -> str:
+    """Common tables of the forecast, without the months (before the run's) that a report doesn't read."""
+    read = [k for k in _LAGS if k not in unread]
+    sums = ", ".join(f"coalesce(sum(qty) FILTER (month = {_DAY(k)}), 0)::BIGINT AS s_{k}" for k in read) + "".join(f", 0::BIGINT AS s_{k}" for k in unread)
+    return f"""f_series AS (SELECT shop, sku, spu, {sums} FROM b_sales WHERE month IN ({", ".join(map(_DAY, read))}) GROUP BY ALL),
 f_trend AS (SELECT *, CASE WHEN {_DEN} > 0 THEN floor(greatest(0.3::DOUBLE, least(3.0::DOUBLE, ({_NUM}) / ({_DEN}))) * 100 + 0.5)::BIGINT END AS trend, {_GROWTH} AS growth FROM f_series),
 f_known AS (SELECT t.*, floor(m + 0.5)::BIGINT AS style_trend FROM f_trend t JOIN (SELECT shop, spu, sum(trend)::DOUBLE / count(trend) AS m FROM f_trend GROUP BY ALL) USING (shop, spu)),
 f_rows AS ({" UNION ALL ".join(_step(s) for s in range(P.months))})"""
 
 
-def _forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return forecast.forecast(b.monthly_sales(spark, folder, *forecast.span(AS_OF)), AS_OF)
+FORECAST = _forecast_sql()
+FORECAST_REPORT = _forecast_sql((14, 15))
+FORECAST_SHEET = _forecast_sql((2, 3, 14, 15))
+
+
+def _forecast(spark: SparkSession, folder: str, p: forecast.Forecast = REPORT) -> DataFrame:
+    return forecast.forecast(b.monthly_sales(spark, folder, *forecast.span(AS_OF)), AS_OF, p)
 
 
 @query(f"WITH {FORECAST} SELECT shop, sku, trend FROM f_trend")
@@ -66,23 +75,34 @@ def cmp_03_recent_growth(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {FORECAST} SELECT shop, sku, spu, month, qty, method, trend FROM f_rows")
 def cmp_04_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return _forecast(spark, folder)
+    return _forecast(spark, folder, P)
 
 
-_COMPARED = f"""WITH {FORECAST}, c AS (SELECT spu, shop, month, coalesce(s.qty, 0)::BIGINT AS system_qty, coalesce(p.qty, 0)::BIGINT AS planned_qty
+_COMPARED = """WITH {f}, c AS (SELECT spu, shop, month, coalesce(s.qty, 0)::BIGINT AS system_qty, coalesce(p.qty, 0)::BIGINT AS planned_qty
     FROM (SELECT spu, shop, month, sum(qty) AS qty FROM f_rows GROUP BY ALL) s FULL JOIN (SELECT spu, shop, month, sum(qty) AS qty FROM b_planned WHERE month BETWEEN DATE '2000-06-01' AND DATE '2000-09-01' GROUP BY ALL) p USING (spu, shop, month))
-SELECT *, planned_qty - system_qty AS difference, {ratio("(planned_qty - system_qty)", "system_qty")} AS difference_ratio FROM c WHERE system_qty <> 0 OR planned_qty <> 0"""
+SELECT *, planned_qty - system_qty AS difference, {r} AS difference_ratio FROM c WHERE system_qty <> 0 OR planned_qty <> 0"""
+_RATIO = ratio("(planned_qty - system_qty)", "system_qty")
 
 
 def _ahead(spark: SparkSession, folder: str) -> DataFrame:
     return b.planned_orders(spark, folder).where(F.col("month").between(F.lit(dt.date(2000, 6, 1)), F.lit(dt.date(2000, 9, 1))))
 
 
-@query(_COMPARED)
+@query(_COMPARED.format(f=FORECAST_REPORT, r=_RATIO))
 def cmp_05_forecast_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return forecast.comparison(_forecast(spark, folder), _ahead(spark, folder))
 
 
+@query(_COMPARED.format(f=FORECAST, r=_RATIO))
+def cmp_05_full_history(spark: SparkSession, folder: str) -> DataFrame:
+    return forecast.comparison(_forecast(spark, folder, P), _ahead(spark, folder))
+
+
+@query(f"WITH {FORECAST_REPORT} SELECT sku, spu, shop, month, sum(qty)::BIGINT AS qty FROM f_rows WHERE qty > 0 GROUP BY ALL")
+def cmp_05_product_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    return forecast.by_product(_forecast(spark, folder))
+
+
 _CELLS = """WITH c AS (SELECT sku, shop, f.sellable, f.in_transit, l.available, l.pending FROM b_fba f FULL JOIN b_local l USING (sku, shop)),
 fs AS (SELECT sku, arg_min(shop, (NOT shop LIKE '%US', shop)) AS t FROM b_fba WHERE shop <> '无' GROUP BY sku), ls AS (SELECT sku, arg_min(shop, (NOT shop LIKE '%US', shop)) AS t FROM b_local WHERE shop <> '无' GROUP BY sku),
 wf AS (SELECT * FROM b_fba WHERE shop = '无'), wl AS (SELECT * FROM b_local WHERE shop = '无'),
@@ -140,7 +160,7 @@ def _suggestions(spark: SparkSession, folder: str) -> DataFrame:
     return procurement.suggestions(_forecast(spark, folder), _style_stock(spark, folder), b.fabric_pricing(spark, folder), b.custom_fabrics(spark, folder), factory, _ahead(spark, folder), FIRST)
 
 
-SUGGESTED = f"""{FORECAST},
+SUGGESTED = f"""{FORECAST_REPORT},
 g_total AS (SELECT spu, shop, sum(qty)::BIGINT AS total FROM f_rows GROUP BY ALL),
 g_main AS (SELECT spu, arg_min(fabric, (-coalesce(usage, 0), fabric)) AS fabric FROM b_pricing GROUP BY spu),
 g_kind AS (SELECT spu, fabric IN (SELECT fabric FROM b_custom) AS custom FROM g_main),
@@ -171,15 +191,15 @@ def cmp_07_fabric_need(spark: SparkSession, folder: str) -> DataFrame:
     return procurement.fabric_need(_suggestions(spark, folder), b.fabric_pricing(spark, folder))
 
 
-_FABRIC_SQL = f"""WITH {FORECAST}, k AS (SELECT sku, month, coalesce(p.q, 0)::BIGINT AS planned_qty, coalesce(s.q, 0)::BIGINT AS system_qty
+_FABRIC_SQL = f"""WITH {FORECAST_REPORT}, k AS (SELECT sku, month, coalesce(p.q, 0)::BIGINT AS planned_qty, coalesce(s.q, 0)::BIGINT AS system_qty
     FROM (SELECT sku, month, sum(qty) AS q FROM b_planned WHERE month BETWEEN DATE '2000-06-01' AND DATE '2000-09-01' GROUP BY ALL) p FULL JOIN (SELECT sku, month, sum(qty) AS q FROM f_rows GROUP BY ALL) s USING (sku, month)),
 mn AS (SELECT fabric, (sum(usage)::BIGINT * 1000) // count(*) AS m FROM b_pricing WHERE usage > 0 GROUP BY fabric),
-u AS (SELECT p.spu, p.fabric, ((CASE WHEN coalesce(usage, 0) = 0 THEN coalesce(m, 0) ELSE usage * 1000 END) * (CASE WHEN coalesce(loss, 0) = 0 THEN 100 ELSE loss END) / 10)::BIGINT AS per_piece, coalesce(usage, 0) = 0 AS missing FROM b_pricing p LEFT JOIN mn USING (fabric)),
+u AS (SELECT p.spu, p.fabric, ((CASE WHEN coalesce(usage, 0) = 0 THEN coalesce(m, 0) ELSE usage * 1000 END) * (CASE WHEN coalesce(loss, 0) = 0 THEN 100 ELSE loss END))::BIGINT AS per_piece, coalesce(usage, 0) = 0 AS missing FROM b_pricing p LEFT JOIN mn USING (fabric)),
 j AS (SELECT k.*, {spu("sku")} AS spu, upper({colour("sku", 3)}) AS colour FROM k WHERE planned_qty > 0 OR system_qty > 0), x AS (SELECT * FROM j JOIN u USING (spu)),
 pf AS (SELECT spu, arg_min(fabric, (-coalesce(usage, 0), fabric)) AS fabric FROM b_pricing GROUP BY spu),
 a AS (SELECT 'total' AS kind, fabric, '' AS colour, month, planned_qty, system_qty, per_piece, missing, spu FROM x
     UNION ALL SELECT 'colour', fabric, CASE WHEN colour = 'RED' THEN 'WARM' ELSE colour END, month, planned_qty, system_qty, per_piece, missing, spu FROM x WHERE (spu, fabric) IN (SELECT spu, fabric FROM pf) AND fabric IN (SELECT fabric FROM b_custom) AND colour <> ''),
-g AS (SELECT kind, fabric, colour, month, sum(planned_qty)::BIGINT AS planned_qty, sum(system_qty)::BIGINT AS system_qty, floor(sum(planned_qty * per_piece) / 10000.0::DOUBLE + 0.5)::BIGINT AS pc, floor(sum(system_qty * per_piece) / 10000.0::DOUBLE + 0.5)::BIGINT AS sc,
+g AS (SELECT kind, fabric, colour, month, sum(planned_qty)::BIGINT AS planned_qty, sum(system_qty)::BIGINT AS system_qty, floor(sum(planned_qty * per_piece) / 100000.0::DOUBLE + 0.5)::BIGINT AS pc, floor(sum(system_qty * per_piece) / 100000.0::DOUBLE + 0.5)::BIGINT AS sc,
     coalesce(string_agg(DISTINCT spu, ',' ORDER BY spu) FILTER (missing), '') AS missing FROM a GROUP BY ALL),
 st AS (SELECT upper(split_part(sku, '-', 1)) AS key, '' AS colour, sum(available)::BIGINT AS stock FROM stock GROUP BY ALL UNION ALL SELECT split_part(sku, '-', 1), split_part(sku, '-', 2), sum(available)::BIGINT FROM stock WHERE len(string_split(sku, '-')) = 2 GROUP BY ALL)
 SELECT kind, fabric, coalesce(code, '') AS code, g.colour, month, planned_qty, system_qty, pc / 100.0::DOUBLE AS planned_metres, sc / 100.0::DOUBLE AS system_metres,
@@ -277,17 +297,23 @@ def jn_27_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return now.join(before, ["sku", "shop", "month"], "left").na.fill(0, ["before"])
 
 
-@query(f"""WITH {FORECAST}, q AS (SELECT shop, sku, spu, sum(qty) FILTER (month = DATE '2000-06-01')::BIGINT AS f0, sum(qty) FILTER (month = DATE '2000-07-01')::BIGINT AS f1 FROM f_rows GROUP BY ALL), sells AS (SELECT shop, spu FROM f_series GROUP BY ALL HAVING sum(s_1 + s_2 + s_3) > 0)
-SELECT q.shop, q.sku, f0, f1, coalesce(e.available, 0) + coalesce(w.available, 0) AS available FROM q SEMI JOIN sells USING (shop, spu) LEFT JOIN b_local e ON e.sku = q.sku AND e.shop = q.shop LEFT JOIN b_local w ON w.sku = q.sku AND w.shop = '无'""")
+@query(f"""WITH {FORECAST_SHEET}, q AS (SELECT shop, sku, spu, sum(qty) FILTER (month = DATE '2000-06-01')::BIGINT AS f0, sum(qty) FILTER (month = DATE '2000-07-01')::BIGINT AS f1 FROM f_rows GROUP BY ALL), sells AS (SELECT shop, sku FROM f_series WHERE s_1 > 0),
+lo AS (SELECT sku, shop, arg_min(owner, (ordinal, owner)) AS o FROM b_owners WHERE owner <> '' GROUP BY ALL), pf AS (SELECT spu, arg_min(fabric, (-coalesce(usage, 0), fabric)) AS fabric FROM b_pricing GROUP BY spu)
+SELECT q.shop, q.sku, f0, f1, coalesce(e.available, 0) + coalesce(w.available, 0) AS available, coalesce(o, 'style ' || q.spu) AS owner, b_custom.fabric IS NOT NULL AS is_custom
+FROM q SEMI JOIN sells USING (shop, sku) LEFT JOIN b_local e ON e.sku = q.sku AND e.shop = q.shop LEFT JOIN b_local w ON w.sku = q.sku AND w.shop = '无'
+LEFT JOIN lo ON lo.sku = q.sku AND lo.shop = q.shop LEFT JOIN pf ON pf.spu = q.spu LEFT JOIN b_custom ON b_custom.fabric = pf.fabric""")
 def cmp_14_sales_sheet(spark: SparkSession, folder: str) -> DataFrame:
-    from loomwright.operators.lookup import wildcard_additive
-
+    """Products that sold last month (the sheet reads no other month of this year), with owner and whether the style's fabric is a custom one."""
     sales = b.monthly_sales(spark, folder, *forecast.span(AS_OF))
-    wide = forecast.forecast(sales, AS_OF).withColumn("label", F.when(F.col("month") == F.lit(dt.date(2000, 6, 1)), "f0").when(F.col("month") == F.lit(dt.date(2000, 7, 1)), "f1"))
+    wide = forecast.forecast(sales, AS_OF, SHEET).withColumn("label", F.when(F.col("month") == F.lit(dt.date(2000, 6, 1)), "f0").when(F.col("month") == F.lit(dt.date(2000, 7, 1)), "f1"))
     wide = reshape.pivot_months(wide, ["shop", "sku", "spu"], "label", ["f0", "f1"], "qty")
-    sells = forecast.series(sales, AS_OF, P).groupBy("shop", "spu").agg(F.sum(F.col("s_1") + F.col("s_2") + F.col("s_3")).alias("recent")).where("recent > 0")
-    rows = wide.join(sells, ["shop", "spu"], "left_semi").drop("spu")
-    return wildcard_additive(rows, b.local_stock(spark, folder), "sku", "shop", ["available"])
+    sells = forecast.series(sales, AS_OF, SHEET).where("s_1 + s_2 + s_3 > 0").select("shop", "sku")
+    rows = lookup.wildcard_additive(wide.join(sells, ["shop", "sku"], "left_semi"), b.local_stock(spark, folder), "sku", "shop", ["available"])
+    listed = ranking.first_wins(b.owners(spark, folder).where("owner <> ''"), ["sku", "shop"], ["ordinal", "owner"], ["owner"])
+    rows = lookup.with_default(rows, listed, ["sku", "shop"], "owner", F.concat(F.lit("style "), F.col("spu")))
+    rows = rows.join(procurement.primary_fabric(b.fabric_pricing(spark, folder)).select("spu", "fabric"), "spu", "left")
+    custom = b.custom_fabrics(spark, folder).select("fabric", F.lit(True).alias("is_custom"))
+    return lookup.with_default(rows, custom, ["fabric"], "is_custom", F.lit(False)).select("shop", "sku", "f0", "f1", "available", "owner", "is_custom")
 
 
 @query("""SELECT strftime(ordered, '%Y-%m') AS month, count(DISTINCT spu) AS styles, sum(qty)::BIGINT AS qty, arg_min(spu, (-q, spu)) AS top_style FROM (SELECT *, sum(qty) OVER (PARTITION BY date_trunc('month', ordered), spu) AS q FROM b_purchases WHERE status <> 'F') GROUP BY 1""")
@@ -318,8 +344,8 @@ def cmp_18_fabric_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""WITH k AS (SELECT sku, month, sum(qty)::BIGINT AS planned_qty FROM b_planned WHERE month BETWEEN DATE '2000-06-01' AND DATE '2000-09-01' GROUP BY ALL HAVING sum(qty) <> 0), mn AS (SELECT fabric, (sum(usage)::BIGINT * 1000) // count(*) AS m FROM b_pricing WHERE usage > 0 GROUP BY fabric),
-u AS (SELECT p.spu, p.fabric, ((CASE WHEN coalesce(usage, 0) = 0 THEN coalesce(m, 0) ELSE usage * 1000 END) * (CASE WHEN coalesce(loss, 0) = 0 THEN 100 ELSE loss END) / 10)::BIGINT AS per_piece FROM b_pricing p LEFT JOIN mn USING (fabric))
-SELECT sku, fabric, month, code || '-' || c AS fabric_colour, planned_qty, floor(planned_qty * per_piece / 10000.0::DOUBLE + 0.5) / 100.0::DOUBLE AS metres FROM (SELECT *, {spu("sku")} AS spu, upper({colour("sku", 3)}) AS c FROM k) JOIN u USING (spu) JOIN b_custom USING (fabric) WHERE c <> ''""")
+u AS (SELECT p.spu, p.fabric, ((CASE WHEN coalesce(usage, 0) = 0 THEN coalesce(m, 0) ELSE usage * 1000 END) * (CASE WHEN coalesce(loss, 0) = 0 THEN 100 ELSE loss END))::BIGINT AS per_piece FROM b_pricing p LEFT JOIN mn USING (fabric))
+SELECT sku, fabric, month, code || '-' || c AS fabric_colour, planned_qty, floor(planned_qty * per_piece / 100000.0::DOUBLE + 0.5) / 100.0::DOUBLE AS metres FROM (SELECT *, {spu("sku")} AS spu, upper({colour("sku", 3)}) AS c FROM k) JOIN u USING (spu) JOIN b_custom USING (fabric) WHERE c <> ''""")
 def cmp_19_product_demand(spark: SparkSession, folder: str) -> DataFrame:
     return fabric.product_demand(_ahead(spark, folder), b.fabric_pricing(spark, folder), b.custom_fabrics(spark, folder))
 
