@@ -25,14 +25,16 @@ def text_of(name: str = "text") -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as the session names it.
 
-    A folder of our own is made only where ``spark.checkpoint.dir`` is unset,
-    as in local tests.
+    A folder of our own is made only in a local session where
+    ``spark.checkpoint.dir`` is unset, as in tests.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(folder)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():

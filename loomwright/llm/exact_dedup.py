@@ -53,10 +53,12 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Of each group of equal texts one row, with all its columns: that with the smallest id.
 
     One aggregation by (128-bit hash, bytes) without a join.  Null text counts
-    as empty; null ids come after all others; among rows that share the
-    smallest id any one stays.
+    as empty; null ids come after all others; rows that share the smallest id
+    go by a hash of their text and then by their other columns as JSON.
     """
     norm = F.regexp_replace(text_of(text_col), WHITE, " ")
     rows = docs.select(F.struct(*docs.columns).alias("row"), norm.alias("norm"))
-    first = F.min_by("row", F.struct(F.col(f"row.{id_col}").isNull().alias("no_id"), F.col(f"row.{id_col}").alias("id")))
+    of_row = lambda c: F.col("row")[c]
+    rest = F.to_json(F.struct(*(of_row(c).alias(c) for c in docs.columns if c != text_col)))
+    first = F.min_by("row", F.struct(of_row(id_col).isNull().alias("no_id"), of_row(id_col).alias("id"), F.xxhash64(of_row(text_col)).alias("text"), rest.alias("rest")))
     return rows.groupBy(F.unhex(F.md5("norm")).alias("h128"), "norm").agg(first.alias("row")).select("row.*")

@@ -14,7 +14,7 @@ of a leaf, then rows of a bucket), so no leaf is ever in one task.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +43,7 @@ class Mix:
         }
     )
     other: int = 1
-    share: tuple[int, int] = (3, 4)
+    share: tuple[int, int] = (1, 1)
     max_epochs: int = 3
     seed: int = 17
 
@@ -106,10 +106,11 @@ def leaf_budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return budget
 
 
-def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", domain: Callable[[Column], Column] = domain_of) -> DataFrame:
     """One row for each row of ``docs``: id, domain, lang, source, n_tokens, copies.
 
-    ``copies`` is how often the mixture uses the document (0: not at all).
+    ``copies`` is how often the mixture uses the document (0: not at all);
+    ``domain`` gives a source's domain.
     Tokens are runs of characters that aren't white space.  Null text counts as
     empty, null language or source as the label ``none``.  Documents without
     tokens are used once for every epoch or prefix that reaches them.  Repeated
@@ -119,7 +120,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_
     label = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
     rows = docs.select(
         F.col(id_col).alias("id"), label("lang").alias("lang"), label("source").alias("source"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("n_tokens")
-    ).withColumn("domain", domain_of(F.col("source")))
+    ).withColumn("domain", domain(F.col("source")))
     rows = written(rows, "mixing-rows")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     plan = leaf_budgets(leaves, mix).select(

@@ -227,7 +227,7 @@ WITH rows_ AS (
 ), leaves AS (
     SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, 3 * sum(n_tokens)::HUGEINT AS supply FROM docs GROUP BY ALL
 ), total AS (
-    SELECT least((sum(tokens) * 3) // 4, sum(supply)) AS budget FROM leaves
+    SELECT least(sum(tokens), sum(supply)) AS budget FROM leaves
 ), d0 AS (
     SELECT domain, sum(supply)::HUGEINT AS supply, any_value(budget)::HUGEINT AS budget,
         CASE domain WHEN 'books' THEN 4 WHEN 'web' THEN 3 WHEN 'code' THEN 2 ELSE 1 END::HUGEINT AS weight
