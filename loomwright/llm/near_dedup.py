@@ -47,6 +47,8 @@ class NearDedup:
     band_rows: int = 8
     block_sets: int = 1024
     block_shingles: int = 1 << 19
+    #: About how many classes of a key a copy of its hub is compared with.
+    star_sets: int = 128
     #: Standard deviations below the threshold at which an estimate settles a pair.
     sure: float = 6.0
 
@@ -249,7 +251,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     weights = shared.groupBy("node").agg(F.sum("members").alias("weight"))
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
     pairs = shared.join(hubs, "key").where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("members").alias("members"))
-    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / p.block_sets)).alias("salt"))
+    pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / p.star_sets)).alias("salt"))
     sets = written(_sets(docs, shared.select("id", "node").distinct(), id_col, text_col, p), "sets")
     stars = written(_star_links(written(pairs, "stars"), sets, p), "star-links")
     connected = connected_components(stars)
