@@ -42,8 +42,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` once to the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def written(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Cut lineage: write ``df`` once to the shared folder (or one in it) and read it back."""
+    path = f"{folder or shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """A folder of intermediate tables in the shared folder, deleted once no table that is still to be read needs them."""
+
+    def __init__(self, spark: SparkSession, within: Scratch | None = None):
+        self.spark = spark
+        self.folder = f"{within.folder if within else shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, name, self.folder)
+
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

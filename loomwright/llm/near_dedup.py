@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.llm.arrow import as_text, slices
-from loomwright.llm.common import written
+from loomwright.llm.common import Scratch, written
 from loomwright.llm.components import connected_components
 from loomwright.llm.hyperminhash import PLACES, REGISTERS, ShingleSets, band_keys, estimated_jaccard, mix, shingle_sets, sketches
 
@@ -242,29 +242,31 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     result.
     """
     told = written(_described(docs, id_col, text_col, p), "shingles")
-    classes = written(told.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
+    job = Scratch(docs.sparkSession)
+    classes = job.written(told.where("n > 0").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
     keyed = classes.where(F.col("id").isNotNull()).select(F.explode("keys").alias("key"), "node", "id", "n")
     common = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     # Read back, the classes of a very common key can be split in the joins that follow.
-    shared = written(keyed.join(common, "key"), "shared-keys")
+    shared = job.written(keyed.join(common, "key"), "shared-keys")
     # A text that others were copied from shares more keys than the copies share: it is the hub.
     weights = shared.groupBy("node").agg(F.sum("members").alias("weight"))
     hubs = shared.join(weights, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
     pairs = shared.join(hubs, "key").where("node <> hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("members").alias("members"))
     pairs = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / p.star_sets)).alias("salt"))
-    sets = written(_sets(docs, shared.select("id", "node").distinct(), id_col, text_col, p), "sets")
-    stars = written(_star_links(written(pairs, "stars"), sets, p), "star-links")
-    connected = connected_components(stars)
+    sets = job.written(_sets(docs, shared.select("id", "node").distinct(), id_col, text_col, p), "sets")
+    stars = job.written(_star_links(job.written(pairs, "stars"), sets, p), "star-links")
+    connected = connected_components(stars, job)
     members = shared.where("members > 2").join(connected, F.col("node") == connected["id"], "left").select("key", "node", "n", F.coalesce("component", "node").alias("root"))
-    members = written(members, "members")
+    members = job.written(members, "members")
     parted = members.groupBy("key").agg((F.min("root") != F.max("root")).alias("parted")).where("parted")
-    rest = written(members.join(parted, "key").select("key", "node", "n", "root"), "parted")
-    links = connected_components(stars.unionByName(_block_links(_groups(rest, p), sets, p)))
+    rest = job.written(members.join(parted, "key").select("key", "node", "n", "root"), "parted")
+    links = connected_components(stars.unionByName(_block_links(_groups(rest, p), sets, p)), job)
     ids = classes.select("node", "id")
     linked = ids.join(links.select(F.col("id").alias("node"), "component"), "node")
     least = linked.join(linked.groupBy("component").agg(F.min("id").alias("least")), "component").select("node", "least")
     # Read back, the classes share no stage with their aggregation: a large class can be split in the join.
     named = written(ids.join(least, "node", "left").select("node", F.coalesce("least", "id").alias("of_node")), "named")
+    job.clear()  # the result reads the two tables that are left
     component = F.when(F.col("n") > 0, F.col("of_node")).otherwise(F.col("id"))
     return told.join(named, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.llm.arrow import as_text, slices
-from loomwright.llm.common import written
+from loomwright.llm.common import Scratch
 from loomwright.llm.hyperminhash import mix, shingle_sets, sketches
 
 WORD = re.compile(r"[^\W\d_]+(?:[0-9@$]+[^\W\d_]+)*")
@@ -296,7 +296,7 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit: Fit) -> DataFrame:
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit: Fit, job: Scratch) -> DataFrame:
     """id, text, toxic of labelled rows outside the held-out part, by hash of the id."""
     known = labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("id").isNotNull() & F.col("toxic").isNotNull())
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -304,10 +304,10 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit:
     if rate < 1:
         known = known.where(F.pmod(F.xxhash64("id", F.lit(fit.seed)), F.lit(1_000_000)) < int(rate * 1_000_000))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return written(rows.join(F.broadcast(known), "id"), "labelled")  # sample_rows ids and labels
+    return job.written(rows.join(F.broadcast(known), "id"), "labelled")  # sample_rows ids and labels
 
 
-def _once(sample: DataFrame, alike: float = 0.4) -> DataFrame:
+def _once(sample: DataFrame, alike: float = 0.4, job: Scratch | None = None) -> DataFrame:
     """text, toxic of the sample; near copies with the same label count once.
 
     In two passes, each by another hash of 3-word shingles, rows whose smallest
@@ -316,6 +316,7 @@ def _once(sample: DataFrame, alike: float = 0.4) -> DataFrame:
     for its copy.
     """
     kind = sample.schema["id"].dataType.simpleString()
+    job = job or Scratch(sample.sparkSession)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,12 +332,12 @@ def _once(sample: DataFrame, alike: float = 0.4) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(x.view(np.int64)) for x in signs), told], [*part.schema.names, "sign0", "sign1", "told"])
 
     rows = sample.mapInArrow(signed, f"id {kind}, text string, toxic int, sign0 long, sign1 long, told array<int>")
-    rows = written(rows.withColumn("bad", F.col("toxic") > 0).withColumn("row", F.struct("id", F.xxhash64("text").alias("h"))), "labelled-signs")
+    rows = job.written(rows.withColumn("bad", F.col("toxic") > 0).withColumn("row", F.struct("id", F.xxhash64("text").alias("h"))), "labelled-signs")
     same = F.aggregate(F.zip_with("told", "other", lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x)
     for sign in ("sign0", "sign1"):
         first = rows.groupBy(sign, "bad").agg(F.min("row").alias("one"), F.min_by("told", "row").alias("other"))
         rows = rows.join(first, [sign, "bad"]).where((F.col("row") == F.col("one")) | (same < alike * 64)).drop("one", "other")
-    return written(rows.dropDuplicates(["id", "text"]).select("text", "toxic"), "labelled-once")
+    return job.written(rows.dropDuplicates(["id", "text"]).select("text", "toxic"), "labelled-once")
 
 
 def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
@@ -427,10 +428,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     Null ids and labels are left out; of several labels of an id the largest
     counts.  The learning reads no other column.
     """
-    sample = _sample(docs, labels, id_col, text_col, fit)
+    job = Scratch(docs.sparkSession)
+    sample = _sample(docs, labels, id_col, text_col, fit, job)
     if sample.where("toxic > 0").isEmpty():
+        job.clear()
         return Model()
-    once = _once(sample)
+    once = _once(sample, job=job)
     model = Model(_terms(once, fit))
     model.clean = _clean(once, model.terms, fit)
 
@@ -445,6 +448,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     kind = sample.schema["id"].dataType.simpleString()
     seen = sample.mapInArrow(work, f"id {kind}, toxic int, " + ", ".join(f"x{k} double" for k in range(FEATURES))).orderBy("id", *names[2:]).toPandas()  # sample_rows rows
     model.weights, model.bias = _logistic(seen[names[2:]].to_numpy(), (seen["toxic"] > 0).to_numpy().astype(float))
+    job.clear()
     return model
 
 
