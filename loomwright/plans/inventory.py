@@ -12,8 +12,20 @@ from loomwright.operators.reshape import unpivot_named
 STATES = {"sellable": "fba_sellable", "in_transit": "fba_in_transit", "available": "local_available", "pending": "local_pending"}
 
 
+def stock_cells(fba: DataFrame, local: DataFrame) -> DataFrame:
+    """sku, shop, sellable, in_transit (null without FBA stock), available, pending (null without local stock)."""
+    f = fba.groupBy("sku", "shop").agg(F.sum("sellable").alias("sellable"), F.sum("in_transit").alias("in_transit"))
+    l = local.groupBy("sku", "shop").agg(F.sum("available").alias("available"), F.sum("pending").alias("pending"))  # noqa: E741
+    return f.join(l, ["sku", "shop"], "full_outer")
+
+
 def estimate_cells(fba: DataFrame, local: DataFrame) -> DataFrame:
-    """sku, shop, and the four stocks: what each stock cell contributes, summed.
+    """The stocks that :func:`estimate` sums, from two tables."""
+    return estimate(stock_cells(fba, local))
+
+
+def estimate(cells: DataFrame) -> DataFrame:
+    """sku, shop, and the four stocks: what each cell (see :func:`stock_cells`) contributes, summed.
 
     Stock without a shop (the sentinel) goes to shops.  Local stock goes to one
     shop of the product, preferably a US one: of the FBA's shops, else of the
@@ -22,9 +34,6 @@ def estimate_cells(fba: DataFrame, local: DataFrame) -> DataFrame:
     shop, unless it is the shop that stock goes to.
     """
     zero = F.lit(0).cast("bigint")
-    f = fba.groupBy("sku", "shop").agg(F.sum("sellable").alias("sellable"), F.sum("in_transit").alias("in_transit"))
-    l = local.groupBy("sku", "shop").agg(F.sum("available").alias("available"), F.sum("pending").alias("pending"))  # noqa: E741
-    cells = f.join(l, ["sku", "shop"], "full_outer")
     in_f, in_l, none = F.col("sellable").isNotNull(), F.col("available").isNotNull(), F.col("shop") == NONE
     place = F.struct((~F.endswith("shop", F.lit("US"))).alias("other"), F.col("shop").alias("shop"))
     cells = cells.select("*", in_f.alias("in_f"), in_l.alias("in_l"))
@@ -65,9 +74,9 @@ def estimate_cells(fba: DataFrame, local: DataFrame) -> DataFrame:
     return out.groupBy("sku", "shop").agg(*(F.sum(c).alias(c) for c in STATES))
 
 
-def inventory_estimate(fba: DataFrame, local: DataFrame) -> DataFrame:
+def inventory_estimate(cells: DataFrame) -> DataFrame:
     """sku, spu, spu_colour, shop, state, qty (above 0)."""
-    rows = unpivot_named(estimate_cells(fba, local), ["sku", "shop"], STATES, "state", "qty", "> 0")
+    rows = unpivot_named(estimate(cells), ["sku", "shop"], STATES, "state", "qty", "> 0")
     return rows.select("sku", spu_and_colour(F.col("sku"))["spu"].alias("spu"), spu_and_colour(F.col("sku"))["spu_colour"].alias("spu_colour"), "shop", "state", "qty")
 
 

@@ -12,6 +12,7 @@ from loomwright.functions.nulls import NONE
 from loomwright.operators import lookup, ranking, reshape
 from loomwright.plans import fabric, fees, forecast, inventory, orders, procurement, profit
 from loomwright.queries.base import colour, query, ratio, spu
+from loomwright.sinks.files import written
 from loomwright.sources import business as b
 from loomwright.sources.business import AS_OF, table
 
@@ -121,11 +122,15 @@ p AS (
     SELECT sku, shop, unnest(['fba_sellable', 'fba_in_transit', 'local_available', 'local_pending']) AS state, unnest([sellable, in_transit, available, pending]) AS qty FROM e)
     JOIN (SELECT DISTINCT sku, spu, replace(sku, '4PCS-', '') AS clean FROM b_products) USING (sku) WHERE qty > 0""")
 def cmp_01_inventory_estimate(spark: SparkSession, folder: str) -> DataFrame:
-    return inventory.inventory_estimate(b.fba_stock(spark, folder), b.local_stock(spark, folder))
+    return inventory.inventory_estimate(b.stock_cells(spark, folder))
 
 
 def _order_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    return orders.order_comparison(b.purchases(spark, folder), b.planned_orders(spark, folder), b.owners(spark, folder), b.fabric_pricing(spark, folder), AS_OF)
+    cells = written(b.order_cells(spark, folder), "order-cells")  # once, for the three sides
+    bought = cells.select("sku", "shop", F.col("month").alias("ordered"), F.col("bought").alias("qty"))
+    planned = cells.select("sku", "shop", "month", F.col("planned").alias("qty"), F.col("planner").alias("owner"))
+    listed = cells.where("listed is not null").select("sku", "shop", "listed.owner", "listed.ordinal")
+    return orders.order_comparison(bought, planned, listed, b.fabric_pricing(spark, folder), AS_OF)
 
 
 _ORDER_SQL = f"""WITH o AS (SELECT sku, shop, date_trunc('month', ordered)::DATE AS month, sum(qty)::BIGINT AS ordered_qty FROM b_purchases WHERE shop <> '无' AND ordered >= DATE '2000-06-01' GROUP BY ALL),

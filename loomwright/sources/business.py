@@ -91,11 +91,30 @@ def monthly_sales(spark: SparkSession, folder: str, since: dt.date | None = None
     return sold.groupBy("shop", "sku", "spu", month_of(F.col("shipped")).alias("month")).agg(F.sum("qty").alias("qty"))
 
 
+def _planner() -> Column:
+    return F.when(F.col("customer_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("op"), (F.col("customer_id") % 7).cast("string")))
+
+
+def _person() -> Column:
+    return F.when(F.col("supplier_id") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("own"), (F.col("supplier_id") % 9).cast("string")))
+
+
+def _ordinal() -> Column:
+    return F.col("order_id") * 1000 + F.col("line") * 100 + F.col("supplier_id") % 100
+
+
 def planned_orders(spark: SparkSession, folder: str) -> DataFrame:
     """shop, sku, spu, month, qty, owner: what operators plan, by month of ordering."""
     plan = lines(spark, folder).where(F.col("shop") != NONE)
-    owner = F.when(F.col("customer_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("op"), (F.col("customer_id") % 7).cast("string")))
-    return plan.groupBy("shop", "sku", "spu", month_of(F.col("ordered")).alias("month")).agg(F.sum(F.col("qty") % 17).alias("qty"), F.max(owner).alias("owner"))
+    return plan.groupBy("shop", "sku", "spu", month_of(F.col("ordered")).alias("month")).agg(F.sum(F.col("qty") % 17).alias("qty"), F.max(_planner()).alias("owner"))
+
+
+def order_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """shop, sku, month, bought, planned, planner, listed (ordinal and owner of its first listing with one): one pass over the lines."""
+    owned = F.when(_person() != "", F.struct(_ordinal().alias("ordinal"), _person().alias("owner")))
+    return lines(spark, folder).where(F.col("shop") != NONE).groupBy("shop", "sku", month_of(F.col("ordered")).alias("month")).agg(
+        F.sum("qty").alias("bought"), F.sum(F.col("qty") % 17).alias("planned"), F.max(_planner()).alias("planner"), F.min(owned).alias("listed")
+    )
 
 
 def purchases(spark: SparkSession, folder: str) -> DataFrame:
@@ -115,6 +134,17 @@ def local_stock(spark: SparkSession, folder: str) -> DataFrame:
     return stock.groupBy("sku", "shop").agg(F.sum(F.col("qty") % 5).alias("available"), F.sum(F.col("line") % 2).alias("pending"))
 
 
+def stock_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """sku, shop, and the stocks of both sides, from one pass over the lines; a side without lines is null."""
+    of = lambda flag, value: F.sum(F.when(F.col("flag") == flag, value))
+    return lines(spark, folder).where(F.col("flag").isin("A", "R")).groupBy("sku", "shop").agg(
+        of("A", F.col("qty") % 7).alias("sellable"),
+        of("A", F.col("line") % 3).alias("in_transit"),
+        of("R", F.col("qty") % 5).alias("available"),
+        of("R", F.col("line") % 2).alias("pending"),
+    )
+
+
 def fabric_pricing(spark: SparkSession, folder: str) -> DataFrame:
     """spu, fabric, usage (centimetres for a piece; null where missing), loss (hundredths): one row for each pair."""
     p = products(spark, folder)
@@ -131,8 +161,7 @@ def custom_fabrics(spark: SparkSession, folder: str) -> DataFrame:
 def owners(spark: SparkSession, folder: str) -> DataFrame:
     """sku, shop, owner, deleted, ordinal: listings with a person in charge, some repeated."""
     listed = lines(spark, folder).where(F.col("shop") != NONE)
-    owner = F.when(F.col("supplier_id") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("own"), (F.col("supplier_id") % 9).cast("string")))
-    return listed.select("sku", "spu", "shop", owner.alias("owner"), (F.col("line") % 2).alias("deleted"), (F.col("order_id") * 1000 + F.col("line") * 100 + F.col("supplier_id") % 100).alias("ordinal"))
+    return listed.select("sku", "spu", "shop", _person().alias("owner"), (F.col("line") % 2).alias("deleted"), _ordinal().alias("ordinal"))
 
 
 def freight(spark: SparkSession, folder: str) -> DataFrame:
