@@ -348,7 +348,7 @@ def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
 
         def out() -> pa.RecordBatch:
             terms = list(seen[0].keys() | seen[1].keys())
-            columns = [pa.array([t[0] for t in terms], pa.string()), pa.array([t[1] for t in terms]), *(pa.array([c[t] for t in terms], pa.int64()) for c in seen)]
+            columns = [pa.array([t[0] for t in terms], pa.string()), pa.array([t[1] for t in terms], pa.bool_()), *(pa.array([c[t] for t in terms], pa.int64()) for c in seen)]
             for c in seen:
                 c.clear()
             return pa.RecordBatch.from_arrays(columns, ["term", "stem", "n0", "n1"])

@@ -119,6 +119,15 @@ def test_near_copies_are_told_by_more_than_one_hash(spark):
     assert sum("z" in r["text"].split() for r in kept) == 2 and sum(not r["text"] for r in kept) == 1
 
 
+def test_terms_are_counted_when_the_last_row_fills_the_counters(spark):
+    """A task whose last text empties the counters ends with an empty batch of the same schema."""
+    from loomwright.llm.toxicity import Fit, _terms
+
+    full = " ".join("".join(chr(97 + (i // 26**j) % 26) for j in range(9)) for i in range(17_000))
+    rows = spark.createDataFrame([("a foul word", 1), ("a good one", 0), (f"foul {full}", 1)], "text string, toxic int").coalesce(1)
+    assert ("foul", False) in _terms(rows, Fit(least_docs=2))
+
+
 def plain_score(text, model):
     """The score from edit distances to every term, without trie, automaton, filter or memory."""
     low = text.lower()
