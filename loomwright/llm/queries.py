@@ -5,14 +5,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm.chat import format_segments, read_back
 from loomwright.llm.common import shared_dir, table
+from loomwright.llm.direct_codes import read_codes, write_codes
 from loomwright.llm.exact_dedup import exact_dedup
 from loomwright.llm.html_text import main_text
+from loomwright.llm.importance import importance_resample
 from loomwright.llm.media_jpeg import store_texts
+from loomwright.llm.merkle import merkle_manifest
 from loomwright.llm.mixing import mix_sources
 from loomwright.llm.near_dedup import near_dedup
 from loomwright.llm.piece_bpe import encode_pieces
@@ -265,3 +268,99 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op11_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/codes-{uuid.uuid4().hex}"
+    write_codes(table(spark, sf_dir, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end=2)
+    return read_codes(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def _even_crc(c: str) -> Column:
+    return F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % 2 == 0, F.lit(False))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(_even_crc("doc_id"), F.replace("text", F.lit("\n"))).otherwise(F.col("text"))
+    found = merkle_manifest(table(spark, sf_dir, "documents"), ("doc_id", "source", "lang", "n_chars", "text"), received={"text": tampered})
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _sql_crc(text: str) -> str:
+    """The unsigned crc32 of a string's UTF-8 bytes: each byte, then eight shifts, as one list that is reduced."""
+    h = f"hex(encode({text}))"
+    steps = f"flatten([[('0x' || substr({h}, i::BIGINT, 2))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN range(1, length({h}), 2)])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+
+
+def _sql_field(c: str) -> str:
+    return f"coalesce(strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR, '-')"
+
+
+def _sql_walk(name: str, start: str, runs: str) -> str:
+    """Up a tree: the digest that a leaf as received gives, and its siblings, until the root."""
+    return f"""
+{name} AS (
+    {start}
+    UNION ALL
+    SELECT u.k, u.tree, u.level + 1, u.idx // 3, (u.n + 2) // 3,
+        sha256(array_to_string([CASE WHEN i = u.idx % 3 + 1 THEN u.h ELSE r.ds[i] END FOR i IN range(1, len(r.ds) + 1)], '')),
+        u.proof || array_to_string([r.ds[i] FOR i IN range(1, len(r.ds) + 1) IF i <> u.idx % 3 + 1], '')
+    FROM {name} u JOIN {runs} r ON r.tree = u.tree AND r.level = u.level AND r.run = u.idx // 3 WHERE u.n > 1
+)"""
+
+
+_TREE = """
+    UNION ALL
+    SELECT tree, level + 1, idx // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY idx)) FROM {0} WHERE n > 1 GROUP BY tree, level, idx // 3
+"""
+_RUNS = "(SELECT tree, level, idx // 3 AS run, list(digest ORDER BY idx) AS ds FROM {0} GROUP BY ALL)"
+
+SQL["op12_merkle"] = rf"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n,
+        sha256(concat({", ".join(map(_sql_field, ("doc_id", "source", "lang", "n_chars", "text")))})) AS leaf,
+        sha256(concat({", ".join(map(_sql_field, ("doc_id", "source", "lang", "n_chars", f"CASE WHEN {_sql_crc('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")))})) AS received
+    FROM documents
+), nodes AS (
+    SELECT tree, 0 AS level, idx, n, leaf AS digest FROM leaves {_TREE.format("nodes")}
+), subroots AS (
+    SELECT tree AS k, digest, count(*) OVER () AS trees FROM nodes WHERE n = 1
+), tops AS (
+    SELECT -1::BIGINT AS tree, 0 AS level, k AS idx, trees AS n, digest FROM subroots {_TREE.format("tops")}
+), runs AS {_RUNS.format("nodes")}, top_runs AS {_RUNS.format("tops")},
+{_sql_walk("low", "SELECT doc_id AS k, tree, 0 AS level, idx, n, received AS h, '' AS proof FROM leaves", "runs")},
+{_sql_walk("high", "SELECT l.k, -1::BIGINT AS tree, 0 AS level, l.tree AS idx, s.trees AS n, l.h, l.proof FROM low l JOIN subroots s ON s.k = l.tree WHERE l.n = 1", "top_runs")}
+SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = t.digest AS verified
+FROM leaves JOIN subroots s ON s.k = leaves.tree JOIN high w ON w.k = leaves.doc_id AND w.n = 1 JOIN tops t ON t.n = 1
+"""
+
+
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_LOWER = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op13_importance"] = rf"""
+WITH d AS (SELECT doc_id, {_LOWER} AS words FROM documents), b AS (SELECT {_LOWER} AS words FROM benchmark),
+dw AS (SELECT doc_id, unnest(words) AS word FROM d), bw AS (SELECT unnest(words) AS word FROM b),
+vocabulary AS (SELECT word, {_sql_crc("word")} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN vocabulary USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN vocabulary USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE) / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM (SELECT DISTINCT bucket FROM vocabulary) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+), weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM dw JOIN vocabulary USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM d LEFT JOIN weights USING (doc_id)
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
