@@ -22,13 +22,13 @@ from __future__ import annotations
 import os
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -166,58 +166,107 @@ def _open(path: str) -> tuple[FileSystem, str]:
 # Encoding
 
 
+#: Characters of plain words: printable ASCII, white space, and letters whose lower case is one letter and which compose with nothing before them.
+PLAIN = "\t-\r -~\u00c0-\u012f\u0132-\u017f"
+LETTER = "a-z\u00df-\u00f6\u00f8-\u012f\u0132-\u017f"
+
+
 class WordEncoder:
-    """A vocabulary whose words never cross white space: each distinct word is encoded by the library once.
+    """The ids of a vocabulary that cuts texts at white space and then by ``words``, each cut being encoded by itself.
 
-    Words of up to ``short`` characters are remembered, two generations of at most ``remembered`` each.
+    Plain texts, lower-cased, are cut here, and the library encodes each
+    distinct cut once; words with other characters or with ``special`` strings
+    are given to the library whole.  Cuts of up to ``short`` characters are
+    remembered, two generations of at most ``remembered`` each.
     """
 
-    short, remembered = 64, 200_000
+    short, remembered = 64, 300_000
     gap = re.compile(r"[ \t-\r]")
+    words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^ \\t-\\r0-9{LETTER}]+")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
-
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        found = [x if (x := self.young.get(w)) is not None else self.old.get(w) for w in words]
-        new = [i for i, x in enumerate(found) if x is None]
-        for i, e in zip(new, self.library.encode_batch_fast([words[i] for i in new], add_special_tokens=False), strict=True):
-            found[i] = np.array(e.ids, np.uint32)
-            if len(words[i]) <= self.short:
-                if len(self.young) >= self.remembered:
-                    self.old, self.young = self.young, {}
-                self.young[words[i]] = found[i]
-        return found
-
-    def _encode(self, texts: pa.Array) -> list[np.ndarray]:
-        split = pc.ascii_split_whitespace(texts)
-        coded = split.flatten().dictionary_encode()
-        if not len(coded.dictionary):
-            return [np.zeros(0, np.uint32)] * len(texts)
-        ids = self._ids(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, starts = np.concatenate(ids), np.cumsum(sizes) - sizes
-        words = coded.indices.to_numpy()
-        size, upto = sizes[words], np.cumsum(sizes[words])
-        tokens = flat[np.repeat(starts[words] - (upto - size), size) + np.arange(upto[-1])]
-        return np.split(tokens, np.r_[0, upto][split.offsets.to_numpy()[1:-1] - split.offsets[0].as_py()])
+        special = "|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
+        self.other = re.compile(f"[^{PLAIN}]" + (f"|{special}" if special else ""))
+        words = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, cuts: Iterable[str]) -> list[str]:
+        """Afterwards ``young`` knows all of these; those too long to be remembered are returned."""
+        plain, other = [], []
+        missing = set(cuts).difference(self.young)
+        for c in missing:
+            x = self.old.get(c)
+            if x is not None:
+                self.young[c] = x
+            elif self.other.search(c):
+                other.append(c)
+            else:
+                plain.append(c)
+        # A plain cut is one word of the vocabulary's: its last id, and no other, ends a word.
+        runs = [plain[a : a + 256] for a in range(0, len(plain), 256)]
+        for run, e in zip(runs, self.library.encode_batch_fast(list(map(" ".join, runs)), add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(run):
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                self.young.update((c, raw[a:b]) for c, a, b in zip(run, [0, *ends[:-1]], ends, strict=True))
+            else:
+                other += run
+        for c, e in zip(other, self.library.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            self.young[c] = np.array(e.ids, "<u4").tobytes()
+        return [c for c in missing if len(c) > self.short]
+
+    def _forget(self, long: list[str]) -> None:
+        for c in long:
+            del self.young[c]
+        if len(self.young) > self.remembered:
+            self.old, self.young = self.young, {}
+
+    def _cuts(self, text: str) -> list[str]:
+        if not self.other.search(text):
+            return self.words.findall(text.lower())
+        cuts: list[str] = []
+        for word in self.gap.split(text):
+            if self.other.search(word):
+                cuts.append(word)
+            else:
+                cuts += self.words.findall(word.lower())
+        return cuts
 
     def encode(self, texts: pa.Array, piece: int = 1 << 20) -> list[np.ndarray]:
         """The ids of each text; long texts are cut at white space."""
-        if len(texts) > 1 or len(text := texts[0].as_py()) <= 2 * piece:
-            return self._encode(texts) if len(texts) else []
-        found, at = [], 0
-        while at < len(text):
-            cut = self.gap.search(text, at + piece)
-            stop = cut.start() if cut else len(text)
-            found += self._encode(pa.array([text[at:stop]], pa.large_string()))
-            at = stop
-        return [np.concatenate(found)]
+        found: list[list[bytes]] = []
+        held: list[tuple[list[bytes], list[str]]] = []  # cuts of about ``piece`` characters are looked up at once
+        size = 0
+
+        def look_up() -> None:
+            nonlocal held, size
+            long = self._learn(chain.from_iterable(cuts for _, cuts in held))
+            for parts, cuts in held:
+                parts.append(b"".join(map(self.young.__getitem__, cuts)))
+            self._forget(long)
+            held, size = [], 0
+
+        for text in texts.to_pylist():
+            found.append([])
+            at = 0
+            while at < len(text):
+                cut = self.gap.search(text, at + piece) if len(text) > at + piece else None
+                stop = cut.start() if cut else len(text)
+                held.append((found[-1], self._cuts(text[at:stop])))
+                size += stop - at
+                at = stop
+                if size >= piece:
+                    look_up()
+        look_up()
+        return [np.frombuffer(b"".join(parts), "<u4") for parts in found]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -295,7 +344,10 @@ def read_codes(spark: SparkSession, path: str, run_tokens: int = 1 << 20) -> Dat
                         )
                         a = b
 
-    return code_files(spark, path).select("file", "before").repartition("file").mapInArrow(work, "doc_id long, start long, n_tokens long, ids binary")
+    files = code_files(spark, path).select("file", "before")
+    n = files.count()  # few small rows, which would else be put together in one task
+    tasks = max(1, min(n, max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 64)))
+    return files.repartition(tasks, "file").mapInArrow(work, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def tokens_at(spark: SparkSession, path: str, places: DataFrame, place_col: str = "place", stretch: int = 1 << 23) -> DataFrame:
