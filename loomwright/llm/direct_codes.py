@@ -180,20 +180,21 @@ class WordEncoder:
     remembered, two generations of at most ``remembered`` each.
     """
 
-    short, remembered = 64, 300_000
+    short, remembered = 64, 500_000
     gap = re.compile(r"[ \t-\r]")
-    words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[0-9]|[^ \\t-\\r0-9{LETTER}]+")
+    words = re.compile(f"[{LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^ \\t-\\r0-9{LETTER}]+")
+    odd = re.compile(f"[^{PLAIN}]")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        special = "|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())
-        self.other = re.compile(f"[^{PLAIN}]" + (f"|{special}" if special else ""))
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         words = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(words.values()) + 1, bool)
         self.ends[[i for w, i in words.items() if w.endswith("</w>")]] = True
+        self.whole: set[str] = set()  # words for the library as they are
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -205,10 +206,11 @@ class WordEncoder:
             x = self.old.get(c)
             if x is not None:
                 self.young[c] = x
-            elif self.other.search(c):
+            elif c in self.whole:
                 other.append(c)
             else:
                 plain.append(c)
+        self.whole.clear()
         # A plain cut is one word of the vocabulary's: its last id, and no other, ends a word.
         runs = [plain[a : a + 256] for a in range(0, len(plain), 256)]
         for run, e in zip(runs, self.library.encode_batch_fast(list(map(" ".join, runs)), add_special_tokens=False), strict=True):
@@ -229,13 +231,17 @@ class WordEncoder:
         if len(self.young) > self.remembered:
             self.old, self.young = self.young, {}
 
+    def _is_other(self, text: str) -> bool:
+        return self.odd.search(text) is not None or any(s in text for s in self.special)
+
     def _cuts(self, text: str) -> list[str]:
-        if not self.other.search(text):
+        if not self._is_other(text):
             return self.words.findall(text.lower())
         cuts: list[str] = []
         for word in self.gap.split(text):
-            if self.other.search(word):
+            if self._is_other(word):
                 cuts.append(word)
+                self.whole.add(word)
             else:
                 cuts += self.words.findall(word.lower())
         return cuts
