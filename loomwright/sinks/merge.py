@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomwright.operators.ranking import first_wins
-from loomwright.sinks.files import written
+from loomwright.sinks.files import delete, written
 
 
 def replace_range(old: DataFrame, new: DataFrame, replaced: Column) -> DataFrame:
@@ -30,13 +31,21 @@ def last_wins(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return best.select(*keys, "x__.*").select(rows.columns)
 
 
+def one_a_key(rows: DataFrame, keys: Sequence[str], known: str | None = None) -> DataFrame:
+    """Of rows with one key the largest by their other columns in order; rows whose key (or its column ``known``) has a null are all kept."""
+    rest = [c for c in rows.columns if c not in keys]
+    named = F.col(known).isNotNull() if known else reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    best = rows.where(named).groupBy(*keys).agg(F.max(F.struct(*rest)).alias("x__")).select(*keys, "x__.*").select(rows.columns)
+    return best.unionByName(rows.where(~named))
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """New rows replace old ones of their key, but for the columns ``keep``, which stay as they were where a row was.
 
-    Of new rows with one key the largest counts, by their other columns in order.
+    Of new rows with one key the largest counts, by their other columns in
+    order.  Rows whose key has a null are those of no other row: all stay.
     """
-    rest = [c for c in new.columns if c not in keys]
-    new = new.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("x__")).select(*keys, "x__.*").select(new.columns)
+    new = one_a_key(new, keys)
     if not keep:
         return old.join(new.select(*keys), list(keys), "left_anti").select(old.columns).unionByName(new)
     was = old.select(*keys, *(F.col(c).alias(f"{c}__") for c in old.columns if c not in keys), F.lit(True).alias("was__"))
@@ -89,3 +98,25 @@ def guarded_size(df: DataFrame, most: int = 20_000) -> DataFrame:
     if n > most:
         raise ValueError(f"more than {most} rows")
     return df
+
+
+def rewrite_partitions(spark: SparkSession, path: str, schema: StructType, by: str, touched: DataFrame, plan: Callable[[DataFrame], DataFrame]) -> None:
+    """Replaces the partitions of ``path`` that ``touched`` names by ``plan`` of the rows they hold; all others keep their files.
+
+    ``plan`` may read the table itself: its result is written beside it first.
+    Partitions for which it gives no rows go; rows it gives for partitions that
+    aren't touched are an error, as what these hold would be lost.  If the job
+    stops between two partitions, running it again gives the same, as long as
+    ``plan`` replaces rows by key.
+    """
+    names = written(touched.select(F.col(by).alias("by__")).distinct(), "touched")
+    old = spark.read.schema(schema).parquet(path)
+    same = F.col(by).eqNullSafe(F.col("by__"))
+    made = written(plan(old.join(names, same, "left_semi")).select(schema.names), "partitions")
+    if made.join(names, same, "left_anti").limit(1).count():
+        raise ValueError(f"rows for partitions of {path} that aren't touched")
+    made.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    left = names.join(made.select(by).distinct(), same, "left_anti").select(F.col("by__").cast("string").alias("v"))
+    folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for r in left.collect():  # names of partitions
+        delete(spark, f"{path}/{folder(by, r['v'])}")

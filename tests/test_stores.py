@@ -9,7 +9,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from loomwright.sinks import merge
 from loomwright.sinks.files import fresh_path, replace_folder
 from loomwright.sources import paged
-from loomwright.streaming import events
 
 WANTED = StructType([StructField("id", LongType()), StructField("name", StringType())])
 
@@ -74,36 +73,6 @@ def test_upsert_keeps_columns(spark):
     assert {tuple(r) for r in merge.last_wins(old.unionByName(new), ["k"], "q").collect()} == {(1, "a", 1), (2, "z", 9), (3, "y", 8)}
 
 
-def test_events_may_come_in_many_files(spark, small):
-    path, target = fresh_path(spark, "in"), fresh_path(spark, "out")
-    spark.read.parquet(f"{small}/events.parquet").orderBy("ts").repartitionByRange(5, "ts").write.parquet(path)
-    events.write_daily_counts(events.event_stream(spark, path, 2), target)
-    counted = spark.read.parquet(target).groupBy("event_type").agg(F.sum("n").alias("n")).collect()
-    wanted = spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).collect()
-    assert {tuple(r) for r in counted} == {tuple(r) for r in wanted}
-
-
-def test_streams_give_the_whole_table_in_any_order_of_files(spark, small):
-    """One file a batch, each with rows of every day and user."""
-    path = fresh_path(spark, "in")
-    rows = spark.read.parquet(f"{small}/events.parquet")
-    rows.repartition(4, F.hash("event_id")).write.parquet(path)
-    stream = lambda: events.event_stream(spark, path, 1)
-    rows.createOrReplaceTempView("events")
-    cases = {
-        events.write_slices: "SELECT event_id, to_date(ts) AS day, event_type FROM events",
-        events.write_daily_counts: "SELECT to_date(ts) AS day, event_type, count(*) AS n, sum(bigint(round(value * 100))) AS cents FROM events GROUP BY ALL",
-        events.write_changes: "SELECT user_id, count(*) AS n, count_if(was <> event_type) AS changed FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS was FROM events) GROUP BY user_id",
-    }
-    for write, sql in cases.items():
-        target, wanted = fresh_path(spark, "out"), spark.sql(sql)
-        write(stream(), target)
-        found = spark.read.parquet(target)
-        if write is events.write_changes:
-            found = found.groupBy("user_id").agg(F.max("n").alias("n"), F.max_by("changed", "n").alias("changed"))
-        assert sorted(map(tuple, found.select(wanted.columns).collect())) == sorted(map(tuple, wanted.collect())), write.__name__
-
-
 def test_folder_is_replaced_by_what_is_read_from_it(spark):
     path = fresh_path(spark, "swap")
     replace_folder(spark.range(10), path)
