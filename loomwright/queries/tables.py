@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from loomwright.functions.codes import spu_of
 from loomwright.operators import ranking, reshape
 from loomwright.queries.base import query
-from loomwright.sinks import merge
+from loomwright.sinks import merge, outbox
 from loomwright.sinks.files import fresh_path, replace_folder, write_files
 from loomwright.sources import business as b
 from loomwright.sources.business import table
@@ -48,16 +49,28 @@ def snk_02_truncate_insert(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _written_twice(old: DataFrame, by: str, touched: DataFrame, plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The old table, written by partitions; those touched are replaced from a plan that reads the table itself, twice: the second time changes nothing."""
+    spark, path = old.sparkSession, fresh_path(old.sparkSession, "partitions")
+    old.write.partitionBy(by).parquet(path)
+    schema = spark.read.parquet(path).schema
+    for _ in range(2):
+        merge.rewrite_partitions(spark, path, schema, by, touched, plan)
+    return spark.read.schema(schema).parquet(path).select(old.columns)
+
+
 @query(f"{_BASE} SELECT * FROM old WHERE month < DATE '2000-06-01' UNION ALL SELECT * FROM new")
 def snk_03_range_replace(spark: SparkSession, folder: str) -> DataFrame:
-    old, new = _old_new(spark, folder)
-    return merge.replace_range(old, new, F.col("month") >= F.lit(CUT))
+    old, new = map(merge.written, _old_new(spark, folder), ("old", "new"))
+    later = F.col("month") >= F.lit(CUT)
+    touched = old.where(later).select("month").unionByName(new.select("month"))
+    return _written_twice(old, "month", touched, lambda held: merge.replace_range(held, new, later))
 
 
 @query(f"{_BASE} SELECT * FROM old WHERE month NOT IN (SELECT month FROM new) UNION ALL SELECT * FROM new")
 def snk_04_slice_replace(spark: SparkSession, folder: str) -> DataFrame:
-    old, new = _old_new(spark, folder)
-    return merge.replace_slices(old, new, ["month"])
+    old, new = map(merge.written, _old_new(spark, folder), ("old", "new"))
+    return _written_twice(old, "month", new.select("month"), lambda held: merge.replace_slices(held, new, ["month"]))
 
 
 @query(f"{_BASE} SELECT * FROM old ANTI JOIN new USING (sku, month) UNION ALL SELECT * FROM new")
@@ -80,15 +93,18 @@ def snk_06_insert_ignore(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"{_BASE} SELECT * FROM old WHERE sku NOT IN (SELECT sku FROM new) UNION ALL SELECT * FROM new")
 def snk_07_delete_insert(spark: SparkSession, folder: str) -> DataFrame:
-    old, new = _old_new(spark, folder)
-    return merge.delete_then_insert(old, new, "sku")
+    old, new = map(merge.written, _old_new(spark, folder), ("old", "new"))
+    touched = old.join(new.select("sku"), "sku", "left_semi").select("month").unionByName(new.select("month"))
+    return _written_twice(old, "month", touched, lambda held: merge.delete_then_insert(held, new, "sku"))
 
 
-@query("SELECT part_id, sku, CASE WHEN weight = 0 THEN size + 1 ELSE weight END AS weight FROM b_products")
+@query("SELECT part_id, sku, CASE WHEN weight = 0 THEN size + 1 ELSE weight END AS weight, fabric FROM b_products")
 def snk_08_update_columns(spark: SparkSession, folder: str) -> DataFrame:
-    p = b.products(spark, folder)
+    """Weights are found for some products; fabrics without such a product keep their files."""
+    p = merge.written(b.products(spark, folder), "products")
     found = p.where("weight = 0").select("part_id", (F.col("size") + 1).alias("weight"))
-    return merge.update_columns(p.select("part_id", "sku", "weight"), found, "part_id")
+    touched = p.join(found.select("part_id"), "part_id", "left_semi").select("fabric")
+    return _written_twice(p.select("part_id", "sku", "weight", "fabric"), "fabric", touched, lambda held: merge.update_columns(held, found, "part_id"))
 
 
 @query("SELECT part_id AS id, sku, NULL::VARCHAR AS note FROM b_products")
@@ -97,11 +113,19 @@ def snk_09_schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     return merge.check_schema(merge.evolve(b.products(spark, folder), wanted, {"part_id": "id"}, extra="drop"), wanted)
 
 
-@query("SELECT sku, shop, available, pending, CASE WHEN available > 20 THEN 'many' ELSE 'few' END AS view, (row_number() OVER (PARTITION BY shop ORDER BY sku) - 1) // 20000 AS outbox FROM b_local")
+@query("SELECT sku, nullif(shop, '无') AS shop, available, pending, CASE WHEN available > 20 THEN 'many' ELSE 'few' END AS view, (row_number() OVER (PARTITION BY shop ORDER BY sku) - 1) // 20000 AS outbox, shop <> '无' AS taken FROM b_local")
 def snk_10_guarded_outbox(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every shop for targets that take 20,000 at most, in their columns: beyond that a shop has more outboxes."""
+    """Rows of every shop, sent in batches of 500 to targets that take 20,000 rows at most: beyond that a shop has more outboxes.
+
+    The targets have no field for the fabric; a row without a shop is refused and named.
+    """
+    path = fresh_path(spark, "outbox")
     rows = b.local_stock(spark, folder).select("sku", "shop", "available", "pending", F.when(F.col("available") > 20, "many").otherwise("few").alias("view"))
-    return ranking.chunked(rows, ["shop"], ["sku"], 20_000, "outbox")
+    placed = ranking.chunked(rows, ["shop"], ["sku"], 20_000, "outbox").withColumn("shop", F.nullif("shop", F.lit("无"))).withColumn("unknown", F.lit("dropped"))
+    fields = {"sku": "text", "shop": "text", "available": "number", "pending": "number", "view": "text", "absent": "text"}
+    outbox.write_outbox(placed, path, "loomwright.sinks.outbox:check_required", fields, ("outbox",), required="sku,shop")
+    read = lambda refused: outbox.read_outbox(spark, path, "sku string, shop string, available long, pending long, view string", "outbox long", refused)
+    return read(False).withColumn("taken", F.lit(True)).unionByName(read(True).drop("why").withColumn("taken", F.lit(False)))
 
 
 @query("SELECT owner, count(DISTINCT sku) AS products FROM b_owners WHERE owner <> '' GROUP BY owner")
@@ -128,19 +152,25 @@ def snk_14_card_data(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("shop", "qty", F.concat(F.lit("| "), "shop", F.lit(" | "), F.col("qty").cast("string"), F.lit(" |")).alias("line"))
 
 
-@query("SELECT order_id, line, sku FROM b_lines WHERE qty = 50")
+@query("SELECT order_id, line, sku FROM b_lines")
 def snk_15_json_dump(spark: SparkSession, folder: str) -> DataFrame:
+    """Every raw record."""
     path = fresh_path(spark, "dump")
-    b.lines(spark, folder).where("qty = 50").select("order_id", "line", "sku").write.json(path)
+    b.lines(spark, folder).select("order_id", "line", "sku").write.json(path)
     return spark.read.schema("order_id long, line long, sku string").json(path)
 
 
-@query("SELECT shop, (n // 15)::BIGINT AS order_no, count(*) AS items FROM (SELECT shop, row_number() OVER (PARTITION BY shop ORDER BY sku) - 1 AS n FROM (SELECT DISTINCT shop, sku FROM b_planned)) GROUP BY ALL")
+@query("SELECT shop, (n // 15)::BIGINT AS order_no, count(*) AS items, shop <> 'N3-EU' AS taken FROM (SELECT shop, row_number() OVER (PARTITION BY shop ORDER BY sku) - 1 AS n FROM (SELECT DISTINCT shop, sku FROM b_planned)) GROUP BY ALL")
 def snk_16_order_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """At most 15 products an order."""
+    """Orders of at most 15 products, sent 50 at a time; the remote side refuses those of a shop it has no number for, one by one."""
+    path = fresh_path(spark, "orders")
     rows = ranking.chunked(b.planned_orders(spark, folder).select("shop", "sku").distinct(), ["shop"], ["sku"], 15, "order_no")
-    payload = rows.groupBy("shop", "order_no").agg(F.collect_list("sku").alias("skus"))
-    return payload.select("shop", "order_no", F.size("skus").cast("bigint").alias("items"))
+    payload = rows.groupBy("shop", "order_no").agg(F.array_sort(F.collect_list("sku")).alias("skus"))  # at most 15
+    orders = payload.select("shop", "order_no", F.when(F.col("shop") != "N3-EU", F.col("shop")).alias("target"), F.to_json("skus").alias("skus"))
+    outbox.write_outbox(orders, path, "loomwright.sinks.outbox:check_required", {"target": "text", "skus": "text"}, ("shop", "order_no"), 50, required="target,skus")
+    read = lambda refused: outbox.read_outbox(spark, path, "target string, skus string", "shop string, order_no long", refused)
+    both = read(False).withColumn("taken", F.lit(True)).unionByName(read(True).drop("why").withColumn("taken", F.lit(False)))
+    return both.select("shop", "order_no", F.json_array_length("skus").cast("bigint").alias("items"), "taken")
 
 
 @query("SELECT spu, count(*) AS n FROM b_products GROUP BY spu")

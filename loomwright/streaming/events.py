@@ -87,7 +87,7 @@ def write_slices(events: DataFrame, target: str, checkpoint: str) -> list[Progre
     def each(batch: DataFrame, number: int) -> None:
         rows = batch.select("event_id", "event_type", F.lit(number).cast("long").alias("batch"), F.to_date("ts").alias("day"))
         # Read from files, rows are those of one reading of the batch.
-        rows = written(one_a_key(rows, ["event_id"]), "slices-batch")
+        rows = written(one_a_key(written(rows, "slices-read"), ["event_id"]), "slices-batch")
         if not exists(spark, target):
             rows.write.partitionBy("day").parquet(target)
             return
