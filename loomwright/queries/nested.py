@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,9 @@ def src_01_table_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT part_id, sku, size AS qty FROM b_products")
 def src_03_paged_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return _landed(spark, b.products(spark, folder).select("part_id", "sku", F.col("size").alias("qty")), [], ["part_id"], 500)
+    """Offset and length until a short page; nobody knows the total, so four tasks take every fourth page."""
+    path = paged.land_pages(b.products(spark, folder).select("part_id", "sku", F.col("size").alias("qty")), ["part_id"], 500)
+    return paged.read_paged(spark, "part_id long, sku string, qty long", fetch="loomwright.sources.paged:landed_page", folder=path, page=500, slices="all", strides=4)
 
 
 @query("SELECT order_id, line, state FROM b_lines")
@@ -56,8 +59,11 @@ def src_10_shop_dimension(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT part_id, (part_id * 3) % 101 AS weight FROM b_products WHERE weight = 0")
 def src_12_batched_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    keys = b.products(spark, folder).where("weight = 0").select("part_id")
-    return paged.batched_lookup(keys, "part_id", "loomwright.sources.paged:demo_details", "part_id long, weight long")
+    """Details of the products without a weight, 100 a call, from a table of all products' details in order of their keys."""
+    path, products = fresh_path(spark, "details"), b.products(spark, folder)
+    details = products.select("part_id", (F.col("part_id") * 3 % 101).alias("weight"), "name")
+    details.repartitionByRange("part_id").sortWithinPartitions("part_id").write.option("parquet.block.row.count.limit", 5000).parquet(path)
+    return paged.batched_lookup(products.where("weight = 0").select("part_id"), "part_id", path, "part_id long, weight long")
 
 
 @query("SELECT event_id, event_type FROM events")
@@ -72,16 +78,25 @@ def src_13_cursor_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT event_id, event_type FROM events")
 def src_15_complete_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages are read once, and as many rows as the table has must come."""
-    rows = table(spark, folder, "events").select("event_id", "event_type")
-    return paged.complete(_landed(spark, rows, [], ["event_id"], 1000), rows.count())
+    """Pages of every day are read once, and as many rows must come as the pages say a day has."""
+    events = table(spark, folder, "events").select("event_id", "event_type", "ts")
+    day = F.coalesce(F.to_date("ts").cast("string"), F.lit("none"))
+    days = [r["d"] for r in events.select(day.alias("d")).distinct().orderBy("d").collect()]
+    path = paged.land_pages(events.withColumn("d", day).drop("ts"), ["event_id"], 1000, F.col("d"))
+    rows = paged.read_paged(spark, "event_id long, event_type string, _slice string, _total long", fetch="loomwright.sources.paged:landed_page", folder=path, page=1000, slices=",".join(days))
+    return paged.complete_scan(rows, days)
 
 
-@query("SELECT 0::BIGINT AS n_missing_table, 1::BIGINT AS n_missing_columns")
+@query("SELECT month, count(*) AS n, sum(qty)::BIGINT AS qty, NULL::VARCHAR AS note FROM b_sales WHERE year(month) = 2000 AND month(month) % 2 = 0 GROUP BY month")
 def src_16_missing_table(spark: SparkSession, folder: str) -> DataFrame:
-    none = stores.table_or_empty(spark, "no_such_table", "sku string, qty long")
-    lacks = stores.missing_columns(table(spark, folder, "region"), ["r_name", "r_comment"])
-    return none.agg(F.count(F.lit(1)).alias("n_missing_table")).select("n_missing_table", F.lit(len(lacks)).cast("bigint").alias("n_missing_columns"))
+    """A table for each month, where only every second one has been made; a missing table has no rows, a missing column nulls."""
+    sales = b.monthly_sales(spark, folder).where("year(month) = 2000").select("month", "sku", "qty")
+    path = fresh_path(spark, "months")
+    sales.where("month(month) % 2 = 0").withColumn("m", F.month("month")).write.partitionBy("m").parquet(path)
+    schema = "month date, sku string, qty long, note string"
+    months = [stores.folder_or_empty(spark, f"{path}/m={m}", schema) for m in range(1, 13)]
+    rows = reduce(DataFrame.unionByName, months)
+    return rows.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("qty").alias("qty"), F.max("note").alias("note"))
 
 
 @query("SELECT n_name AS name, code FROM nation JOIN (VALUES (0, 'A'), (1, 'B'), (2, 'C')) c(k, code) ON k = n_regionkey")
@@ -121,9 +136,13 @@ def src_08_stock_with_warehouses(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT month, sum(qty)::BIGINT AS qty FROM b_sales GROUP BY month")
 def src_09_months(spark: SparkSession, folder: str) -> DataFrame:
-    """A slice for each month; pages until all are there."""
-    rows = _landed(spark, b.monthly_sales(spark, folder).select("month", "shop", "sku", "qty"), ["month"], ["shop", "sku"], 300)
-    return rows.groupBy("month").agg(F.sum("qty").alias("qty"))
+    """A slice for each month, several at once; pages until all are there."""
+    sales = b.monthly_sales(spark, folder).select(F.col("month").cast("string").alias("month"), "shop", "sku", "qty")
+    path = paged.land_pages(sales, ["shop", "sku"], 1000, F.col("month"))
+    months = [r["month"] for r in sales.select("month").distinct().orderBy("month").collect()]
+    schema = "month string, shop string, sku string, qty long, _slice string, _total long"
+    rows = paged.read_paged(spark, schema, fetch="loomwright.sources.paged:landed_page", folder=path, page=1000, slices=",".join(months), strides=2)
+    return paged.complete_scan(rows, months).groupBy(F.col("month").cast("date").alias("month")).agg(F.sum("qty").alias("qty"))
 
 
 @query("SELECT shop, order_id AS shipment, line AS box FROM b_lines WHERE shop <> '无'")

@@ -34,14 +34,6 @@ def test_pages_are_read_to_a_short_one(spark, told):
     assert sorted((r["slice"], r["id"]) for r in rows.collect()) == [(s, k) for s in "ab" for k in range(25)]
 
 
-def test_incomplete_scans_fail(spark):
-    rows = paged.read_paged(spark, "id long", fetch="tests.remote:demo_page", total=25, page=10, pages_per_task=1)
-    assert sorted(r["id"] for r in rows.collect()) == list(range(25))
-    assert paged.complete(rows, 25).count() == 25
-    with pytest.raises(Exception, match="25 of 26 rows"):
-        paged.complete(rows, 26).collect()
-
-
 def test_schemas_are_checked(spark):
     rows = spark.createDataFrame([(1, "x")], "part int, extra string")
     with pytest.raises(ValueError, match="unexpected"):
