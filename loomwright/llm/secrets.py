@@ -12,6 +12,7 @@ don't depend on the order of additions.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -47,11 +48,12 @@ CLASSES = (
 )
 #: Candidates that match are no secrets: no digit at all, nothing but digits and
 #: signs, uuids, paths of words, and placeholders.
+PATH = r"^/?([A-Za-z]+[/_-])+[A-Za-z]*[0-9]{0,4}/?$"
 ALLOW = (
     r"^[^0-9]*$",
     r"^[0-9+/_=-]*$",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^/?([A-Za-z]+[/_-])+[A-Za-z]*[0-9]{0,4}/?$",
+    PATH,
     r"EXAMPLE|example|SAMPLE|sample|0123456789|abcdefghij",
 )
 
@@ -66,7 +68,23 @@ def most(bits: float, window: int = WINDOW) -> int:
     return math.floor(1e6 * window * (math.log2(window) - bits))
 
 
-def found(text: Column, matches: Column, pattern: str, chunk: int = 64) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it, also inside other functions' bodies."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def in_chunks(array: Column, chunk: int = 64) -> Column:
+    """An array that isn't empty, as arrays of ``chunk``."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(array) - 1) / chunk).cast("int")), lambda k: F.slice(array, k * chunk + 1, chunk))
+
+
+def running(values: Column, start: Column, step: Callable[[Column, Column], Column], kind: str) -> Column:
+    """What stands before each value: ``start``, then ``step`` of what stood before and the value."""
+    first = F.struct(start.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.aggregate(values, first, lambda acc, v: F.struct(step(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+
+def found(text: Column, matches: Column, pattern: str) -> Column:
     """[(start, end, match)] in code points, from the matches and what lies between them.
 
     Matches are walked in chunks, whose starts come from the sums of the chunks
@@ -74,13 +92,6 @@ def found(text: Column, matches: Column, pattern: str, chunk: int = 64) -> Colum
     """
     between = F.split(text, pattern, -1)
     steps = F.zip_with(matches, F.slice(between, 1, F.size(matches)), lambda m, p: F.struct(F.length(p).alias("gap"), F.length(m).alias("size"), m.alias("match")))
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / chunk).cast("int")), lambda k: F.slice(steps, k * chunk + 1, chunk))
-    sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["gap"] + x["size"]))
-    starts = F.aggregate(
-        sums,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
-    )["out"]
     empty = F.array().cast("array<struct<start:int,end:int,match:string>>")
 
     def walked(steps: Column, start: Column) -> Column:
@@ -96,39 +107,89 @@ def found(text: Column, matches: Column, pattern: str, chunk: int = 64) -> Colum
             ),
         )["out"]
 
-    return F.when(F.size(matches) > 0, F.flatten(F.zip_with(chunks, starts, walked))).otherwise(empty)
+    def spans(chunks: Column) -> Column:
+        sums = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["gap"] + x["size"]))
+        return F.flatten(F.zip_with(chunks, running(sums, F.lit(0), lambda at, n: at + n, "int"), walked))
+
+    return F.when(F.size(matches) > 0, let(steps, lambda all_: let(in_chunks(all_), spans))).otherwise(empty)
+
+
+def unhindered(base: Column, candidates: Column) -> Column:
+    """The candidates that overlap no base span; both are walked once, in order.
+
+    A candidate is met after the base spans that begin before its end; it is
+    free if none of these ends behind its start.
+    """
+    kind = "array<struct<key:int,is_base:int,start:int,end:int,match:string>>"
+    of_base = F.transform(base, lambda b: F.struct(b["start"].alias("key"), F.lit(1).alias("is_base"), b["start"].alias("start"), b["end"].alias("end"), F.lit(None).cast("string").alias("match")))
+    others = F.transform(candidates, lambda c: F.struct(c["end"].alias("key"), F.lit(0).alias("is_base"), c["start"].alias("start"), c["end"].alias("end"), c["match"].alias("match")))
+    end = lambda x: F.when(x["is_base"] == 1, x["end"]).otherwise(0)
+
+    def walked(met: Column, top: Column) -> Column:
+        return F.aggregate(
+            met,
+            F.struct(top.alias("top"), F.array().cast(kind).alias("out")),
+            lambda acc, x: F.struct(
+                F.greatest(acc["top"], end(x)).alias("top"),
+                F.when((x["is_base"] == 0) & (acc["top"] <= x["start"]), F.concat(acc["out"], F.array(x))).otherwise(acc["out"]).alias("out"),
+            ),
+        )["out"]
+
+    def free(chunks: Column) -> Column:
+        tops = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda top, x: F.greatest(top, end(x))))
+        return F.flatten(F.zip_with(chunks, running(tops, F.lit(0), lambda top, n: F.greatest(top, n), "int"), walked))
+
+    met = F.array_sort(F.concat(of_base, others).cast(kind))
+    kept = F.when(F.size(candidates) > 0, let(met, lambda all_: let(in_chunks(all_), free))).otherwise(F.array().cast(kind))
+    return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("match")))
+
+
+def is_path(m: Column) -> Column:
+    """Whether ``PATH`` fits, without repeating a group, which takes a frame of Java's stack each time.
+
+    It begins with a letter (after a slash), holds digits at its end only, has a
+    sign after a letter, and no two signs together but for a slash at the end.
+    """
+    fits = lambda p: F.rlike(m, F.lit(p))
+    return fits("^/?[A-Za-z]") & fits("^[A-Za-z/_-]+[0-9]{0,4}/?$") & fits("[A-Za-z][/_-]") & ~fits("[/_-]([_-]|/.)")
 
 
 def hot_part(candidate: Column, limit: Column, window: int = WINDOW) -> Column:
     """struct(first, last) of the windows in ``candidate`` whose sum of weights is at most ``limit``.
 
-    ``last`` is 0 if there is none.  The state holds a count for each character
-    from ``+`` to ``z`` and the sum of their weights.
+    ``last`` is 0 if there is none.  Characters come from one array of codes,
+    each with that of the one that leaves the window.  The state holds a count
+    for each character from ``+`` to ``z`` and the sum of their weights.
     """
     low, high = ord("+"), ord("z")
     weights = F.array(*[F.lit(weight(c)) for c in range(window + 1)])
 
-    def step(acc: Column, i: Column) -> Column:
-        into = F.ascii(F.substring(candidate, i, F.lit(1))) - low
-        out = F.when(i > window, F.ascii(F.substring(candidate, i - window, F.lit(1))) - low).otherwise(F.lit(-1))
-        count = lambda at: F.coalesce(F.get(acc["counts"], at), F.lit(0))
+    def pairs(codes: Column) -> Column:
+        leaving = F.slice(F.concat(F.array_repeat(F.lit(-1), window), codes), F.lit(1), F.size(codes))
+        return F.zip_with(codes, leaving, lambda a, b: F.struct(a.alias("into"), b.alias("out")))
+
+    def step(acc: Column, x: Column) -> Column:
+        into, out, at = x["into"], x["out"], acc["at"] + 1
+        count = lambda c: F.coalesce(F.get(acc["counts"], c), F.lit(0))
         same = into == out
         total = (
             acc["sum"]
             + F.when(same, 0).otherwise(F.get(weights, count(into) + 1) - F.get(weights, count(into)))
             + F.when(same | (out < 0), 0).otherwise(F.get(weights, count(out) - 1) - F.get(weights, count(out)))
         )
-        counts = F.transform(acc["counts"], lambda c, at: c + (at == into).cast("int") - (at == out).cast("int"))
-        hot = (i >= window) & (total <= limit)
+        counts = F.when(same, acc["counts"]).otherwise(F.transform(acc["counts"], lambda c, k: c + (k == into).cast("int") - (k == out).cast("int")))
+        hot = (at >= window) & (total <= limit)
         return F.struct(
+            at.alias("at"),
             counts.alias("counts"),
             total.alias("sum"),
-            F.when(hot & (acc["last"] == 0), i - window).otherwise(acc["first"]).alias("first"),
-            F.when(hot, i).otherwise(acc["last"]).alias("last"),
+            F.when(hot & (acc["last"] == 0), at - window).otherwise(acc["first"]).alias("first"),
+            F.when(hot, at).otherwise(acc["last"]).alias("last"),
         )
 
-    start = F.struct(F.array_repeat(F.lit(0), high - low + 1).alias("counts"), F.lit(0).alias("sum"), F.lit(0).alias("first"), F.lit(0).alias("last"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), start, step, lambda acc: F.struct(acc["first"], acc["last"]))
+    start = F.struct(F.lit(0).alias("at"), F.array_repeat(F.lit(0), high - low + 1).alias("counts"), F.lit(0).alias("sum"), F.lit(0).alias("first"), F.lit(0).alias("last"))
+    codes = F.transform(F.regexp_extract_all(candidate, F.lit("."), F.lit(0)), lambda c: F.ascii(c) - low)
+    return F.aggregate(let(codes, pairs), start, step, lambda acc: F.struct(acc["first"], acc["last"]))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -167,9 +228,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     rows = rows.select("id", base.alias("base"), found(F.col("text"), F.col("m_candidate"), CANDIDATE).alias("candidates"))
 
-    allowed = lambda m: F.rlike(m, F.lit("|".join(f"(?:{p})" for p in ALLOW)))
-    free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"]))
-    rows = rows.select("id", "base", F.filter("candidates", lambda s: ~allowed(s["match"]) & free(s)).alias("candidates"))
+    others = F.lit("|".join(f"(?:{p})" for p in ALLOW if p != PATH))
+    allowed = lambda m: F.rlike(m, others) | is_path(m)
+    rows = rows.select("id", "base", F.filter("candidates", lambda s: ~allowed(s["match"])).alias("candidates"))
+    rows = rows.select("id", "base", unhindered(F.col("base"), F.col("candidates")).alias("candidates"))
 
     def scored(s: Column) -> Column:
         rank, limit = F.lit(kinds.index(CLASSES[-1].kind)), F.lit(most(CLASSES[-1].bits))

@@ -6,12 +6,14 @@ import hashlib
 import math
 import random
 import re
+import string
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from loomwright.llm import secrets
 from loomwright.llm.exact_dedup import drop_exact_copies, exact_dedup
@@ -162,3 +164,25 @@ def test_no_documents_no_tokens(spark, docs):
     path = fresh_path(spark, "none")
     write_token_files(docs([]), path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     assert count_tokens(spark, path).count() == 0
+
+
+def test_paths_are_told_without_repeated_groups(spark):
+    random.seed(7)
+    words = {"".join(random.choices("aB1/_-", k=random.randrange(1, 9))) for _ in range(6000)} | {"ab/" * 3 + "c12/", "/ab-cd/1234/", "/ab-cd/12345", "ab-/", "ab//", "//ab", "ab--"}
+    rows = spark.createDataFrame([(w,) for w in sorted(words)], "m string").select("m", secrets.is_path(F.col("m")).alias("is_path")).collect()
+    assert [r["m"] for r in rows if r["is_path"] != bool(re.search(secrets.PATH, r["m"]))] == []
+    long = spark.createDataFrame([("abc/de_f-" * 100_000 + "12",), ("abc/de_f-" * 100_000 + "x1y",)], "m string")
+    assert [r["p"] for r in long.select(secrets.is_path(F.col("m")).alias("p")).collect()] == [True, False]
+
+
+def test_long_candidates_and_many_spans(spark, docs):
+    """The rows of the plain model, for a candidate of 30,000 characters and for 5,000 runs and candidates in one text."""
+    random.seed(8)
+    some = lambda letters, k: "".join(random.choices(letters, k=k))
+    mixed = " ".join(some("0123456789abcdef" if k % 2 else string.ascii_letters + string.digits, 22 + k % 9) for k in range(5_000))
+    texts = [some(string.ascii_letters + string.digits, 30_000), some("0123456789ABCDEF", 3_000), mixed, "token=" + some(string.ascii_letters + string.digits, 2_000)]
+    found = {r["doc_id"]: r for r in secrets.scan_secrets(docs([(k, t, "en", "s") for k, t in enumerate(texts)])).collect()}
+    for k, text in enumerate(texts):
+        base, both = spans_by_hand(text)
+        assert [tuple(s) for s in found[k]["base"]] == base
+        assert sorted([*(tuple(s) for s in found[k]["base"]), *(tuple(s) for s in found[k]["entropy"])]) == both
