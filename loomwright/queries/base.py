@@ -58,6 +58,8 @@ VIEWS = {
     "b_freight": """SELECT 'N' || n_nationkey || CASE WHEN n_regionkey = 1 THEN '-US' ELSE '-EU' END AS shop, 'own' || (s_suppkey % 9) AS owner, make_date(2000, (s_suppkey % 12 + 1)::INT, 1) AS month,
             round(greatest(s_acctbal, 0))::BIGINT AS price, s_suppkey AS ordinal FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "b_purchases": "SELECT order_id, line, part_id, shop, sku, spu, ordered, shipped, qty, status, supplier_id FROM b_lines",
+    "b_colours": """SELECT upper(split_part(p_name, ' ', 1)) AS abbr, CASE WHEN p_size % 9 <> 0 THEN upper(p_name[1]) || lower(split_part(p_name, ' ', 1)[2:]) || ' ' || p_size ELSE ' ' END AS name,
+            CASE WHEN p_partkey % 4 = 0 THEN 'new' ELSE 'old' END AS state, p_partkey AS ordinal FROM part WHERE p_partkey % 4 < 2""",
     "b_month": "SELECT DISTINCT month FROM b_sales",
 }
 

@@ -130,7 +130,7 @@ def _order_comparison(spark: SparkSession, folder: str) -> DataFrame:
     bought = cells.select("sku", "shop", F.col("month").alias("ordered"), F.col("bought").alias("qty"))
     planned = cells.select("sku", "shop", "month", F.col("planned").alias("qty"), F.col("planner").alias("owner"))
     listed = cells.where("listed is not null").select("sku", "shop", "listed.owner", "listed.ordinal")
-    return orders.order_comparison(bought, planned, listed, b.fabric_pricing(spark, folder), AS_OF)
+    return orders.order_comparison(bought, planned, listed, b.fabric_pricing(spark, folder), b.colours(spark, folder), AS_OF)
 
 
 _ORDER_SQL = f"""WITH o AS (SELECT sku, shop, date_trunc('month', ordered)::DATE AS month, sum(qty)::BIGINT AS ordered_qty FROM b_purchases WHERE shop <> '无' AND ordered >= DATE '2000-06-01' GROUP BY ALL),
@@ -138,8 +138,9 @@ p AS (SELECT sku, shop, month, sum(qty)::BIGINT AS planned_qty, max(owner) AS ow
 po AS (SELECT {spu("sku")} AS spu, shop, arg_min(owner, (month, sku)) AS o FROM p WHERE owner <> '' GROUP BY ALL), lo AS (SELECT spu, shop, arg_min(owner, (ordinal, owner)) AS o FROM b_owners WHERE owner <> '' GROUP BY ALL),
 fb AS (SELECT spu, string_agg(DISTINCT fabric, ',' ORDER BY fabric) AS fabrics FROM b_pricing GROUP BY spu),
 c AS (SELECT sku, {spu("sku")} AS spu, {colour("sku", 4)} AS colour, shop, month, coalesce(ordered_qty, 0) AS ordered_qty, coalesce(planned_qty, 0) AS planned_qty FROM o FULL JOIN p USING (sku, shop, month)),
-r AS (SELECT sku, spu, colour, shop, month, coalesce(fabrics, '') AS fabrics, coalesce(po.o, lo.o, '') AS owner, ordered_qty, planned_qty, CASE WHEN planned_qty > 0 THEN 'yes' ELSE 'no' END AS has_plan,
-    ordered_qty - planned_qty AS difference, {ratio("ordered_qty", "planned_qty")} AS fulfilled FROM c LEFT JOIN po USING (spu, shop) LEFT JOIN lo USING (spu, shop) LEFT JOIN fb USING (spu))"""
+cn AS (SELECT abbr AS colour, coalesce(arg_max(name, ordinal) FILTER (state = 'new'), arg_min(name, ordinal) FILTER (state = 'old')) AS colour_name FROM b_colours WHERE trim(name) <> '' GROUP BY abbr),
+r AS (SELECT sku, spu, colour, coalesce(colour_name, '') AS colour_name, shop, month, coalesce(fabrics, '') AS fabrics, coalesce(po.o, lo.o, '') AS owner, ordered_qty, planned_qty, CASE WHEN planned_qty > 0 THEN 'yes' ELSE 'no' END AS has_plan,
+    ordered_qty - planned_qty AS difference, {ratio("ordered_qty", "planned_qty")} AS fulfilled FROM c LEFT JOIN po USING (spu, shop) LEFT JOIN lo USING (spu, shop) LEFT JOIN fb USING (spu) LEFT JOIN cn USING (colour))"""
 
 
 @query(f"{_ORDER_SQL} SELECT * FROM r")
@@ -147,7 +148,7 @@ def cmp_06_order_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return _order_comparison(spark, folder)
 
 
-@query(f"{_ORDER_SQL}, s AS (SELECT spu, shop, month, colour, fabrics, sum(ordered_qty)::BIGINT AS ordered_qty, sum(planned_qty)::BIGINT AS planned_qty, min(nullif(owner, '')) AS owner FROM r GROUP BY ALL) SELECT *, ordered_qty - planned_qty AS difference, {ratio('ordered_qty', 'planned_qty')} AS fulfilled FROM s WHERE planned_qty > 0")
+@query(f"{_ORDER_SQL}, s AS (SELECT spu, shop, month, colour, colour_name, fabrics, sum(ordered_qty)::BIGINT AS ordered_qty, sum(planned_qty)::BIGINT AS planned_qty, min(nullif(owner, '')) AS owner FROM r GROUP BY ALL) SELECT *, ordered_qty - planned_qty AS difference, {ratio('ordered_qty', 'planned_qty')} AS fulfilled FROM s WHERE planned_qty > 0")
 def cmp_06_comparison_sheet(spark: SparkSession, folder: str) -> DataFrame:
     return orders.comparison_sheet(_order_comparison(spark, folder))
 
@@ -244,13 +245,28 @@ c AS (SELECT r.*, coalesce(ws.w, wp.w) AS weight, CASE WHEN ws.w IS NOT NULL THE
 
 @query(f"{_PROFIT_SQL} SELECT id, shop, owner, month, price, price_level, price_month FROM c")
 def jn_18_freight_cascade(spark: SparkSession, folder: str) -> DataFrame:
-    return profit.freight_price(_profit_records(spark, folder).select("id", "shop", "owner", "month"), b.freight(spark, folder)).drop("brand")
+    return profit.freight_price(_profit_records(spark, folder).select("id", "shop", "owner", "month"), b.freight(spark, folder)).drop("brand", "price_exact")
 
 
-@query(f"""{_PROFIT_SQL} SELECT id, sku, weight, weight_level, price, price_level, price_month, actual, cost * 15 AS cost_addition, coalesce(0.0::DOUBLE - weight * actual::DOUBLE * price, 0.0::DOUBLE) AS freight_fee,
-    coalesce(0.0::DOUBLE - weight * actual::DOUBLE * price, 0.0::DOUBLE) * 15.0::DOUBLE AS freight_addition, coalesce(0.0::DOUBLE - weight * actual::DOUBLE * price, 0.0::DOUBLE) - (freight_cost * 1000)::DOUBLE AS recorded_freight, discount + tax AS platform, cents AS revenue, tax AS advertising, -(cents + discount + tax + tax) AS exchange_loss FROM c""")
+# Integers in tenths of thousand-millionths: weights and prices with twelve places, their product rounded at the seventh.
+_EXACT = """, x AS (
+    SELECT c.*, coalesce(ws.w::HUGEINT * 1000000000000, we.w) AS w12, CASE price_level WHEN 'owner' THEN price::HUGEINT * 1000000000000 ELSE pe.p END AS p12
+    FROM c LEFT JOIN ws USING (sku)
+    LEFT JOIN (SELECT spu, (2 * sum(weight)::HUGEINT * 1000000000000 + count(*)) // (2 * count(*)) AS w FROM b_products WHERE weight > 0 GROUP BY spu) we ON we.spu = CASE WHEN instr(c.sku, '-') > 1 THEN split_part(c.sku, '-', 1) END
+    LEFT JOIN (SELECT 'shop' AS level, shop AS k, month, (2 * sum(price)::HUGEINT * 1000000000000 + count(*)) // (2 * count(*)) AS p FROM f GROUP BY ALL
+        UNION ALL SELECT 'brand', brand, month, (2 * sum(price)::HUGEINT * 1000000000000 + count(*)) // (2 * count(*)) FROM f GROUP BY ALL) pe
+        ON pe.level = c.price_level AND pe.month = c.price_month AND pe.k = CASE price_level WHEN 'shop' THEN c.shop ELSE c.brand END
+), fee AS (SELECT *, coalesce(-sign(actual) * ((w12 * p12 * abs(actual) + 50000000000000000) // 100000000000000000), 0)::BIGINT AS fee FROM x)"""
+
+
+@query(f"""{_PROFIT_SQL}{_EXACT} SELECT id, sku, weight, weight_level, price, price_level, price_month, actual, cost * 15000000 AS cost_addition, fee AS freight_fee,
+    (sign(fee) * ((abs(fee) * 15 + 50) // 100))::BIGINT AS freight_addition, fee - freight_cost * 100000000 AS recorded_freight, (discount + tax) * 100000000 AS platform, cents * 100000000 AS revenue, tax * 100000000 AS advertising,
+    -(cents + discount + tax + tax) * 1000000 AS exchange_loss FROM fee""")
 def cmp_09_profit_fields(spark: SparkSession, folder: str) -> DataFrame:
-    return profit.calculated(_profit_records(spark, folder), b.products(spark, folder), b.freight(spark, folder), ["discount", "tax"], ["cents"], ["tax"])
+    """The decimals' ten places are shown as integers."""
+    found = profit.calculated(_profit_records(spark, folder), b.products(spark, folder), b.freight(spark, folder), ["discount", "tax"], ["cents"], ["tax"])
+    money = ("cost_addition", "freight_fee", "freight_addition", "recorded_freight", "platform", "revenue", "advertising", "exchange_loss")
+    return found.withColumns({c: (F.col(c) * F.lit("10000000000").cast("decimal(11,0)")).cast("bigint") for c in money})
 
 
 _FEES = {"discount": "promotion", "tax": "duty", "promo2": "vine", "promo3": "label"}

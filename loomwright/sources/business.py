@@ -170,3 +170,14 @@ def freight(spark: SparkSession, folder: str) -> DataFrame:
     code = F.concat(F.lit("N"), F.col("n_nationkey").cast("string"), F.when(F.col("n_regionkey") == 1, F.lit("-US")).otherwise(F.lit("-EU")))
     price = F.round(F.greatest(F.col("s_acctbal"), F.lit(0.0))).cast("bigint")
     return s.select(code.alias("shop"), F.concat(F.lit("own"), (F.col("s_suppkey") % 9).cast("string")).alias("owner"), F.make_date(F.lit(2000), (F.col("s_suppkey") % 12 + 1).cast("int"), F.lit(1)).alias("month"), price.alias("price"), F.col("s_suppkey").alias("ordinal"))
+
+
+def colours(spark: SparkSession, folder: str) -> DataFrame:
+    """abbr, name, state (new or old), ordinal: the colour table; some records have no name."""
+    part = table(spark, folder, "part").where("p_partkey % 4 < 2")
+    return part.select(
+        F.upper(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("abbr"),
+        F.when(F.col("p_size") % 9 != 0, F.concat(F.initcap(F.split_part("p_name", F.lit(" "), F.lit(1))), F.lit(" "), F.col("p_size").cast("string"))).otherwise(" ").alias("name"),
+        F.when(F.col("p_partkey") % 4 == 0, "new").otherwise("old").alias("state"),
+        F.col("p_partkey").alias("ordinal"),
+    )

@@ -175,3 +175,32 @@ def test_chunks_go_on_over_partitions(spark):
     for k in (None, 1):
         mine = sorted((r["o"], r["chunk"]) for r in found if r["k"] == k)
         assert [c for _, c in mine] == [i // 30 for i in range(500)]
+
+
+def test_profit_fields_are_exact_decimals(spark):
+    """Against Decimal, half up at ten places, with means that don't end and negative quantities."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from loomwright.plans.profit import calculated
+
+    products = spark.createDataFrame([(1, "A-1", "A", 333), (2, "A-2", "A", 100), (3, "A-3", "A", 101), (4, "B-1", "B", 7)], "part_id long, sku string, spu string, weight long")
+    freight = spark.createDataFrame([("N1-US", "o", dt.date(2024, 1, 1), 17, 1), ("N1-US", "p", dt.date(2024, 1, 1), 22, 2), ("N1-US", "q", dt.date(2024, 1, 1), 1001, 3)], "shop string, owner string, month date, price long, ordinal long")
+    kind = "id string, sku string, msku string, shop string, owner string, month date, cost long, freight_cost long, sold long, reshipped long, returned long, f long, r long, a long"
+    rows = [(f"{sku}{owner}{sold}", sku, "", "N1-US", owner, dt.date(2024, 1, 1), 12345, 77, sold, 1, 2, 333, 98765, 41) for sku in ("A-1", "A-9", "B-1", "C-1") for owner in ("o", "x") for sold in (0, 3, 17)]
+    found = {r["id"]: r for r in calculated(spark.createDataFrame(rows, kind), products, freight, ["f"], ["r"], ["a"]).collect()}
+    to = lambda x, places=10: x.quantize(Decimal(1).scaleb(-places), rounding=ROUND_HALF_UP)
+    weight = {"A-1": Decimal(333), "A-9": to(Decimal(534) / 3, 12), "B-1": Decimal(7)}
+    price = {"o": Decimal(17), "x": to(Decimal(1040) / 3, 12)}
+    for key, sku, _, _, owner, _, cost, paid, sold, *_ in rows:
+        fee = -to(weight[sku] / 1000 * (sold - 1) * price[owner]) if sku in weight else Decimal(0)
+        r = found[key]
+        assert r["freight_fee"] == fee and r["freight_addition"] == to(fee * Decimal("0.15")) and r["recorded_freight"] == fee - Decimal(paid) / 100
+        assert r["cost_addition"] == to(Decimal(cost) / 100 * Decimal("0.15")) and r["exchange_loss"] == -to(Decimal(333 + 98765 + 41) / 100 * Decimal("0.01"))
+
+
+def test_colour_names_prefer_the_last_new_record(spark):
+    from loomwright.plans.orders import colour_names
+
+    rows = [("RED", "old red", "old", 1), ("RED", "r1", "new", 2), ("RED", "r2", "new", 3), ("BLU", "b1", "old", 1), ("BLU", "b2", "old", 2), ("BLU", " ", "new", 9), (" ", "x", "new", 1), (None, "y", "new", 1), ("GRN", None, "new", 1)]
+    found = colour_names(spark.createDataFrame(rows, "abbr string, name string, state string, ordinal long")).collect()
+    assert {tuple(r) for r in found} == {("RED", "r2"), ("BLU", "b1")}
