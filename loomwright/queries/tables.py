@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from loomwright.functions.codes import spu_of
 from loomwright.operators import ranking, reshape
 from loomwright.queries.base import query
-from loomwright.sinks import merge, outbox
+from loomwright.sinks import fields, merge, outbox
 from loomwright.sinks.files import fresh_path, replace_folder, write_files
 from loomwright.sources import business as b
 from loomwright.sources.business import table
@@ -122,16 +122,18 @@ def snk_10_guarded_outbox(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_path(spark, "outbox")
     rows = b.local_stock(spark, folder).select("sku", "shop", "available", "pending", F.when(F.col("available") > 20, "many").otherwise("few").alias("view"))
     placed = ranking.chunked(rows, ["shop"], ["sku"], 20_000, "outbox").withColumn("shop", F.nullif("shop", F.lit("无"))).withColumn("unknown", F.lit("dropped"))
-    fields = {"sku": "text", "shop": "text", "available": "number", "pending": "number", "view": "text", "absent": "text"}
-    outbox.write_outbox(placed, path, "loomwright.sinks.outbox:check_required", fields, ("outbox",), required="sku,shop")
+    cells = {"sku": "text", "shop": "text", "available": "number", "pending": "number", "view": "text", "absent": "text"}
+    outbox.write_outbox(placed, path, "loomwright.sinks.outbox:check_required", cells, ("outbox",), required="sku,shop")
     read = lambda refused: outbox.read_outbox(spark, path, "sku string, shop string, available long, pending long, view string", "outbox long", refused)
     return read(False).withColumn("taken", F.lit(True)).unionByName(read(True).drop("why").withColumn("taken", F.lit(False)))
 
 
 @query("SELECT owner, count(DISTINCT sku) AS products FROM b_owners WHERE owner <> '' GROUP BY owner")
 def snk_11_owner_views(spark: SparkSession, folder: str) -> DataFrame:
-    """One row for each owner's view."""
-    return b.owners(spark, folder).where("owner <> ''").groupBy("owner").agg(F.countDistinct("sku").alias("products"))
+    """A view for each owner, written and read back: its products, counted."""
+    path = fresh_path(spark, "views")
+    fields.write_views(b.owners(spark, folder).select("sku", "owner", "shop").distinct(), "owner", path, ["shop", "sku", "owner"])
+    return spark.read.schema("shop string, sku string, owner string").parquet(path).groupBy("owner").agg(F.countDistinct("sku").alias("products"))
 
 
 @query("SELECT part_id, sku, ((row_number() OVER (PARTITION BY fabric ORDER BY part_id) - 1) // 100)::INT AS file, fabric FROM b_products")

@@ -86,3 +86,21 @@ def test_a_failed_job_leaves_nothing_that_counts(spark):
         outbox.write_outbox(rows, path, "loomwright.sinks.outbox:check_required", {"name": "text"}, ("unknown_column",), required="name")
     outbox.write_outbox(rows, path, "loomwright.sinks.outbox:check_required", {"name": "text"}, ("id",), required="name")
     assert sorted(r["id"] for r in outbox.read_outbox(spark, path, "name string", "id long").collect()) == list(range(20))
+
+
+def test_fewest_moves_bring_fields_into_order():
+    import itertools
+
+    from loomwright.sinks.fields import apply_changes, fewest_changes
+
+    wanted = ["a", "b", "c", "d", "e"]
+    for have in itertools.permutations([*wanted[:4], "other"]):
+        changes = fewest_changes(have, wanted)
+        after = apply_changes(have, changes)
+        assert [f for f in after if f != "other"] == wanted and sorted(after) == sorted([*wanted, "other"])
+        known = [wanted.index(f) for f in have if f != "other"]
+        longest = max(n for n in range(5) if any(list(c) == sorted(c) for c in itertools.combinations(known, n)))
+        assert sum(c.kind == "move" for c in changes) == 4 - longest and [c.field for c in changes if c.kind == "add"] == ["e"]
+    assert fewest_changes(wanted, wanted) == [] and [c.kind for c in fewest_changes([], ["x", "y"])] == ["add", "add"]
+    with pytest.raises(ValueError, match="twice"):
+        fewest_changes(["a", "a"], ["a"])
