@@ -15,8 +15,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_right
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -32,9 +31,9 @@ from loomwright.llm.hyperminhash import mix, shingle_sets, sketches
 WORD = re.compile(r"[^\W\d_]+(?:[0-9@$]+[^\W\d_]+)*")
 #: Signs inside a word that stand for letters (fixed values).
 LEET = str.maketrans("013457@$", "oieastas")
-#: A quotation has its opening and its closing mark on one line.  A mark with letters on
-#: both sides is an apostrophe.
-QUOTED = re.compile(r"""["][^"\n]{1,400}["]|“[^“”\n]{1,400}”|„[^„“”\n]{1,400}[“”]|«[^«»\n]{1,400}»|»[^«»\n]{1,400}«|(?<!\w)‘[^‘\n]{1,400}?’(?!\w)""")
+#: A quotation has its opening and its closing mark on one line, however long it is.  A mark
+#: with letters on both sides is an apostrophe.
+QUOTED = re.compile(r"""["][^"\n]++["]|“[^“”\n]++”|„[^„“”\n]++[“”]|«[^«»\n]++»|»[^«»\n]++«|(?<!\w)‘[^‘\n]+?’(?!\w)""")
 #: Verbs of saying and words of address in the corpus' languages.
 SAYING = frozenset("said says wrote writes called quote quoted sagte schrieb nannte zitat dit écrit appelé dijo escribió llamó".split())
 ADDRESS = frozenset("you your youre du dich dir ihr euch tu toi vous te ti usted ustedes".split())
@@ -45,14 +44,14 @@ FEATURES = 5
 class Fit:
     """``sample_rows`` bounds the labelled rows that are learnt from (in expectation; they are chosen by hash).
 
-    A term must be in ``least_docs`` toxic texts and in ``least_share`` of them.
+    A term must be in ``least_docs`` toxic texts and in ``least_share`` of them, so there are at most
+    1 / ``least_share`` times as many terms as a toxic text of the sample has words and stems on average.
     """
 
     sample_rows: int = 20_000
     least_docs: int = 4
     least_share: float = 0.005
     precision: float = 0.9
-    most_terms: int = 4_000
     stems: tuple[int, ...] = (3, 4, 5, 6, 7, 8)
     seed: int = 29
 
@@ -158,8 +157,12 @@ class Trie:
         return self.match_all([word])[0]
 
     def match_all(self, words: list[str]) -> list[tuple[str, int] | None]:
-        may = self.may_match(words).tolist()
-        return [self._exact(w) or (self._near(w) if near and len(w) >= 4 else None) for w, near in zip(words, may, strict=True)]
+        out: list[tuple[str, int] | None] = []
+        for k in range(0, len(words), 20_000):  # a filter's arrays have a row for each word
+            some = words[k : k + 20_000]
+            may = self.may_match(some).tolist()
+            out += [self._exact(w) or (self._near(w) if near and len(w) >= 4 else None) for w, near in zip(some, may, strict=True)]
+        return out
 
     def _exact(self, word: str) -> tuple[str, int] | None:
         node = self.root
@@ -210,7 +213,7 @@ class Trie:
 
 @dataclass
 class Model:
-    """What is sent to the executors: bounded by ``most_terms``."""
+    """What is sent to the executors: bounded by the texts of the sample, as ``Fit`` says."""
 
     terms: list[tuple[str, bool]] = field(default_factory=list)
     weights: list[float] = field(default_factory=lambda: [0.0] * FEATURES)
@@ -222,6 +225,11 @@ class Model:
         return Matcher(self)
 
 
+def _vocabulary(low: str) -> set[str]:
+    """The distinct words; the list of all words of a long text isn't made."""
+    return set(WORD.findall(low)) if len(low) < 1 << 20 else {m[0] for m in WORD.finditer(low)}
+
+
 class Matcher:
     """Lives in a Python worker; remembers the words it has looked up."""
 
@@ -248,40 +256,56 @@ class Matcher:
     def features(self, texts: list[str]) -> np.ndarray:
         """For each text sums of exact and of misspelled matches, their density, whether there are any, and the share of letters beyond ASCII."""
         lows = [t.lower() for t in texts]
-        words = [set(WORD.findall(low)) for low in lows]
-        self.learn(set().union(*words))
+        words = [_vocabulary(low) for low in lows]
+        self.learn(set().union(*words) if len(words) > 1 else words[0] if words else set())
         out = np.zeros((len(texts), FEATURES))
         for row, low, own in zip(out, lows, words, strict=True):
             if not self.hits.keys().isdisjoint(own):
                 row[:4] = self._in_context(low)
-            if low:
-                row[4] = 1 - len(low.encode("ascii", "ignore")) / len(low)
+            if not low.isascii():
+                row[4] = 1 - sum(len(low[k : k + (1 << 20)].encode("ascii", "ignore")) for k in range(0, len(low), 1 << 20)) / len(low)
         return out
 
     def _in_context(self, low: str, window: int = 6) -> tuple[float, float, float, float]:
-        found = list(WORD.finditer(low))
-        words = [m[0] for m in found]
-        quoted = [m.span() for m in QUOTED.finditer(low)]
+        """One walk over words and quotations that holds the words before a place and the hits whose window is open."""
+        quotations = QUOTED.finditer(low)
+        quoted = next(quotations, None)
+        before: deque[str] = deque(maxlen=window)
+        waiting: deque[tuple[int, int, float, bool]] = deque()
         exact = near = 0.0
-        for i, word in enumerate(words):
-            distance = self.hits.get(word)
-            if distance is None:
-                continue
-            before, after = words[max(0, i - window) : i], words[i + 1 : i + 1 + window]
-            factor = 1.0
-            k = bisect_right(quoted, (found[i].start(), len(low)))
-            if k and quoted[k - 1][1] > found[i].start():
-                factor *= 0.3
-            elif SAYING.intersection(before):
-                factor *= 0.6
-            if ADDRESS.intersection(before) or ADDRESS.intersection(after):
-                factor *= 1.25
+        i = -1
+
+        def count(hit: tuple[int, int, float, bool], addressed: bool) -> None:
+            nonlocal exact, near
+            _, distance, factor, _ = hit
+            factor *= 1.25 if addressed else 1.0
             if distance:
                 near += factor / (1 + distance)
             else:
                 exact += factor
+
+        for i, m in enumerate(WORD.finditer(low)):
+            word = m[0]
+            while waiting and waiting[0][0] + window < i:
+                hit = waiting.popleft()
+                count(hit, hit[3])
+            if waiting and word in ADDRESS:
+                waiting = deque((at, distance, factor, True) for at, distance, factor, _ in waiting)
+            if (distance := self.hits.get(word)) is not None:
+                at = m.start()
+                while quoted and quoted.end() <= at:
+                    quoted = next(quotations, None)
+                factor = 1.0
+                if quoted and quoted.start() <= at:
+                    factor = 0.3
+                elif not SAYING.isdisjoint(before):
+                    factor = 0.6
+                waiting.append((i, distance, factor, not ADDRESS.isdisjoint(before)))
+            before.append(word)
+        for hit in waiting:
+            count(hit, hit[3])
         both = exact + near
-        return math.log1p(exact), math.log1p(near), min(1.0, 20 * both / (20 + len(words))), float(both > 0.5)
+        return math.log1p(exact), math.log1p(near), min(1.0, 20 * both / (21 + i)), float(both > 0.5)
 
     def score(self, text: str) -> float:
         return self.scores([text])[0]
@@ -366,7 +390,7 @@ def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
     counts = once.mapInArrow(counted, "term string, stem boolean, n0 long, n1 long").groupBy("term", "stem").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     least = max(fit.least_docs, math.ceil(fit.least_share * once.where("toxic > 0").count()))
     good = counts.where((F.col("n1") >= least) & (F.col("n1") >= fit.precision * (F.col("n0") + F.col("n1"))))
-    rows = good.orderBy(F.desc("n1"), "term", "stem").limit(fit.most_terms).collect()  # most_terms rows
+    rows = good.collect()  # bounded by the sample, as Fit says
     words = {r["term"]: r["n1"] for r in rows if not r["stem"]}
     stems = {r["term"]: r["n1"] for r in rows if r["stem"]}
     # A stem must reach well beyond any one word; of nested stems the longest that loses little.
@@ -375,10 +399,11 @@ def _terms(once: DataFrame, fit: Fit) -> list[tuple[str, bool]]:
         for k in fit.stems:
             own[w[:k]] = max(own[w[:k]], n)
     stems = {s: n for s, n in stems.items() if own[s] < 0.6 * n and n >= 3 * least}
-    longer = {s for s, n in stems.items() if any(t != s and t.startswith(s) and m >= 0.9 * n for t, m in stems.items())}
+    beginnings = lambda w, of: [w[:k] for k in fit.stems if k < len(w) and w[:k] in of]
+    longer = {s for t, m in stems.items() for s in beginnings(t, stems) if m >= 0.9 * stems[s]}
     stems = {s: n for s, n in stems.items() if s not in longer}
-    kept = [s for s in stems if not any(t != s and s.startswith(t) for t in stems)]
-    return sorted([(w, False) for w in words if not any(w.startswith(s) for s in kept)] + [(s, True) for s in kept])
+    kept = {s for s in stems if not beginnings(s, stems)}
+    return sorted([(w, False) for w in words if w not in kept and not beginnings(w, kept)] + [(s, True) for s in kept])
 
 
 def _clean(once: DataFrame, terms: list[tuple[str, bool]], fit: Fit) -> frozenset[str]:
