@@ -2,8 +2,9 @@
 
 Reading parses the markers, Huffman-decodes the scan and reconstructs a
 thumbnail of the luminance from the DC coefficients alone.  Restart intervals
-are independent of each other, so all those of an Arrow slice are decoded in
-lockstep: one array position for each interval, one symbol of each a step.
+are independent of each other, so those of an Arrow slice are decoded in
+lockstep, ``LANES`` at a time: one array position for each interval, one symbol
+of each a step.
 
 Writing stores bytes without loss.  A JPEG's samples pass through a rounded
 cosine transform, so the lossless unit of the format is the 8 by 8 block of
@@ -28,6 +29,8 @@ from loomwright.llm.arrow import as_text, slices
 BLOCK = 64
 #: Blocks between restart markers.
 INTERVAL = 4
+#: Intervals that are written or read at a time: what numpy holds for them doesn't grow with an image.
+LANES = 4096
 COMMENT = b"bytes:"
 
 #: Code lengths (how many codes have 1, 2, ... 16 bits) and symbols.  DC: the
@@ -109,21 +112,39 @@ def write_images(payloads: list[bytes]) -> list[bytes]:
     cells = wide * high
     lanes = -(-cells // INTERVAL)
     first_lane = np.cumsum(lanes) - lanes
-    # Blocks are laid out so that every image starts with an interval of its own.
-    place = np.repeat(first_lane * INTERVAL, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    n = int(lanes.sum()) * INTERVAL
-    data = np.frombuffer(b"".join(payloads), np.uint8).astype(np.int16).reshape(-1, BLOCK)
-    blocks = np.zeros((n, BLOCK), np.int16)
-    blocks[place] = data - 128 + (data >= 128)
-    used = np.zeros(n, bool)
-    used[place] = True
-    cell = np.zeros(n, bool)
-    cell[np.repeat(first_lane * INTERVAL, cells) + np.arange(cells.sum()) - np.repeat(np.cumsum(cells) - cells, cells)] = True
-
-    dc = blocks[:, 0].astype(np.int64).reshape(-1, INTERVAL)
-    step = np.diff(dc, axis=1, prepend=0).reshape(-1)
-    coefficients = blocks.astype(np.int64)
-    coefficients[:, 0] = step
+    first_block = np.cumsum(counts) - counts
+    data = np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, BLOCK)
+    parts, sizes = [], []
+    for a in range(0, int(lanes.sum()), LANES):
+        lane = np.arange(a, min(a + LANES, int(lanes.sum())))
+        image = np.searchsorted(first_lane, lane, "right") - 1
+        number = lane - first_lane[image]
+        # Every image starts with an interval of its own.
+        local = (number[:, None] * INTERVAL + np.arange(INTERVAL)).reshape(-1)
+        of = np.repeat(image, INTERVAL)
+        used = local < counts[of]
+        part, size = _intervals(data[(first_block[of] + local)[used]], used, local < cells[of], number, number == lanes[image] - 1)
+        parts.append(part.tobytes())
+        sizes.append(size)
+    body = memoryview(b"".join(parts))
+    ends = np.cumsum(np.concatenate(sizes))
+    last = ends[first_lane + lanes - 1]
+    return [
+        b"".join((header(int(w) * 8, int(h) * 8, len(p)), body[a:b]))
+        for w, h, p, a, b in zip(wide, high, payloads, [0, *last.tolist()], last.tolist(), strict=False)
+    ]
+
+
+def _intervals(data: np.ndarray, used: np.ndarray, cell: np.ndarray, number: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Restart intervals with the markers that end them: the flat bytes and each one's length.
+
+    ``data`` are the bytes of the blocks that are ``used``; other blocks of the
+    picture (``cell``) are empty, those outside of it aren't stored.  ``number``
+    counts the intervals of an image, its ``last`` one ends the file.
+    """
+    coefficients = np.zeros((len(used), BLOCK), np.int64)
+    coefficients[used] = data.astype(np.int64) - 128 + (data >= 128)
+    coefficients[:, 0] = np.diff(coefficients[:, 0].reshape(-1, INTERVAL), axis=1, prepend=0).reshape(-1)
     bits = _bits_of(coefficients)
     codes = np.zeros((12, 2, 2), np.int64)
     for kind, table in enumerate((DC_TABLE, AC_TABLE)):
@@ -148,15 +169,8 @@ def write_images(payloads: list[bytes]) -> list[bytes]:
     out = np.zeros(int(ends[-1]), np.uint8)
     out[np.arange(len(flat)) + np.cumsum(ones) - ones + 2 * lane] = flat
     out[ends - 2] = 0xFF
-    number = np.arange(len(lengths)) - np.repeat(first_lane, lanes)
-    out[ends - 1] = 0xD0 + number % 8
-    last = first_lane + lanes - 1
-    out[ends[last] - 1] = 0xD9
-    start = ends[first_lane] - stuffed[first_lane] - 2
-    return [
-        header(int(w) * 8, int(h) * 8, len(p)) + out[a:b].tobytes()
-        for w, h, p, a, b in zip(wide, high, payloads, start.tolist(), ends[last].tolist(), strict=True)
-    ]
+    out[ends - 1] = np.where(last, 0xD9, 0xD0 + number % 8)
+    return out, stuffed + 2
 
 
 # ---------------------------------------------------------------- reading
@@ -265,8 +279,7 @@ def decode_scans(images: list[Image]) -> list[np.ndarray]:
         drop = np.zeros(end, bool)
         drop[(at + 1)[after == 0]] = True
         drop[restarts], drop[restarts + 1] = True, True
-        kept = np.cumsum(~drop)
-        begins = np.r_[0, kept[restarts]] if len(restarts) else np.zeros(1, np.int64)
+        begins = np.r_[0, restarts - np.searchsorted(np.flatnonzero(drop), restarts)]
         chunks.append(data[:end][~drop])
         units = image.units()[0] * image.units()[1]
         each = image.restart or units
@@ -281,13 +294,24 @@ def decode_scans(images: list[Image]) -> list[np.ndarray]:
     flat = np.concatenate([*chunks, np.full(16, 0xFF, np.uint8)])
     windows = np.ndarray((len(flat) - 7,), ">u8", flat, strides=(1,))
 
-    at, left = np.concatenate(starts), np.concatenate(blocks)
-    block = np.cumsum(left) - left
+    starts, blocks = np.concatenate(starts), np.concatenate(blocks)
     out = np.zeros((total, BLOCK), np.int16)
+    block = np.cumsum(blocks) - blocks
+    for a in range(0, len(starts), LANES):
+        piece = slice(a, a + LANES)
+        _decode_lanes(windows, starts[piece], blocks[piece].copy(), block[piece].copy(), 8 * base, lookup, choice, component, out)
+    return [out[a:b] for a, b in zip(first, [*first[1:], total], strict=True)]
+
+
+def _decode_lanes(
+    windows: np.ndarray, at: np.ndarray, left: np.ndarray, block: np.ndarray, limit: int,
+    lookup: np.ndarray, choice: np.ndarray, component: np.ndarray, out: np.ndarray,
+) -> None:
+    """Decode intervals in lockstep: ``left`` blocks each from bit ``at`` on, written to ``out`` from ``block`` on."""
+    per_unit = len(component)
     k = np.zeros(len(at), np.int64)
     done = np.zeros(len(at), np.int64)
     previous = np.zeros((len(at), int(component.max()) + 1), np.int64)
-    limit = 8 * base
     while len(at):
         unit = done % per_unit
         word = windows[at >> 3].astype(np.uint64)
@@ -326,7 +350,6 @@ def decode_scans(images: list[Image]) -> list[np.ndarray]:
             if not left.all():
                 go = left > 0
                 at, left, block, k, done, previous = at[go], left[go], block[go], k[go], done[go], previous[go]
-    return [out[a:b] for a, b in zip(first, [*first[1:], total], strict=True)]
 
 
 def thumbnail(image: Image, coefficients: np.ndarray) -> np.ndarray:
@@ -394,7 +417,9 @@ def read_images(files: list[bytes]) -> list[Media]:
             if image.comment.startswith(COMMENT):
                 n = int(image.comment[len(COMMENT) :])
                 values = coefficients[: n // BLOCK]
-                out[i].payload = (values + 128 - (values > 0)).astype(np.uint8).tobytes()
+                out[i].payload = b"".join(
+                    (part + 128 - (part > 0)).astype(np.uint8).tobytes() for part in (values[a : a + LANES] for a in range(0, len(values), LANES))
+                )
     return out
 
 
@@ -442,7 +467,8 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for batch in batches:
             for part in slices(batch, "text"):
                 raw = as_text(part.column("text")).cast(pa.large_binary())
-                files = write_images([x + bytes(-len(x) % BLOCK if x else BLOCK) for x in raw.to_pylist()])
+                payloads = (x.as_py() for x in raw)
+                files = write_images([x + bytes(-len(x) % BLOCK if x else BLOCK) for x in payloads])
                 arrays = [part.column("id"), pc.binary_length(raw).cast(pa.int64()), pa.array(files, pa.binary()), *_arrays(read_images(files))]
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "n_bytes", "media", *_NAMES])
 
