@@ -34,6 +34,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(df: DataFrame, rows: int = 400_000) -> int:
+    """How many tasks take ``rows`` rows each; the rows of files are counted by their footers alone."""
+    return -(-df.count() // rows)
+
+
+def spread(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` parted by ``keys`` over so many tasks, if the session wouldn't have as many; what is grouped by these keys then isn't moved again."""
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loomwright.operators.ranking import first_wins
-from loomwright.sinks.files import delete, written
+from loomwright.sinks.files import delete, spread, written
 
 
 def replace_range(old: DataFrame, new: DataFrame, replaced: Column) -> DataFrame:
@@ -31,11 +31,15 @@ def last_wins(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return best.select(*keys, "x__.*").select(rows.columns)
 
 
-def one_a_key(rows: DataFrame, keys: Sequence[str], known: str | None = None) -> DataFrame:
-    """Of rows with one key the largest by their other columns in order; rows whose key (or its column ``known``) has a null are all kept."""
+def one_a_key(rows: DataFrame, keys: Sequence[str], known: str | None = None, tasks: int = 0) -> DataFrame:
+    """Of rows with one key the largest by their other columns in order; rows whose key (or its column ``known``) has a null are all kept.
+
+    With ``tasks``, rows are parted by key over so many of them before they
+    are sorted, if the session has fewer.
+    """
     rest = [c for c in rows.columns if c not in keys]
     named = F.col(known).isNotNull() if known else reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
-    best = rows.where(named).groupBy(*keys).agg(F.max(F.struct(*rest)).alias("x__")).select(*keys, "x__.*").select(rows.columns)
+    best = spread(rows.where(named), tasks, *keys).groupBy(*keys).agg(F.max(F.struct(*rest)).alias("x__")).select(*keys, "x__.*").select(rows.columns)
     return best.unionByName(rows.where(~named))
 
 
@@ -107,7 +111,7 @@ def rewrite_partitions(spark: SparkSession, path: str, schema: StructType, by: s
     Partitions for which it gives no rows go; rows it gives for partitions that
     aren't touched are an error, as what these hold would be lost.  If the job
     stops between two partitions, running it again gives the same, as long as
-    ``plan`` replaces rows by key.
+    ``plan`` replaces rows by key.  A large partition is written by several tasks.
     """
     names = written(touched.select(F.col(by).alias("by__")).distinct(), "touched")
     old = spark.read.schema(schema).parquet(path)
@@ -115,7 +119,7 @@ def rewrite_partitions(spark: SparkSession, path: str, schema: StructType, by: s
     made = written(plan(old.join(names, same, "left_semi")).select(schema.names), "partitions")
     if made.join(names, same, "left_anti").limit(1).count():
         raise ValueError(f"rows for partitions of {path} that aren't touched")
-    made.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    made.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
     left = names.join(made.select(by).distinct(), same, "left_anti").select(F.col("by__").cast("string").alias("v"))
     folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
     for r in left.collect():  # names of partitions

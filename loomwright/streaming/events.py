@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomwright.sinks.files import exists, replace_folder, written
+from loomwright.sinks.files import exists, replace_folder, spread, tasks_for, written
 from loomwright.sinks.merge import one_a_key, replace_slices, rewrite_partitions
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -87,9 +87,10 @@ def write_slices(events: DataFrame, target: str, checkpoint: str) -> list[Progre
     def each(batch: DataFrame, number: int) -> None:
         rows = batch.select("event_id", "event_type", F.lit(number).cast("long").alias("batch"), F.to_date("ts").alias("day"))
         # Read from files, rows are those of one reading of the batch.
-        rows = written(one_a_key(written(rows, "slices-read"), ["event_id"]), "slices-batch")
+        read = written(rows, "slices-read")
+        rows = written(one_a_key(read, ["event_id"], tasks=tasks_for(read)), "slices-batch")
         if not exists(spark, target):
-            rows.write.partitionBy("day").parquet(target)
+            rows.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(target)
             return
         again = rows.select("event_id").where("event_id IS NOT NULL")
         gone = F.col("batch") == number
@@ -151,16 +152,17 @@ def write_changes(events: DataFrame, target: str, checkpoint: str, slot: str = "
         cells = mine.select(F.col("user_id").alias("u"), F.col("slot").alias("s"), "day").distinct()
         same = F.col("user_id").eqNullSafe(F.col("u"))
         so_far = spark.read.schema(_EVENTS).parquet(f"{state}/events").where((F.col("batch") <= number) & F.col("day").isin(days))
+        tasks = tasks_for(so_far)
         so_far = so_far.join(cells.drop("day"), same & F.col("slot").eqNullSafe(F.col("s")), "left_semi").drop("day", "batch")
-        so_far = one_a_key(so_far, ["event_id", "user_id", "ts"], known="event_id")
-        counted = _slot_counts(so_far).withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
+        so_far = one_a_key(so_far, ["event_id", "user_id", "ts"], known="event_id", tasks=tasks)
+        counted = _slot_counts(spread(so_far, tasks, "user_id", "slot")).withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
         counted.write.mode("overwrite").partitionBy("bucket").parquet(f"{state}/slots/batch={number}")
         slots = spark.read.schema(_SLOTS).parquet(f"{state}/slots").where(F.col("batch") <= number)
         new = slots.where(F.col("batch") == number)
         touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
         users = new.select(F.col("user_id").alias("u")).distinct()
         now = _latest_slots(slots.where(F.col("bucket").isin(touched)).join(users, same, "left_semi"))
-        _of_user(now).write.mode("overwrite").parquet(f"{target}/batch={number}")
+        _of_user(spread(now, tasks, "user_id")).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return _run(events, "append", each, checkpoint)
 

@@ -97,3 +97,20 @@ def test_repeated_moved_and_nameless_events(spark):
     _events(spark, [(6, day(2), 7, "c"), (1, day(1), 7, "a"), (7, day(1), None, "y")], other)
     e.write_changes(e.event_stream(spark, other), target, checkpoint)
     assert {r["user_id"]: (r["n"], r["changed"]) for r in e.latest_changes(spark, target).collect()} == {7: (5, 3), None: (2, 1)}
+
+
+def test_a_landed_part_has_a_file_for_each_task_that_reads_the_table(spark, tmp_path, monkeypatch):
+    """Four tasks held a quarter of all events each, however many there were."""
+    from loomwright.queries import streams
+    from loomwright.sinks.merge import one_a_key
+
+    rows = spark.range(0, 4000, 1, 12).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts", "id % 7 AS user_id", "'a' AS event_type", "1.0D AS value", "'{}' AS props")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    paths, real = [], streams.s.event_stream
+    monkeypatch.setattr(streams.s, "event_stream", lambda spark, path, files: paths.append((path, files)) or real(spark, path, files))
+    streams._in_two_runs(spark, str(tmp_path), lambda events, target, checkpoint: None, "none")
+    tasks = spark.read.parquet(f"{tmp_path}/events.parquet").rdd.getNumPartitions()
+    landed = spark.read.parquet(paths[0][0])
+    assert 1 < tasks and [n for _, n in paths] == [tasks, tasks] and len(landed.inputFiles()) == 4 * tasks and landed.count() == 4000
+    plan = one_a_key(spark.range(9).selectExpr("id AS k", "id AS v"), ["k"], tasks=77)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and ", 77)" in plan
