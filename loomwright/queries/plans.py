@@ -153,17 +153,19 @@ def cmp_06_comparison_sheet(spark: SparkSession, folder: str) -> DataFrame:
     return orders.comparison_sheet(_order_comparison(spark, folder))
 
 
-def _style_stock(spark: SparkSession, folder: str) -> DataFrame:
+def _style_stock(cells: DataFrame) -> DataFrame:
     """Stock by style; a fortieth of what years of lines add up to, so that some suggestions are above 0."""
-    stock = b.fba_stock(spark, folder).select("sku", "shop", (F.col("sellable") + F.col("in_transit")).alias("stock"), F.lit(0).cast("bigint").alias("pending"))
-    local = b.local_stock(spark, folder).select("sku", "shop", F.col("available").alias("stock"), "pending")
-    return stock.unionByName(local).groupBy(codes.spu_of(F.col("sku")).alias("spu"), "shop").agg(F.expr("sum(stock) div 40").alias("stock"), F.expr("sum(pending) div 40").alias("pending"))
+    sums = lambda *names: F.coalesce(F.sum(sum(F.coalesce(n, F.lit(0).cast("bigint")) for n in names)), F.lit(0).cast("bigint"))
+    held = cells.where("sellable is not null or available is not null").groupBy("spu", "shop").agg(sums("sellable", "in_transit", "available").alias("stock"), sums("pending").alias("pending"))
+    return held.select("spu", "shop", F.expr("stock div 40").alias("stock"), F.expr("pending div 40").alias("pending"))
 
 
 def _suggestions(spark: SparkSession, folder: str) -> DataFrame:
-    latest = F.max_by("supplier_id", F.struct("ordered", "order_id", "line", "supplier_id")).cast("string")
-    factory = b.purchases(spark, folder).where("status <> 'F'").groupBy("spu", "shop").agg(latest.alias("factory"))
-    return procurement.suggestions(_forecast(spark, folder), _style_stock(spark, folder), b.fabric_pricing(spark, folder), b.custom_fabrics(spark, folder), factory, _ahead(spark, folder), FIRST)
+    last = forecast.shifted(AS_OF, P.months - 1)
+    cells = written(b.supply_cells(spark, folder, FIRST, last), "supply-cells")  # once, for stock, factories and plans
+    factory = cells.groupBy("spu", "shop").agg(F.max("latest").alias("x")).where("x is not null").select("spu", "shop", F.col("x.supplier_id").cast("string").alias("factory"))
+    planned = cells.where("month is not null").select("spu", "shop", "month", F.col("planned").alias("qty"))
+    return procurement.suggestions(_forecast(spark, folder), _style_stock(cells), b.fabric_pricing(spark, folder), b.custom_fabrics(spark, folder), factory, planned, FIRST)
 
 
 SUGGESTED = f"""{FORECAST_REPORT},

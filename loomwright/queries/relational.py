@@ -463,7 +463,9 @@ def agg_17_count_distinct(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT spu, shop, flag, state, status, sum(qty)::BIGINT AS qty, min(priority) AS priority FROM b_lines GROUP BY ALL")
 def agg_18_five_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return b.lines(spark, folder).groupBy("spu", "shop", "flag", "state", "status").agg(F.sum("qty").alias("qty"), F.min("priority").alias("priority"))
+    """The smallest text is taken of few rows: taken of lines, each task would sort all of its own."""
+    keys = ["spu", "shop", "flag", "state", "status"]
+    return b.lines(spark, folder).groupBy(*keys, "priority").agg(F.sum("qty").alias("qty")).groupBy(*keys).agg(F.sum("qty").alias("qty"), F.min("priority").alias("priority"))
 
 
 @query("SELECT sku, shop, count(*) AS n, arg_max(owner, (ordinal, owner)) FILTER (owner <> '') AS owner FROM b_owners GROUP BY ALL")

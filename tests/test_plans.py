@@ -204,3 +204,28 @@ def test_colour_names_prefer_the_last_new_record(spark):
     rows = [("RED", "old red", "old", 1), ("RED", "r1", "new", 2), ("RED", "r2", "new", 3), ("BLU", "b1", "old", 1), ("BLU", "b2", "old", 2), ("BLU", " ", "new", 9), (" ", "x", "new", 1), (None, "y", "new", 1), ("GRN", None, "new", 1)]
     found = colour_names(spark.createDataFrame(rows, "abbr string, name string, state string, ordinal long")).collect()
     assert {tuple(r) for r in found} == {("RED", "r2"), ("BLU", "b1")}
+
+
+def test_joins_of_lines_have_partitions_by_the_size_of_the_table(spark):
+    """The session's number of partitions was that of every table, so a task's rows grew with it."""
+    big, other = (spark.range(50).selectExpr("id AS k", f"id * 2 AS {v}") for v in ("a", "b"))
+    plan = lambda *more: business.joined(big, other, "k", *more)._jdf.queryExecution().executedPlan().toString()
+    assert plan(77, 1 << 40).count("hashpartitioning(k") == 2 and ", 77)" in plan(77, 1 << 40)
+    assert ", 77)" not in plan(77, 1 << 20) and ", 3)" not in plan(3, 1 << 40)
+    assert business.joined(big, other, "k", 77, 1 << 40).count() == 50
+
+
+def test_five_keys_sort_no_lines(spark, small):
+    """The smallest text was an aggregate by sorting over all lines of a task."""
+    from loomwright.queries import QUERIES
+
+    plan = QUERIES["agg_18_five_keys"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[spu" in plan.replace("\n", "") and plan.rindex("HashAggregate") > plan.rindex("SortAggregate")
+
+
+def test_suggestions_read_lines_twice(spark, small):
+    """Sales, and all else in one pass; stocks, purchases and plans were one pass each."""
+    from loomwright.queries import QUERIES
+
+    plan = QUERIES["cmp_07_suggestions"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and plan.count("Relation [l_orderkey") == 1
