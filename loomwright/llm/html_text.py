@@ -3,12 +3,12 @@
 Pages of a host are sorted by URL path; each page is paired with the neighbour
 whose path is nearer.  The text lines (blocks) of the two are aligned by their
 longest common subsequence, and shared lines are deleted: what two pages share
-is the host's template.  Markup decides first where it can: blocks inside an
-article are the main text even if another page has them too (copies, quoted
-passages), and blocks in menus, footers, adverts and the like are not, even if
-they differ from page to page.  Differencing decides all other blocks: those
-outside such containers on pages whose marked articles hold less than half of
-the text, or that mark none.
+is the host's template.  Every page goes through this.  Markup then checks what
+differencing says: a shared line inside an article is put back (copies, quoted
+passages), and lines in menus, footers, adverts and the like that differ from
+page to page are cut.  Where markup says nothing (outside such containers, on
+pages whose marked articles hold less than half of the text, or that mark none)
+differencing alone decides.
 """
 
 from __future__ import annotations
@@ -273,11 +273,12 @@ def nearest_pages(pages: DataFrame) -> DataFrame:
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row for each row of ``pages``: id, url, text, n_cut, n_shared.
+    """One row for each row of ``pages``: id, url, text, n_cut, n_shared, n_restored.
 
     ``text`` joins the main blocks by one space ('' if there are none);
-    ``n_cut`` counts blocks that markup cuts, ``n_shared`` blocks that
-    differencing deletes.  Null html counts as empty; pages without a host or
+    ``n_shared`` counts the blocks that differencing finds shared with the
+    partner, ``n_restored`` those of them that markup puts back, ``n_cut``
+    the blocks that markup cuts, shared or not.  Null html counts as empty; pages without a host or
     an id have no partner; repeated ids are each extracted, against the
     smallest of their id's lines as partner.  Whole pages are read; other
     columns aren't.  An empty table gives an empty result.
@@ -294,35 +295,31 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                         part.column("id"),
                         part.column("url"),
                         pa.array([[t for t, k in f if k != CUT] for f in found], pa.list_(pa.string())),
-                        pa.array([any(k == OTHER for _, k in f) for f in found], pa.bool_()),
-                        pa.array([[k == OTHER for _, k in f if k != CUT] for f in found], pa.list_(pa.bool_())),
+                        pa.array([[k for _, k in f] for f in found], pa.list_(pa.int8())),
                         pa.array([[xxhash.xxh3_64_intdigest(t) - (1 << 63) for t, _ in f] for f in found], pa.list_(pa.int64())),
-                        pa.array([[i for i, (_, k) in enumerate(f) if k != CUT] for f in found], pa.list_(pa.int32())),
                     ],
-                    ["id", "url", "lines", "open", "undecided", "hashes", "places"],
+                    ["id", "url", "lines", "kinds", "hashes"],
                 )
 
     def differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, cut, shared = [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("lines", "open", "undecided", "hashes", "places", "other"))
-            for lines, is_open, undecided, hashes, places, other in zip(*columns, strict=True):
-                gone = np.zeros(len(places), bool)
-                if is_open and other:
-                    gone = shared_lines(np.array(hashes, np.int64), np.array(other, np.int64))[places] & undecided
-                texts.append(" ".join(t for t, off in zip(lines, gone.tolist(), strict=True) if not off))
-                cut.append(len(hashes) - len(lines))
-                shared.append(int(gone.sum()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(cut, pa.int64()), pa.array(shared, pa.int64())], ["id", "url", "text", "n_cut", "n_shared"])
-
-    read = rows.mapInArrow(parsed, f"id {kind}, url string, lines array<string>, open boolean, undecided array<boolean>, hashes array<long>, places array<int>")
-    read = written(read, "pages")
+            texts, counts = [], []
+            columns = (batch.column(c).to_pylist() for c in ("lines", "kinds", "hashes", "other"))
+            for lines, kinds, hashes, other in zip(*columns, strict=True):
+                kinds = np.array(kinds, np.int8)
+                shared = shared_lines(np.array(hashes, np.int64), np.array(other or [], np.int64))
+                restored = shared & (kinds == MAIN)
+                kept = (~shared | restored) & (kinds != CUT)
+                texts.append(" ".join(t for t, stays in zip(lines, kept[kinds != CUT].tolist(), strict=True) if stays))
+                counts.append([int((kinds == CUT).sum()), int(shared.sum()), int(restored.sum())])
+            numbers = (pa.array([c[k] for c in counts], pa.int64()) for k in range(3))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), *numbers], ["id", "url", "text", "n_cut", "n_shared", "n_restored"])
+
+    read = rows.mapInArrow(parsed, f"id {kind}, url string, lines array<string>, kinds array<byte>, hashes array<long>")
+    # Pages are parsed again for their text, which then lies on disk once: as it goes to what it is compared with.
+    lines = written(read.select("id", "hashes"), "page-lines")
     partners = nearest_pages(rows.select("id", "url")).select("id", "partner")
-    wanted = read.where("open").select("id").distinct().join(partners, "id")
-    lines = wanted.join(read.select(F.col("id").alias("partner"), "hashes"), "partner").groupBy("id").agg(F.min("hashes").alias("other"))
-    # Only pages with undecided blocks need a partner's lines; the others aren't moved.
-    none = F.lit(None).cast("array<long>").alias("other")
-    decided = read.where("not open").select("*", none)
-    undecided = read.where("open").join(lines, "id", "left")
-    both = decided.unionByName(undecided.select(*decided.columns))
-    return both.mapInArrow(differenced, f"id {kind}, url string, text string, n_cut long, n_shared long").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    # Hashes go to the pages they are compared with, by ids alone; only the pages' own rows carry text.
+    other = partners.join(lines.select(F.col("id").alias("partner"), "hashes"), "partner").groupBy("id").agg(F.min("hashes").alias("other"))
+    both = read.join(other, "id", "left").select("id", "url", "lines", "kinds", "hashes", "other")
+    return both.mapInArrow(differenced, f"id {kind}, url string, text string, n_cut long, n_shared long, n_restored long").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

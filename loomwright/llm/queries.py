@@ -153,7 +153,7 @@ FROM t LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id)
 @query
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = main_text(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_cut", "n_shared")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_cut", "n_shared", "n_restored")
 
 
 @query

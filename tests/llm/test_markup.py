@@ -6,7 +6,7 @@ import time
 
 import pytest
 
-from loomwright.llm.html_text import CUT, MAIN, blocks
+from loomwright.llm.html_text import CUT, MAIN, blocks, main_text
 
 
 def kept(page: str) -> list[str]:
@@ -62,3 +62,12 @@ def test_long_broken_pages_take_linear_time(piece):
     start = time.process_time()
     blocks(piece * ((1 << 20) // len(piece)) + "\"'")
     assert time.process_time() - start < 20
+
+
+def test_every_page_is_differenced_and_markup_puts_back_lines_of_articles(spark):
+    """Pages that markup decides wholly had no partner at all."""
+    page = "<nav>menu</nav><article><p>quoted by both</p><p>own %d</p></article><footer>foot %d</footer>"
+    rows = [(k, f"http://h.x/a/{k}", page % (k, k)) for k in (1, 2)]
+    found = {r["page_id"]: r for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in (1, 2):
+        assert (found[k]["text"], found[k]["n_cut"], found[k]["n_shared"], found[k]["n_restored"]) == (f"quoted by both own {k}", 2, 2, 1)
