@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomwright.sinks.files import written
+from loomwright.sinks.files import spread, tasks_for, written
 
 
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], take: Sequence[str]) -> DataFrame:
@@ -48,14 +48,20 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], s
 
     Rows are range-partitioned by key and order, and numbered within a
     partition; a key that spans partitions goes on from the rows that those
-    before hold.  So no key's rows are in one task, however many it has.
+    before hold.  So no key's rows are in one task, however many it has.  Rows
+    are written first, as ranges are found by a reading of their own; where
+    they are many, there are more ranges than the session's partitions.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     by = [*map(F.col, keys), *order]
-    placed = written(df.repartitionByRange(*by).withColumn("part__", F.spark_partition_id()), "numbered")
+    read = written(df, "unnumbered")
+    tasks = tasks_for(read)
+    ranges = read.repartitionByRange(tasks, *by) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else read.repartitionByRange(*by)
+    placed = written(ranges.withColumn("part__", F.spark_partition_id()), "numbered")
     sizes = placed.groupBy(*keys, "part__").agg(F.count(F.lit(1)).alias("n__"))
     before = F.sum("n__").over(Window.partitionBy(*keys).orderBy("part__").rowsBetween(Window.unboundedPreceding, -1))  # a row for each partition
     starts = sizes.select(*(F.col(k).alias(f"{k}__") for k in keys), F.col("part__").alias("of__"), F.coalesce(before, F.lit(0)).alias("start__"))
+    placed = spread(placed, tasks, *keys, "part__")
     within = F.row_number().over(Window.partitionBy(*keys, "part__").orderBy(*order))
     same = [placed[k].eqNullSafe(starts[f"{k}__"]) for k in keys] + [placed["part__"] == starts["of__"]]
     joined = placed.withColumn("row__", within).join(starts, same)

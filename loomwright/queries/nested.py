@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomwright.functions.codes import shop_name
 from loomwright.operators import ranking
 from loomwright.queries.base import query
-from loomwright.sinks.files import fresh_path
+from loomwright.sinks.files import fresh_path, spread, tasks_for, written
 from loomwright.sources import business as b
 from loomwright.sources import paged, stores
 from loomwright.sources.business import table
@@ -20,7 +20,8 @@ from loomwright.sources.business import table
 def _landed(spark: SparkSession, rows: DataFrame, slices: list[str], key: list[str], page: int) -> DataFrame:
     """Rows of a table, landed slice by slice as pages of up to ``page`` records, and read back from the pages."""
     path = fresh_path(spark, "pages")
-    paged_rows = ranking.chunked(rows, slices, key, page, "page")
+    rows = written(rows, "pages-rows")
+    paged_rows = spread(ranking.chunked(rows, slices, key, page, "page"), tasks_for(rows), *slices, "page")
     pages = paged_rows.groupBy(*slices, "page").agg(F.collect_list(F.struct(*rows.columns)).alias("items"))  # at most ``page`` records
     pages.select("items", F.col("page").cast("string").alias("page_token")).write.json(path)
     return paged.read_cursor_pages(spark, path, rows.schema.simpleString())
@@ -137,7 +138,7 @@ def src_08_stock_with_warehouses(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT month, sum(qty)::BIGINT AS qty FROM b_sales GROUP BY month")
 def src_09_months(spark: SparkSession, folder: str) -> DataFrame:
     """A slice for each month, several at once; pages until all are there."""
-    sales = b.monthly_sales(spark, folder).select(F.col("month").cast("string").alias("month"), "shop", "sku", "qty")
+    sales = written(b.monthly_sales(spark, folder).select(F.col("month").cast("string").alias("month"), "shop", "sku", "qty"), "sales")  # once, for the pages and the months
     path = paged.land_pages(sales, ["shop", "sku"], 1000, F.col("month"))
     months = [r["month"] for r in sales.select("month").distinct().orderBy("month").collect()]
     schema = "month string, shop string, sku string, qty long, _slice string, _total long"

@@ -24,7 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from loomwright.operators import ranking
-from loomwright.sinks.files import fresh_path, written
+from loomwright.sinks.files import fresh_path, spread, tasks_for, written
 
 
 class Busy(Exception):
@@ -153,14 +153,18 @@ def read_cursor_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def land_pages(rows: DataFrame, key: Sequence[str], page: int, slice_of: Column | None = None) -> str:
     """Rows as pages of up to ``page`` records in order of ``key``, as a remote collection gives them: a file each, with the slice's total.  Returns the folder.
 
-    A slice's name must be one that stands in a path.
+    A slice's name must be one that stands in a path.  Tasks move their pages
+    into place by themselves: there is a file for each, too many for the driver
+    to rename one by one.
     """
     spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "landed-pages")
-    placed = ranking.chunked(rows.withColumn("slice", slice_of if slice_of is not None else F.lit("all")), ["slice"], list(key), page, "page")
-    totals = placed.groupBy(F.col("slice").alias("of")).agg(F.count(F.lit(1)).alias("total"))
+    named = written(rows.withColumn("slice", slice_of if slice_of is not None else F.lit("all")), "pages-rows")
+    tasks = tasks_for(named)
+    placed = ranking.chunked(named, ["slice"], list(key), page, "page")
+    totals = named.groupBy(F.col("slice").alias("of")).agg(F.count(F.lit(1)).alias("total"))
     records = F.sort_array(F.collect_list(F.struct(*key, *(c for c in rows.columns if c not in key))))  # at most ``page``
-    pages = placed.groupBy("slice", "page").agg(records.alias("records")).join(totals, F.col("slice") == F.col("of"))
-    pages.select("slice", F.col("page").cast("long").alias("page"), "total", "records").write.partitionBy("slice", "page").json(path)
+    pages = spread(placed, tasks, "slice", "page").groupBy("slice", "page").agg(records.alias("records")).join(F.broadcast(totals), F.col("slice") == F.col("of"))  # a row for each slice, whose names a scan's options hold
+    pages.select("slice", F.col("page").cast("long").alias("page"), "total", "records").write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("slice", "page").json(path)
     return path
 
 

@@ -80,3 +80,13 @@ def test_a_database_is_read_in_ranges_of_its_own_bounds(spark):
     assert "EqualTo(V,3)" in plan and "WIDE" not in plan.split("ReadSchema")[-1]
     assert sorted(r["ID"] for r in asked.collect()) == [k for k in range(100, 400) if k % 7 == 3]
     assert stores.read_database(spark, url, "(SELECT * FROM T WHERE ID < 0) x", "ID", 3, driver=driver).count() == 0
+
+
+def test_large_tables_are_numbered_in_more_tasks_than_the_session_has(spark, monkeypatch):
+    """Ranges and pages were as many as the session's partitions, however many rows there were."""
+    from loomwright.operators import ranking
+
+    monkeypatch.setattr(ranking, "tasks_for", lambda df: 23)
+    rows = ranking.chunked(spark.range(500).selectExpr("id", "id % 2 AS s"), ["s"], ["id"], 10)
+    assert ", 23)" in rows._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, rows.collect())) == [(k, k % 2, k // 2 // 10) for k in range(500)]
