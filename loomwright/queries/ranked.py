@@ -67,7 +67,7 @@ def win_09_preferred_shop(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT sku, month, qty, coalesce(max(qty) OVER (PARTITION BY sku ORDER BY month RANGE BETWEEN INTERVAL 1 MONTH PRECEDING AND INTERVAL 1 MONTH PRECEDING), 0) AS last_month FROM (SELECT sku, month, sum(qty)::BIGINT AS qty FROM b_sales GROUP BY ALL)")
 def win_10_lags(spark: SparkSession, folder: str) -> DataFrame:
     """The month before by an equality on months: gaps in a series stay gaps."""
-    sales = b.monthly_sales(spark, folder).groupBy("sku", "month").agg(F.sum("qty").alias("qty"))
+    sales = b.monthly_sales(spark, folder, by=["sku"])
     before = sales.select("sku", F.add_months("month", 1).alias("month"), F.col("qty").alias("last_month"))
     return sales.join(before, ["sku", "month"], "left").na.fill(0, ["last_month"])
 
@@ -80,7 +80,7 @@ SELECT spu, shop, month, total::BIGINT AS total, CASE WHEN back = 1 THEN greates
 
 @query(_SPLIT)
 def win_11_allocation(spark: SparkSession, folder: str) -> DataFrame:
-    rows = b.planned_orders(spark, folder).where(F.col("month").between(F.lit(dt.date(2000, 6, 1)), F.lit(dt.date(2000, 12, 1)))).groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
+    rows = b.planned_orders(spark, folder, by=["spu", "shop"]).where(F.col("month").between(F.lit(dt.date(2000, 6, 1)), F.lit(dt.date(2000, 12, 1))))
     n = F.least(F.months_between("month", F.lit(dt.date(2000, 6, 1))).cast("int"), F.lit(4))
     rows = rows.withColumn("total", F.sum("qty").over(Window.partitionBy("spu", "shop"))).withColumn("weight", F.col("qty") * F.get(F.array(*map(F.lit, (*DECAY, 5))), n))
     return reshape.allocate(rows, ["spu", "shop"], "month", "total", "weight", "share").select("spu", "shop", "month", "total", "share")

@@ -209,14 +209,14 @@ def jn_05_full_outer(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT spu, shop, month, coalesce(s.qty, 0)::BIGINT AS sold, coalesce(p.qty, 0)::BIGINT AS planned FROM (SELECT spu, shop, month, sum(qty) AS qty FROM b_sales GROUP BY ALL) s FULL JOIN (SELECT spu, shop, month, sum(qty) AS qty FROM b_planned GROUP BY ALL) p USING (spu, shop, month)")
 def jn_06_full_outer_styles(spark: SparkSession, folder: str) -> DataFrame:
-    by = lambda df, n: df.groupBy("spu", "shop", "month").agg(F.sum("qty").alias(n))
-    return by(b.monthly_sales(spark, folder), "sold").join(by(b.planned_orders(spark, folder), "planned"), ["spu", "shop", "month"], "full_outer").na.fill(0)
+    of = lambda table, n: table(spark, folder, by=["spu", "shop"]).select("spu", "shop", "month", F.col("qty").alias(n))
+    return of(b.monthly_sales, "sold").join(of(b.planned_orders, "planned"), ["spu", "shop", "month"], "full_outer").na.fill(0)
 
 
 @query("SELECT sku, month, coalesce(s.qty, 0)::BIGINT AS sold, coalesce(p.qty, 0)::BIGINT AS planned FROM (SELECT sku, month, sum(qty) AS qty FROM b_sales GROUP BY ALL) s FULL JOIN (SELECT sku, month, sum(qty) AS qty FROM b_planned GROUP BY ALL) p USING (sku, month)")
 def jn_07_full_outer_products(spark: SparkSession, folder: str) -> DataFrame:
-    by = lambda df, n: df.groupBy("sku", "month").agg(F.sum("qty").alias(n))
-    return by(b.monthly_sales(spark, folder), "sold").join(by(b.planned_orders(spark, folder), "planned"), ["sku", "month"], "full_outer").na.fill(0)
+    of = lambda table, n: table(spark, folder, by=["sku"]).select("sku", "month", F.col("qty").alias(n))
+    return of(b.monthly_sales, "sold").join(of(b.planned_orders, "planned"), ["sku", "month"], "full_outer").na.fill(0)
 
 
 @query("SELECT sku, shop, sellable, available FROM b_fba JOIN b_local USING (sku, shop) WHERE shop <> '无'")
@@ -481,12 +481,12 @@ def agg_20_monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT spu, shop, month, sum(qty)::BIGINT AS qty FROM b_sales GROUP BY ALL")
 def agg_21_style_roll_up(spark: SparkSession, folder: str) -> DataFrame:
-    return b.monthly_sales(spark, folder).groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
+    return b.monthly_sales(spark, folder, by=["spu", "shop"])
 
 
 @query("SELECT spu, shop, month, sum(qty)::BIGINT AS qty FROM b_planned GROUP BY ALL")
 def agg_22_planned_styles(spark: SparkSession, folder: str) -> DataFrame:
-    return b.planned_orders(spark, folder).groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
+    return b.planned_orders(spark, folder, by=["spu", "shop"]).select("spu", "shop", "month", "qty")
 
 
 @query("SELECT order_id AS box, spu, sum(qty)::BIGINT AS qty, min(nullif(CASE WHEN line % 2 = 0 THEN '' ELSE name END, '')) AS name FROM b_lines GROUP BY ALL")
@@ -555,7 +555,7 @@ def srt_04_top_ten(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT spu, shop, month, sum(qty)::BIGINT AS qty FROM b_planned GROUP BY ALL ORDER BY spu, shop, month")
 def srt_05_by_month(spark: SparkSession, folder: str) -> DataFrame:
-    return b.planned_orders(spark, folder).groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty")).orderBy("spu", "shop", "month")
+    return b.planned_orders(spark, folder, by=["spu", "shop"]).select("spu", "shop", "month", "qty").orderBy("spu", "shop", "month")
 
 
 @query("SELECT spu, sum(qty)::BIGINT AS qty FROM b_sales GROUP BY spu ORDER BY qty DESC, spu")

@@ -265,3 +265,13 @@ def test_lines_are_joined_in_partitions_by_their_size(spark, small, settings_of,
     for key in ("order_id", "customer_id"):
         found = exchanges(rows, key)
         assert len(found) == 2 and all(", 57), REPARTITION_BY_NUM" in x for x in found)
+
+
+def test_styles_are_rolled_up_without_a_table_of_products(spark, small):
+    """Lines were added up by product and month first, which each task held a table of."""
+    from loomwright.queries import QUERIES
+
+    rows = QUERIES["agg_21_style_roll_up"](spark, small)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("HashAggregate(") == 2
+    want = business.monthly_sales(spark, small).groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
+    assert rows.count() and rows.schema == want.schema and rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
