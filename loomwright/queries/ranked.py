@@ -151,7 +151,7 @@ def exp_06_unpivot_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT shop, " + ", ".join(f"sum(CASE WHEN month = DATE '2000-{m:02}-01' THEN qty ELSE 0 END)::BIGINT AS m{m}" for m in (4, 5, 6)) + " FROM b_sales GROUP BY shop")
 def exp_07_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    sales = b.monthly_sales(spark, folder).withColumn("label", F.when(F.year("month") == 2000, F.concat(F.lit("m"), F.month("month").cast("string"))))
+    sales = b.monthly_sales(spark, folder, by=["shop"]).withColumn("label", F.when(F.year("month") == 2000, F.concat(F.lit("m"), F.month("month").cast("string"))))
     return reshape.pivot_months(sales, ["shop"], "label", ["m4", "m5", "m6"], "qty")
 
 

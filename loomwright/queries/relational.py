@@ -527,7 +527,7 @@ def agg_28_top_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT month, sum(CASE WHEN shop LIKE '%US' THEN qty ELSE 0 END)::BIGINT AS us, sum(CASE WHEN shop LIKE '%EU' THEN qty ELSE 0 END)::BIGINT AS eu FROM b_sales GROUP BY month")
 def agg_29_months_by_region(spark: SparkSession, folder: str) -> DataFrame:
     by = lambda x: F.sum(F.when(F.endswith("shop", F.lit(x)), F.col("qty")).otherwise(0))
-    return b.monthly_sales(spark, folder).groupBy("month").agg(by("US").alias("us"), by("EU").alias("eu"))
+    return b.monthly_sales(spark, folder, by=["shop"]).groupBy("month").agg(by("US").alias("us"), by("EU").alias("eu"))
 
 
 # ---------------------------------------------------------------- order, set operations

@@ -259,12 +259,12 @@ def test_joins_of_lines_keep_their_partitions_where_the_session_has_more(spark,
 
 def test_lines_are_joined_in_partitions_by_their_size(spark, small, settings_of, monkeypatch):
     """Customers with nations, and orders with these, were taken for tables that may be broadcast by their files; Catalyst never does, as it estimates such joins as products."""
-    monkeypatch.setattr(business, "PART", 1 << 11)  # the file of lines has 116,347 bytes
+    monkeypatch.setattr(business, "PART", 1 << 11)  # the files have 116,347 and 36,281 bytes
     settings_of("spark.sql.autoBroadcastJoinThreshold", "13k")
     rows = business.monthly_sales(spark, small)
-    for key in ("order_id", "customer_id"):
+    for key, parts in (("order_id", 57), ("customer_id", 5)):
         found = exchanges(rows, key)
-        assert len(found) == 2 and all(", 57), REPARTITION_BY_NUM" in x for x in found)
+        assert len(found) == 2 and all(f", {parts}), REPARTITION_BY_NUM" in x for x in found)
 
 
 def test_styles_are_rolled_up_without_a_table_of_products(spark, small):
@@ -275,3 +275,13 @@ def test_styles_are_rolled_up_without_a_table_of_products(spark, small):
     assert rows._jdf.queryExecution().executedPlan().toString().count("HashAggregate(") == 2
     want = business.monthly_sales(spark, small).groupBy("spu", "shop", "month").agg(F.sum("qty").alias("qty"))
     assert rows.count() and rows.schema == want.schema and rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
+
+
+def test_months_of_shops_are_pivoted_without_a_table_of_products(spark, small):
+    """The pivot read sales by product, which each task held a table of; it needs those by shop."""
+    from loomwright.queries import QUERIES
+
+    rows = QUERIES["exp_07_pivot"](spark, small)
+    assert not any("HashAggregate(keys=[" in x and "sku" in x for x in rows._jdf.queryExecution().executedPlan().toString().splitlines())
+    want = business.monthly_sales(spark, small).groupBy("shop").agg(*(F.sum(F.when(F.col("month") == dt.date(2000, m, 1), F.col("qty")).otherwise(0)).alias(f"m{m}") for m in (4, 5, 6)))
+    assert rows.count() and rows.exceptAll(want).isEmpty() and want.exceptAll(rows).isEmpty()
